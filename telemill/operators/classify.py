@@ -51,7 +51,11 @@ def classify(df: DataFrame, log_type: str | LogType, tz: str = "UTC") -> DataFra
     # A generator, because filters on its output stay above it. Over a plain
     # projection the optimizer pushes `status = 'ok'` down and spells out the
     # tokenizer once for every field, and again below: ten times the work.
-    rows = timed.select(*LINE_COLUMNS, "envelope", "_fields", "_clock", F.inline(F.array(typed)))
+    # The struct is made in a projection of its own: written inside the
+    # generator, the generated method grows past what the JVM will compile.
+    rows = timed.withColumn("_typed", typed).select(
+        *LINE_COLUMNS, "envelope", "_fields", "_clock", F.inline(F.array("_typed"))
+    )
 
     reason = _first_failure(spec)
     skipped = F.col("reason").eqNullSafe(SHORT_LINE)
