@@ -16,7 +16,8 @@ WALL_CLOCK_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
 FIRST_SECOND = -62135596800.0
 END_SECOND = 253402300800.0
 
-PARTS = ("y", "m", "d", "h")
+# Partition keys and the Spark functions that take them from a clock.
+PARTS = {"y": "year", "m": "month", "d": "day", "h": "hour"}
 
 
 def _epoch_start() -> Column:
@@ -58,17 +59,6 @@ def whole_seconds(seconds: Column) -> Column:
     return seconds.try_cast("bigint")
 
 
-def part(clock: Column, name: str) -> Column:
-    """One of the partition keys `y`, `m`, `d`, `h` as a number."""
-    return {"y": F.year, "m": F.month, "d": F.day, "h": F.hour}[name](clock)
-
-
-def padded_part(clock: Column, name: str) -> Column:
-    """The same as text; month, day and hour take two digits."""
-    text = part(clock, name).cast("string")
-    return text if name == "y" else F.lpad(text, 2, "0")
-
-
 def minute_label(instant: Column) -> Column:
     """`YYYYmmddHHMM` of an instant in UTC."""
     digits = F.translate(instant_clock(instant).cast("string"), "- :", "")

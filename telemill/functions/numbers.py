@@ -37,7 +37,3 @@ def float32(text: Column) -> Column:
     """Parsed at 64 bits, then narrowed."""
     return float64(text).cast("float")
 
-
-def zero_when(text: Column, placeholder: str, otherwise: Column) -> Column:
-    """0 where `text` is exactly the placeholder, else `otherwise`."""
-    return F.when(text == placeholder, F.lit(0)).otherwise(otherwise)

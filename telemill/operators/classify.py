@@ -37,32 +37,27 @@ def classify(df: DataFrame, log_type: str | LogType, tz: str = "UTC") -> DataFra
     A pure projection: no shuffle, and the same for batch and stream.
     """
     spec = resolve(log_type)
-    carried = [
-        (F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in LINE_COLUMNS.items()
-    ]
-    envelope = F.col("envelope") if "envelope" in df.columns else F.lit(None).cast("string")
-    fields = F.col("_fields")
-
-    tokens = df.select(*carried, envelope.alias("envelope"), spec.tokenize(F.col("line")).alias("_fields"))
-    record = Record(fields, F.col("_epoch"), F.col("_clock"), tz)
+    present = set(df.columns)
+    carried = [c if c in present else f"cast(null as {t}) as {c}" for c, t in LINE_COLUMNS.items()]
+    envelope = "envelope" if "envelope" in present else "cast(null as string) as envelope"
+    record = Record(tz)
     epoch = F.lit(None).cast("double") if spec.epoch is None else float64(record[spec.epoch])
-    timed = tokens.withColumn("_epoch", epoch).withColumn("_clock", spec.clock(record))
-    typed = F.struct(*[o.rule(record).cast(o.type).alias(o.name) for o in spec.outputs])
-    # A generator, because filters on its output stay above it. Over a plain
-    # projection the optimizer pushes `status = 'ok'` down and spells out the
+    timed = (
+        df.selectExpr(*carried, envelope)
+        .withColumn("_fields", spec.tokenize(F.col("line")))
+        .withColumn("_epoch", epoch)
+        .withColumn("_clock", spec.clock(record))
+    )
+    typed = timed.withColumn("_typed", F.struct(*[o.column(record) for o in spec.outputs]))
+    judged = typed.withColumn("_judged", F.struct(F.col("_typed").alias("_row"), _first_failure(spec).alias("reason")))
+    # A generator, because filters on its output stay above it. Over plain
+    # projections the optimizer pushes `status = 'ok'` down and spells out the
     # tokenizer once for every field, and again below: ten times the work.
-    # The struct is made in a projection of its own: written inside the
+    # The structs are made in projections of their own: written inside the
     # generator, the generated method grows past what the JVM will compile.
-    rows = timed.withColumn("_typed", typed).select(
-        *LINE_COLUMNS, "envelope", "_fields", "_clock", F.inline(F.array("_typed"))
-    )
-
-    reason = _first_failure(spec)
-    skipped = F.col("reason").eqNullSafe(SHORT_LINE)
-    status = F.when(F.col("reason").isNull(), OK).when(skipped, DROPPED).otherwise(BAD)
-    return rows.select(*spec.columns, *LINE_COLUMNS, reason.alias("reason")).select(
-        *spec.columns, status.alias("status"), "reason", *LINE_COLUMNS
-    )
+    rows = judged.selectExpr(*LINE_COLUMNS, "inline(array(_judged))")
+    status = f"case when reason is null then '{OK}' when reason = '{SHORT_LINE}' then '{DROPPED}' else '{BAD}' end"
+    return rows.selectExpr("_row.*", f"{status} as status", "reason", *LINE_COLUMNS)
 
 
 def _first_failure(spec: LogType) -> Column:
@@ -73,12 +68,12 @@ def _first_failure(spec: LogType) -> Column:
     if spec.skip is not None:
         reason = reason.when(spec.skip(fields), SHORT_LINE)
     # A NULL line has no fields at all.
-    reason = reason.when(F.coalesce(F.size(fields), F.lit(-1)) < spec.min_fields, SHORT_ROW)
-    reason = reason.when(F.col("_clock").isNull(), BAD_TIME)
-    for output in spec.outputs:
-        if output.checked:
-            reason = reason.when(F.col(output.name).isNull(), f"{BAD_VALUE}:{output.name}")
-    return reason
+    rest = [
+        f"when coalesce(size(_fields), -1) < {spec.min_fields} then '{SHORT_ROW}'",
+        f"when _clock is null then '{BAD_TIME}'",
+        *[f"when _typed.`{o.name}` is null then '{BAD_VALUE}:{o.name}'" for o in spec.outputs if o.checked],
+    ]
+    return reason.otherwise(F.expr(f"case {' '.join(rest)} end"))
 
 
 def normalize(df: DataFrame, log_type: str | LogType, tz: str = "UTC", mode: str = "drop") -> DataFrame:
@@ -96,7 +91,8 @@ def accepted(classified: DataFrame, log_type: str | LogType, mode: str = "drop")
     if mode == "failfast":
         where = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("topic", "partition", "offset", "pos")]
         message = F.concat_ws(" ", F.col("reason"), F.lit("at"), *where)
-        good = F.when(F.col("status") == BAD, F.raise_error(message).cast("boolean")).otherwise(good)
+        skipped = F.col("status") == DROPPED
+        good = F.when(good, True).when(skipped, False).otherwise(F.raise_error(message).cast("boolean"))
     elif mode != "drop":
         raise ValueError(f"mode must be drop or failfast, not {mode!r}")
     return classified.where(good).select(*spec.columns)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from telemill.functions import clock as clocks
-from telemill.functions import numbers
 from telemill.functions.text import full_uri, has_open_quote, tokenize_quoted
 from telemill.plans.logtype import (
     LogType,
@@ -40,12 +39,12 @@ def dns_log(strict_rcode_guard: bool = False, name: str = "dns") -> LogType:
         clock=lambda r: clocks.epoch_clock(r.epoch, r.tz),
         outputs=(
             # The time text itself holds a comma, so it arrives as two fields.
-            Output("frame_time", "string", lambda r: F.concat_ws(", ", r[0], r[1]), checked=False),
+            Output("frame_time", "string", "concat({0}, ', ', {1})", checked=False),
             derived("unix_tstamp", "bigint", lambda r: clocks.whole_seconds(r.epoch)),
             *whole("int", "frame_len", 3),
             *text("ip_dst ip_src dns_qry_name dns_qry_class", 5, 4, 6, 8),
-            derived("dns_qry_type", "int", lambda r: numbers.zero_when(r[7], "", numbers.integer(r[7]))),
-            derived("dns_qry_rcode", "int", lambda r: numbers.zero_when(r[guard], "", numbers.integer(r[9]))),
+            derived("dns_qry_type", "int", "if({7} = '', 0, try_cast({7} as int))"),
+            derived("dns_qry_rcode", "int", f"if({{{guard}}} = '', 0, try_cast({{9}} as int))"),
             *text("dns_a", 10),
             *clock_parts(),
         ),
@@ -106,7 +105,7 @@ def ids_event_log(exact_epoch: bool = False, name: str = "ids_event") -> LogType
             *whole("int", "signature_revision", 14),
             *whole("bigint", "sport_itype", 15),
             *text("source_ip", 16),
-            derived("vlan_id", "int", lambda r: numbers.zero_when(r[17], "None", numbers.integer(r[17]))),
+            derived("vlan_id", "int", "if({17} = 'None', 0, try_cast({17} as int))"),
             derived("unix_tstamp", "float", lambda r: r.epoch),
             *_exact_epoch(exact_epoch),
             *clock_parts(),

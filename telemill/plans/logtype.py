@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,19 +14,19 @@ from telemill.functions import clock as clocks
 from telemill.functions import numbers
 from telemill.functions.text import split_fields
 
-PARTITIONS = clocks.PARTS
+PARTITIONS = tuple(clocks.PARTS)
 
 # Columns that travel with a line but belong to no log type.
 RESERVED = ("line", "topic", "partition", "offset", "timestamp", "pos", "status", "reason", "envelope")
 
 
 class Record:
-    """The fields of one line, as the column rules see them."""
+    """The fields of one line and its time, as the column rules see them."""
 
-    def __init__(self, fields: Column, epoch: Column, clock: Column, tz: str):
-        self.fields = fields
-        self.epoch = epoch
-        self.clock = clock
+    def __init__(self, tz: str):
+        self.fields = F.col("_fields")
+        self.epoch = F.col("_epoch")
+        self.clock = F.col("_clock")
         self.tz = tz
 
     def __getitem__(self, index: int) -> Column:
@@ -37,28 +38,32 @@ Rule = Callable[[Record], Column]
 
 @dataclass(frozen=True)
 class Output:
-    """One table column. A `checked` one must not come out NULL."""
+    """One table column. A `checked` one must not come out NULL.
+
+    The rule is SQL text in which `{3}` stands for field 3, or a function of the
+    record that returns a Column.
+    """
 
     name: str
     type: str
-    rule: Rule
+    rule: Rule | str
     checked: bool = True
 
+    def column(self, record: Record) -> Column:
+        if isinstance(self.rule, str):
+            sql = re.sub(r"\{(\d+)\}", r"get(_fields, \1)", self.rule)
+            return F.expr(f"cast({sql} as {self.type}) as `{self.name}`")
+        return self.rule(record).cast(self.type).alias(self.name)
+
 
 def text(names: str, *fields: int) -> list[Output]:
     """Fields taken over as they are."""
-    return [
-        Output(name, "string", lambda r, i=i: r[i], checked=False)
-        for name, i in zip(names.split(), fields, strict=True)
-    ]
+    return [Output(name, "string", f"{{{i}}}", checked=False) for name, i in zip(names.split(), fields, strict=True)]
 
 
 def whole(width: str, names: str, *fields: int) -> list[Output]:
-    """Whole numbers of one width (`smallint`, `int` or `bigint`)."""
-    return [
-        Output(name, width, lambda r, i=i: numbers.integer(r[i], width))
-        for name, i in zip(names.split(), fields, strict=True)
-    ]
+    """Whole numbers of one width (`smallint`, `int` or `bigint`), as strict as `numbers.integer`."""
+    return [Output(name, width, f"try_cast({{{i}}} as {width})") for name, i in zip(names.split(), fields, strict=True)]
 
 
 def real(name: str, index: int) -> Output:
@@ -66,20 +71,21 @@ def real(name: str, index: int) -> Output:
     return Output(name, "float", lambda r: numbers.float32(r[index]))
 
 
-def derived(name: str, type_: str, rule: Rule) -> Output:
+def derived(name: str, type_: str, rule: Rule | str) -> Output:
     return Output(name, type_, rule)
 
 
 def clock_parts() -> list[Output]:
     """Partition keys from the line's clock, as numbers."""
-    return [
-        Output(p, "smallint", lambda r, p=p: clocks.part(r.clock, p).cast("smallint")) for p in PARTITIONS
-    ]
+    return [Output(p, "smallint", f"{call}(_clock)") for p, call in clocks.PARTS.items()]
 
 
 def padded_clock_parts() -> list[Output]:
     """Partition keys from the line's clock, as two-digit text."""
-    return [Output(p, "string", lambda r, p=p: clocks.padded_part(r.clock, p)) for p in PARTITIONS]
+    return [
+        Output(p, "string", f"{call}(_clock)" if p == "y" else f"lpad({call}(_clock), 2, '0')")
+        for p, call in clocks.PARTS.items()
+    ]
 
 
 @dataclass(frozen=True)
