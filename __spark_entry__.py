@@ -504,6 +504,31 @@ def stream_table(spark, sf_dir):
     return spark.table(table)
 
 
+def stream_reports(spark, sf_dir):
+    """What the finished batches of a table-filling stream add up to."""
+    stream, scratch = message_stream(spark, sf_dir, "proxy")
+    table, bad = _table(spark, "proxy"), f"bad_{scratch[-32:]}"
+    tm.create_quarantine(spark, bad, f"{scratch}/bad")
+    tm.ingest_stream(
+        stream, "proxy", f"{scratch}/checkpoint", table=table, quarantine=bad, interval=None, rebalance=True
+    ).awaitTermination()
+    return (
+        tm.read_reports(spark, f"{scratch}/checkpoint")
+        .groupBy("log_type")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("rows", "bad_rows", "dropped_rows")],
+            F.min("min_label").alias("min_label"),
+            F.max("max_label").alias("max_label"),
+        )
+    )
+
+
+STREAM_REPORTS = f"""
+    select log_type, cast(rows as bigint) as rows, cast(bad_rows as bigint) as bad_rows,
+        cast(dropped_rows as bigint) as dropped_rows, min_label, max_label
+    from ({batch_report_sql('proxy')})"""
+
+
 def stream_archive(spark, sf_dir):
     """Lines of two of the topic's partitions, archived by a stream."""
     stream, scratch = message_stream(spark, sf_dir, "dns", damaged=False)
@@ -558,6 +583,7 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         "archive_segments": (archive_segments, ARCHIVE_SEGMENTS),
         "stream_landing": (stream_landing, message_quarantine_sql("flow")),
         "stream_table": (stream_table, kept_rows("ids_packet")),
+        "stream_reports": (stream_reports, STREAM_REPORTS),
         "stream_archive": (stream_archive, STREAM_ARCHIVE),
     }
     return catalog

@@ -18,7 +18,7 @@ from telemill.sources.segments import (
     read_segments_batch,
     read_segments_stream,
 )
-from telemill.streaming.jobs import archive_stream, ingest_stream
+from telemill.streaming.jobs import archive_stream, ingest_stream, read_reports
 from telemill.streaming.progress import BatchLogger, progress_report
 
 __all__ = [
@@ -26,7 +26,7 @@ __all__ = [
     "archive_stream", "assigned", "batch_report", "classify", "classify_messages", "create_quarantine",
     "create_table", "decode_segments", "dns_log", "encode_segments", "explode_lines", "flow_log", "ids_event_log",
     "ids_packet_log", "ingest_batch", "ingest_stream", "normalize", "observe_batch", "pack_segments",
-    "progress_report", "proxy_log", "quarantined", "read_accepted", "read_archive", "read_rejected", "read_rows",
+    "progress_report", "proxy_log", "quarantined", "read_accepted", "read_archive", "read_rejected", "read_reports", "read_rows",
     "read_segment_files", "read_segments_assigned", "read_segments_batch", "read_segments_stream", "register",
     "registered", "rejected", "resolve", "split_fields", "tokenize_quoted", "write_landing", "write_quarantine",
     "write_table",

@@ -38,7 +38,8 @@ def classify(df: DataFrame, log_type: str | LogType, tz: str = "UTC") -> DataFra
     """
     spec = resolve(log_type)
     present = set(df.columns)
-    carried = [c if c in present else f"cast(null as {t}) as {c}" for c, t in LINE_COLUMNS.items()]
+    line_columns = [f"`{c}`" for c in LINE_COLUMNS]
+    carried = [f"`{c}`" if c in present else f"cast(null as {t}) as `{c}`" for c, t in LINE_COLUMNS.items()]
     envelope = "envelope" if "envelope" in present else "cast(null as string) as envelope"
     record = Record(tz)
     epoch = F.lit(None).cast("double") if spec.epoch is None else float64(record[spec.epoch])
@@ -55,9 +56,9 @@ def classify(df: DataFrame, log_type: str | LogType, tz: str = "UTC") -> DataFra
     # tokenizer once for every field, and again below: ten times the work.
     # The structs are made in projections of their own: written inside the
     # generator, the generated method grows past what the JVM will compile.
-    rows = judged.selectExpr(*LINE_COLUMNS, "inline(array(_judged))")
+    rows = judged.selectExpr(*line_columns, "inline(array(_judged))")
     status = f"case when reason is null then '{OK}' when reason = '{SHORT_LINE}' then '{DROPPED}' else '{BAD}' end"
-    return rows.selectExpr("_row.*", f"{status} as status", "reason", *LINE_COLUMNS)
+    return rows.selectExpr("_row.*", f"{status} as status", "reason", *line_columns)
 
 
 def _first_failure(spec: LogType) -> Column:

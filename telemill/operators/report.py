@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from telemill.operators.classify import BAD, DROPPED, OK, classify
 from telemill.plans.logtype import LogType, resolve
 
-METRICS = ("rows", "bad_rows", "dropped_rows", "min_label", "max_label")
+# The metrics and how they are stored; a label has the type of its column.
+METRICS = {
+    "rows": "bigint",
+    "bad_rows": "bigint",
+    "dropped_rows": "bigint",
+    "min_label": "string",
+    "max_label": "string",
+}
 
 
 def batch_metrics(log_type: str | LogType) -> list[Column]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -89,13 +89,19 @@ def _table_writer(
         finally:
             if quarantine:
                 kept.unpersist()
-        values = [F.lit(metrics.get(m)).alias(m) for m in METRICS]
+        values = [F.lit(metrics.get(m)).cast(t).alias(m) for m, t in METRICS.items()]
         report = batch.sparkSession.range(1, numPartitions=1).select(F.lit(spec.name).alias("log_type"), *values)
         report.write.mode("overwrite").json(report_path)
 
     return write
 
 
+def read_reports(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """One row for each finished batch of a query that fills a table; labels as text."""
+    columns = ", ".join(f"{m} {t}" for m, t in METRICS.items())
+    return spark.read.schema(f"batch_id bigint, log_type string, {columns}").json(f"{checkpoint}/reports")
+
+
 def _exists(batch: DataFrame, path: str) -> bool:
     jvm, session = batch.sparkSession._jvm, batch.sparkSession._jsparkSession
     folder = jvm.org.apache.hadoop.fs.Path(path)

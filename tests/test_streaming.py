@@ -88,8 +88,8 @@ def test_tables_are_not_filled_twice(spark, topic, tmp_path):
 
     run()
     assert (spark.table(table).count(), spark.table(bad).count()) == (2, 2)
-    report = spark.read.json(f"{check}/reports").collect()
-    assert [(r.log_type, r.rows, r.bad_rows) for r in report] == [("flow", 2, 2)]
+    report = tm.read_reports(spark, check).collect()
+    assert [(r.batch_id, r.log_type, r.rows, r.bad_rows) for r in report] == [(0, "flow", 2, 2)]
 
     # A crash after the writes, before Spark noted the batch: it comes again.
     (tmp_path / "check" / "commits" / "0").unlink()
@@ -99,6 +99,10 @@ def test_tables_are_not_filled_twice(spark, topic, tmp_path):
     topic([GOLDEN["flow"]])
     run()
     assert (spark.table(table).count(), spark.table(bad).count()) == (3, 2)
+    topic(["x"])  # a batch without a single row
+    run()
+    assert (spark.table(table).count(), spark.table(bad).count()) == (3, 3)
+    assert tm.read_reports(spark, check).where("min_label is null").count() == 1
 
 
 def test_archive_stream(spark, topic, tmp_path):
