@@ -12,19 +12,25 @@ from telemill.operators.lines import explode_lines
 ORDER = ("segment", "topic", "partition", "offset", "pos")
 
 
-def archive_lines(messages: DataFrame, codec: str = "arrow") -> DataFrame:
-    """`line` and `segment` (`YYYYmmddHHMM`, UTC) of every line; undecodable messages have none."""
+def archive_lines(messages: DataFrame, codec: str = "arrow", rebalance: bool = False) -> DataFrame:
+    """`line` and `segment` (`YYYYmmddHHMM`, UTC) of every line, with its lineage.
+
+    Undecodable messages have no lines. `rebalance` shuffles, for few files a
+    minute when tasks hold lines of many minutes; a busy minute is split.
+    """
     lines = explode_lines(decode_segments(messages, on_error="drop", codec=codec))
-    return lines.withColumn("segment", minute_label(F.col("timestamp")))
+    lines = lines.withColumn("segment", minute_label(F.col("timestamp")))
+    return lines.hint("rebalance", F.col("segment")) if rebalance else lines
 
 
-def archive_segments(messages: DataFrame, path: str, codec: str = "arrow") -> None:
+def archive_segments(messages: DataFrame, path: str, codec: str = "arrow", rebalance: bool = False) -> None:
     """Append the lines to `<path>/segment=<YYYYmmddHHMM>/`.
 
     Messages of one minute add up. Within a file, lines keep the order they had
-    in the topic; the sort is local to the task and the writer needs it anyway.
+    in the topic; the sort is local to the task, and its first key is what the
+    writer sorts by in any case.
     """
-    lines = archive_lines(messages, codec).sortWithinPartitions(*ORDER)
+    lines = archive_lines(messages, codec, rebalance).sortWithinPartitions(*ORDER)
     lines.select("line", "segment").write.mode("append").partitionBy("segment").text(path)
 
 

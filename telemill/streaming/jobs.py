@@ -115,8 +115,13 @@ def archive_stream(
     codec: str = "arrow",
     interval: str | None = INTERVAL,
     name: str | None = None,
+    rebalance: bool = False,
 ) -> StreamingQuery:
-    """Start a query that appends every line, unparsed, to its minute's folder; exactly once."""
-    lines = archive_lines(messages, codec)
+    """Start a query that appends every line, unparsed, to its minute's folder; exactly once.
+
+    Streams cannot be sorted, so unlike in `archive_segments` the order of the
+    lines within a file is not promised.
+    """
+    lines = archive_lines(messages, codec, rebalance)
     writer = lines.select("line", "segment").writeStream.format("text").option("path", path)
     return _start(writer.partitionBy("segment"), checkpoint, interval, name)

@@ -99,6 +99,12 @@ def test_archive_adds_up_and_keeps_order(spark, segment_of, messages, tmp_path):
     contents = [open(f"{folder}/{f}").read() for f in os.listdir(folder) if f.startswith("part")]
     assert "b\na\nc\n\na\n" in contents
 
+    together = str(tmp_path / "together")
+    both = segment_of(["b", "a"], ["c", "", "a"]).unionByName(segment_of(["later"], minute=1)).repartition(4)
+    tm.archive_segments(both, together, rebalance=True)
+    (file,) = [f for f in os.listdir(f"{together}/segment=202401010000") if f.startswith("part")]
+    assert open(f"{together}/segment=202401010000/{file}").read() == "b\na\nc\n\na\n"
+
 
 def test_hot_hour_is_split(spark, tmp_path):
     path = tmp_path / "hot"

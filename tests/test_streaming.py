@@ -116,6 +116,15 @@ def test_archive_stream(spark, topic, tmp_path):
     ]
 
 
+def test_archive_stream_with_few_files(topic, tmp_path):
+    lines = [f"{i:03}" for i in range(500)]
+    topic(lines[:300], lines[300:])
+    out = tmp_path / "out"
+    finish(tm.archive_stream(topic.stream(), str(out), str(tmp_path / "check"), interval=None, rebalance=True))
+    (file,) = out.glob("segment=202401010000/part*")
+    assert sorted(file.read_text().split()) == lines
+
+
 def test_late_lines_join_their_old_hour(spark, topic, tmp_path):
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
     for day in ("02", "01"):
