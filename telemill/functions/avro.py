@@ -151,3 +151,10 @@ def decode(value: Column) -> Column:
         return decode_batch(values)
 
     return decode_segment(value)
+
+
+def decode_with_connector(value: Column) -> Column:
+    """The same with Spark's Avro connector, which has to be on the class path."""
+    from pyspark.sql.avro import functions as connector
+
+    return connector.from_avro(value, SEGMENT_SCHEMA, {"mode": "PERMISSIVE"})["list"]

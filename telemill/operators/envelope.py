@@ -30,9 +30,14 @@ def decode_segments(df: DataFrame, on_error: str = "mark", codec: str = "arrow")
     """
     if on_error not in ("mark", "drop", "fail"):
         raise ValueError(f"on_error must be mark, drop or fail, not {on_error!r}")
+    if codec not in ("arrow", "spark-avro"):
+        raise ValueError(f"codec must be arrow or spark-avro, not {codec!r}")
     lineage = [c for c in LINEAGE if c in df.columns]
     value = F.col("value")
-    decoded = df.select(*lineage, "value", _decoder(codec)(value).alias("lines"))
+    decode = avro.decode if codec == "arrow" else avro.decode_with_connector
+    decoded = df.select(*lineage, "value", decode(value).alias("lines"))
+    if codec == "spark-avro":  # the connector takes any bytes for text
+        decoded = decoded.withColumn("lines", F.when(F.forall("lines", F.is_valid_utf8), F.col("lines")))
 
     missing = F.col("lines").isNull()
     is_null_branch = F.substring(value, 1, 1) == F.unhex(F.lit(avro.NULL_SEGMENT))
@@ -47,20 +52,6 @@ def decode_segments(df: DataFrame, on_error: str = "mark", codec: str = "arrow")
     return decoded.select(*lineage, lines.alias("lines"), reason.alias("envelope"), raw.alias("raw"))
 
 
-def _decoder(codec: str):
-    if codec == "arrow":
-        return avro.decode
-    if codec != "spark-avro":
-        raise ValueError(f"codec must be arrow or spark-avro, not {codec!r}")
-    from pyspark.sql.avro.functions import from_avro
-
-    def decode(value):
-        lines = from_avro(value, avro.SEGMENT_SCHEMA, {"mode": "PERMISSIVE"})["list"]
-        return F.when(F.forall(lines, F.is_valid_utf8), lines)
-
-    return decode
-
-
 def encode_segments(df: DataFrame, lines_col: str = "lines", value_col: str = "value") -> DataFrame:
     """Replace an array of lines by its message bytes."""
     kept = [c for c in df.columns if c not in (lines_col, value_col)]

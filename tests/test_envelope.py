@@ -68,6 +68,26 @@ def test_on_error(messages):
         tm.decode_segments(df, on_error="ignore")
 
 
+def test_codec_of_the_connector(messages, monkeypatch):
+    """With a stand-in for the connector, which is not installed here."""
+    import json
+
+    from pyspark.sql.avro import functions as connector
+
+    def from_avro(value, schema, options):
+        assert json.loads(schema)["fields"][0]["name"] == "list" and options == {"mode": "PERMISSIVE"}
+        lines = F.when(F.substring(value, 1, 1) == F.unhex(F.lit("00")), F.array(F.substring(value, 4, 1).cast("string")))
+        return F.struct(lines.alias("list"))
+
+    monkeypatch.setattr(connector, "from_avro", from_avro)
+    values = [bytes.fromhex(x) for x in ("0002026100", "000202ff00", "02", "0a00")]
+    out = tm.decode_segments(messages(*values), codec="spark-avro").orderBy("offset").collect()
+    assert [r.lines for r in out] == [["a"], None, None, None]
+    assert [r.envelope for r in out] == [None, "BAD_ENVELOPE", "NULL_ENVELOPE", "BAD_ENVELOPE"]
+    with pytest.raises(ValueError):
+        tm.decode_segments(messages(*values), codec="other")
+
+
 def test_explode_keeps_lost_messages(messages):
     df = messages(bytes.fromhex("000402610262 00"), b"\x00\x02", bytes.fromhex("02"), bytes.fromhex("0000"))
     out = tm.explode_lines(tm.decode_segments(df)).orderBy("offset", "pos").collect()
