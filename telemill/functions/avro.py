@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -99,14 +100,18 @@ def segment_lines(data: bytes | None) -> list[bytes] | None:
                 count = -count
                 _, at = _read_long(data, at)
             for _ in range(count):
+                # Lengths of one and two bytes, up to 8,191, without a call.
                 length = data[at]
-                if length < 128 and not length & 1:
-                    length >>= 1
+                if length < 128:
                     at += 1
+                elif data[at + 1] < 128:
+                    length = length & 127 | data[at + 1] << 7
+                    at += 2
                 else:
-                    length, at = _read_long(data, at)
-                end = at + length
-                if length < 0 or end > size:
+                    signed, at = _read_long(data, at)
+                    length = signed << 1 if signed >= 0 else 1
+                end = at + (length >> 1)
+                if length & 1 or end > size:  # odd: negative
                     return None
                 lines.append(data[at:end])
                 at = end
@@ -130,7 +135,10 @@ def _as_lists(segments: list[list[bytes] | None]) -> pa.Array:
         starts.append(None if lines is None else len(flat))
         flat.extend(lines or ())
     starts.append(len(flat))
-    texts = pa.array(flat, pa.binary()).cast(pa.string())
+    offsets = np.zeros(len(flat) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, flat), np.int32, len(flat)), out=offsets[1:])
+    texts = pa.StringArray.from_buffers(len(flat), pa.py_buffer(offsets), pa.py_buffer(b"".join(flat)))
+    texts.validate(full=True)
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), texts)
 
 
