@@ -23,6 +23,20 @@ from telemill.functions.clock import minute_label  # noqa: E402
 from telemill.plans.logtype import LogType, clock_parts, derived, text, whole  # noqa: E402
 from telemill.session import scratch_dir  # noqa: E402
 
+try:
+    from telemill.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as error:  # the subpackage may have been left out; nothing else may be missing
+    if not (error.name or "").startswith("telemill.llm"):
+        raise
+    llm = None
+
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as error:  # goes with the subpackage
+    if error.name != "corpus_pipeline" and not (error.name or "").startswith("telemill.llm"):
+        raise
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 LINES_PER_MESSAGE = 50
@@ -596,8 +610,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _catalog().items()}
+    found = {name: query for name, (query, _) in _catalog().items()}
+    if llm:
+        found |= llm.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _catalog().items()}
+    found = {name: sql for name, (_, sql) in _catalog().items()}
+    if llm:
+        found |= llm.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
