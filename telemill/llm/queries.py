@@ -3,9 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from telemill.llm import jaccard
-from telemill.llm.common import table
+from telemill.llm import jaccard, language, pseudonyms
+from telemill.llm.common import fold, table
+
+
+#: A deployment passes a key of its own.
+KEY = b"telemill"
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    dictionaries = language.learn(docs.where(fold() != 0))
+    found = language.identify(docs.select("doc_id", (fold() == 0).alias("held_out"), "text"), dictionaries)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +25,15 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymize(docs, KEY)
+
+
 QUERIES = {
+    "op7_language_id": op7_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_pseudonyms": op10_pseudonyms,
 }
 
 ORACLE_SQL: dict[str, str] = {}
