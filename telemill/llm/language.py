@@ -15,19 +15,28 @@ from pyspark.sql import functions as F
 from telemill.llm.common import map_slices
 
 #: Bounds of the fit: documents of each language that are looked at, and bytes of them in its dictionary.
-SAMPLE_DOCS, DICTIONARY_BYTES = 256, 64 << 10
+SAMPLE_DOCS, DICTIONARY_BYTES = 256, 16 << 10
 
 #: Learned languages. More than that is an error: dictionaries go to every task.
 MOST_LANGUAGES = 256
 
 #: Texts are compressed in pieces, so that the dictionary counts as much at their end as at their start.
-PIECE_BYTES = 2048
+PIECE_BYTES = 4096
 
 #: A text is rejected if the second best language needs less than this share more.
 MARGIN = 0.004
 
+#: Strong enough to find matches of three bytes all through the dictionary.
+LEVEL = 12
+
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
+_LETTERS_ONLY = bytes(b if b >= 0x80 or chr(b).islower() else 0x20 for b in range(256))
+
+
+def plain(text: str) -> bytes:
+    """What is compressed: lower-case, with one blank for whatever lies between words of letters."""
+    return b" ".join(text.lower().encode().translate(_LETTERS_ONLY).split())
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
@@ -45,12 +54,12 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYT
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("place")
-        texts = [t.encode() for t in group["text"]]
+        texts = [plain(t) for t in group["text"]]
         kept, left = [], size
         for i, t in enumerate(sorted(texts, key=len)):  # short texts leave their share to longer ones
             kept.append(t[: left // (len(texts) - i)])
             left -= len(kept[-1])
-        return pd.DataFrame({"lang": group["lang"].iloc[:1], "content": [b"".join(kept)]})
+        return pd.DataFrame({"lang": group["lang"].iloc[:1], "content": [b" ".join(kept)]})
 
     made = chosen.groupBy("lang").applyInPandas(gather, "lang string, content binary").limit(MOST_LANGUAGES + 1).collect()
     if len(made) > MOST_LANGUAGES:
@@ -59,7 +68,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYT
 
 
 class Classifier:
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 1):
+    def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL):
         self.languages = sorted(dictionaries)
         self.compressors = []
         for lang in self.languages:
@@ -73,7 +82,7 @@ class Classifier:
 
     def sizes(self, text: bytes) -> np.ndarray:
         """Compressed bytes with the dictionary of each language; the whole text in pieces of even size."""
-        count = -(-len(text) // PIECE_BYTES)
+        count = max(1, -(-len(text) // PIECE_BYTES))
         ends = [len(text) * i // count for i in range(count + 1)]
         pieces = [text[a:b] for a, b in pairwise(ends)]
         return np.array([sum(len(c.compress(p)) for p in pieces) for c in self.compressors])
@@ -82,12 +91,10 @@ class Classifier:
         """Language, score and whether the text is rejected."""
         if not text or not self.languages or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
-        sizes = self.sizes(text.encode())
+        sizes = self.sizes(plain(text))
         order = np.argsort(sizes, kind="stable")
-        best, second = sizes[order[0]], sizes[order[1]] if len(order) > 1 else 2 * sizes[order[0]]
-        margin = 1 - best / second
-        score = 1 / (1 + np.exp(-50 * margin)) if margin > 0 else 0.5
-        return self.languages[order[0]], float(score), bool(margin < MARGIN)
+        margin = 1 - sizes[order[0]] / sizes[order[1]] if len(order) > 1 else 1.0
+        return self.languages[order[0]], float(1 / (1 + np.exp(-50 * margin))), bool(margin < MARGIN)
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
@@ -100,7 +107,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    # zlib's relatives hold on to what they were given: one classifier for each worker, built on first use.
+    # one classifier for each worker, built on first use
     built: dict[int, Classifier] = {}
 
     def run(piece: pa.RecordBatch) -> dict:

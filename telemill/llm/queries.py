@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm import jaccard, language, pseudonyms
+from telemill.llm import jaccard, language, mixing, packing, pseudonyms
 from telemill.llm.common import fold, table
 
 
@@ -13,6 +13,15 @@ from telemill.llm.common import fold, table
 KEY = b"telemill"
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     dictionaries = language.learn(docs.where(fold() != 0))
@@ -31,6 +40,8 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op6_source_mixing": op6_source_mixing,
     "op7_language_id": op7_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_pseudonyms": op10_pseudonyms,
