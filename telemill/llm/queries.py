@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemill.llm import jaccard, language, mixing, packing, pseudonyms
+from telemill.llm import iblt, jaccard, language, mixing, packing, pseudonyms
 from telemill.llm.common import fold, table
 
 
@@ -13,6 +13,10 @@ from telemill.llm.common import fold, table
 KEY = b"telemill"
 
 
+def op1_bloom_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bloom_fingerprints": op1_bloom_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_source_mixing": op6_source_mixing,
     "op7_language_id": op7_language_id,
