@@ -42,15 +42,20 @@ def plain(text: str) -> bytes:
 def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A raw-content dictionary for each `lang` of `docs`, at most `size` bytes from `sample` documents of it.
 
-    The sample is the `sample` documents whose ids and texts hash lowest, evenly in the dictionary: each adds as much
-    as the bound allows. Null texts and languages teach nothing; an empty frame gives no dictionary. Ranking is
-    pre-selected in every task, so no language's documents are gathered.
+    The sample is the `sample` rows whose ids and texts hash lowest (repeated rows count once); each adds as much to the
+    dictionary as the bound allows. Null texts and languages teach nothing; an empty frame gives no dictionary. Only hashes are
+    ranked, pre-selected in every task, so no language's documents are gathered.
     """
     ranked = docs.where("lang is not null and text is not null and text <> ''").select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("rank")
     )
-    first = Window.partitionBy("lang").orderBy("rank", "text")
-    chosen = ranked.withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample)
+    if docs.select("lang").distinct().limit(MOST_LANGUAGES + 2).count() > MOST_LANGUAGES + 1:  # one may be null
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    lowest = Window.partitionBy("lang").orderBy("rank")
+    ranks = ranked.select("lang", "rank", F.row_number().over(lowest).alias("place"))
+    ranks = ranks.where(F.col("place") <= sample).groupBy("lang", "rank").agg(F.min("place").alias("place"))
+    # at most `sample` rows for each of MOST_LANGUAGES
+    chosen = ranked.join(F.broadcast(ranks), ["lang", "rank"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("place")
@@ -61,9 +66,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYT
             left -= len(kept[-1])
         return pd.DataFrame({"lang": group["lang"].iloc[:1], "content": [b" ".join(kept)]})
 
-    made = chosen.groupBy("lang").applyInPandas(gather, "lang string, content binary").limit(MOST_LANGUAGES + 1).collect()
-    if len(made) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
+    made = chosen.groupBy("lang").applyInPandas(gather, "lang string, content binary").collect()
     return {r["lang"]: bytes(r["content"]) for r in sorted(made)}
 
 
