@@ -8,6 +8,7 @@ hash of the set's elements there. Sufficiently similar sets share one of them, w
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemill.llm.common import cut, joined, map_slices, mix
+from telemill.llm.common import cut, joined, map_slices, mix, slices
 from telemill.llm.components import components
 from telemill.llm.shingles import shingle_sets
 
@@ -25,6 +26,12 @@ from telemill.llm.shingles import shingle_sets
 BAND = Fraction(4, 3)
 PIECES = 3
 
+#: Sets that a task remembers to have signed.
+SEEN = 200_000
+
+#: Words of 64 bits in the bitmap of ids whose texts are wanted: a megabyte.
+SIEVE_WORDS = 1 << 17
+
 #: Nodes of a leader that are compared with each other at a time, on average.
 BLOCK = 512
 
@@ -51,33 +58,44 @@ def signatures(hashes: np.ndarray, places: np.ndarray, similarity: Fraction) ->
 
     A pair meets in the band of the larger set. Bands in which similar sets are equal have no signatures.
     """
-    out = []
-    spread = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
-    values = mix(hashes + np.uint64(0x14057B7EF767814F))
     sizes = np.diff(places)
     tops = bands(similarity, int(sizes.max(initial=1) / similarity) + 1)
     own = np.searchsorted(tops, sizes)
     last = np.searchsorted(tops, np.floor_divide(sizes * similarity.denominator, similarity.numerator))
+    out = []
     for i, n in enumerate(sizes):
-        a, b = places[i], places[i + 1]
         made = []
         for band in range(own[i], last[i] + 1) if n else ():
             k = differing(similarity, int(tops[band]))
-            if not k:
-                continue
-            parts = k // 2 + 1
-            cell = (spread[a:b] % np.uint64(parts * PIECES)).astype(np.int64)
-            sums = np.zeros(parts * PIECES, np.uint64)
-            np.add.at(sums, cell, values[a:b])
-            sums = sums.reshape(parts, PIECES)
-            # leaving out one piece of a part keeps the other two
-            kept = sums.sum(axis=1, keepdims=True, dtype=np.uint64) - sums
-            name = np.arange(parts * PIECES, dtype=np.uint64) + np.uint64(band << 40)
-            made.append(mix(kept.ravel() ^ mix(name)))
+            if k:
+                made += _enumerate(hashes[places[i] : places[i + 1]], k // 2 + 1, band)
         out.append(np.concatenate(made) if made else np.zeros(0, np.uint64))
     return out
 
 
+def _enumerate(hashes: np.ndarray, parts: int, name: int, again: bool = True) -> list[np.ndarray]:
+    """A signature for every part and left-out piece.
+
+    Many unlike sets agree where neither has an element. Instead of such a signature the set has those of another way
+    to cut the domain, named after the empty place, which similar sets share as well.
+    """
+    name = mix(np.array([name], np.uint64))
+    cell = (mix(hashes ^ name) % np.uint64(parts * PIECES)).astype(np.int64)
+    sums = np.zeros(parts * PIECES, np.uint64)
+    np.add.at(sums, cell, mix(hashes + name))
+    count = np.bincount(cell, minlength=parts * PIECES).reshape(parts, PIECES)
+    # leaving out one piece of a part keeps the other two
+    kept = sums.reshape(parts, PIECES).sum(axis=1, keepdims=True, dtype=np.uint64) - sums.reshape(parts, PIECES)
+    named = mix(kept.ravel() ^ mix(np.arange(parts * PIECES, dtype=np.uint64) + name))
+    if not again:
+        return [named]
+    empty = (count.sum(axis=1, keepdims=True) == count).ravel()
+    out = [named[~empty]]
+    for place in named[empty]:
+        out += _enumerate(hashes, parts, int(place), again=False)
+    return out
+
+
 def _digest(hashes: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
     """128 bits for each set, as two columns of longs."""
     out = []
@@ -92,16 +110,29 @@ def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _sketch(width: int, similarity: Fraction | None):
+def _sketch(width: int):
     def run(piece: pa.RecordBatch) -> dict:
         hashes, places = shingle_sets(*joined(piece.column("text")), width)
         d1, d2 = _digest(hashes, places)
-        made = {"n_shingles": np.diff(places), "d1": d1, "d2": d2}
-        if similarity is not None:
-            signed = signatures(hashes, places, similarity)
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in signed])])
-            made["signatures"] = _lists(ends, np.concatenate([np.zeros(0, np.uint64), *signed]))
-        return dict(zip(piece.schema.names, piece.columns)) | made
+        return dict(zip(piece.schema.names, piece.columns)) | {"n_shingles": np.diff(places), "d1": d1, "d2": d2}
+
+    return run
+
+
+def _signed(width: int, similarity: Fraction):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # sets that this task has signed, so that copies are left out before the shuffle
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                hashes, places = shingle_sets(*joined(piece.column("text")), width)
+                d1 = _digest(hashes, places)[0]
+                made = signatures(hashes, places, similarity)
+                made = [s[:0] if d in seen or seen.add(d) else s for d, s in zip(d1.tolist(), made)]
+                if len(seen) > SEEN:
+                    seen.clear()
+                nodes = np.repeat(d1, [len(s) for s in made])
+                flat = np.concatenate([np.zeros(0, np.uint64), *made]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(nodes)], ["signature", "node"])
 
     return run
 
@@ -131,8 +162,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
     linked, rows with the same id and different texts are separate documents. Null ids come after all others, so a
     component with null ids only has a null id. An empty frame gives an empty frame.
 
-    Equal sets are one node. Every node is verified against the leader (the smallest node; common sets are small) of
-    each signature that it shares, which leaves out no pair:
+    Equal sets are one node, named by 64 bits of their digest. Every node is verified against the leader (the smallest
+    node) of each signature that it shares, which leaves out no pair:
 
     * Two nodes whose distances from their leader add up to no more than a link's are linked. The node with the most
       slack stands in for all of them.
@@ -142,17 +173,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
       quadratic in the nodes of one leader that are near each other and yet not connected.
     """
     similarity = Fraction(similarity)
-    nodes = _nodes(docs, width, similarity)
+    key = F.coalesce("doc_id", F.lit(NO_ID))
+    rows = cut(sketches(docs.select("doc_id", "text"), width))
+    nodes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min(key).alias("rep"))
     links = _links(docs, nodes, width, similarity)
-    grouped = nodes.select("d1", "d2", "rep", "node").join(components(links), "node", "left")
-    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
+    grouped = nodes.join(components(links), nodes.d1 == F.col("node"), "left")
+    grouped = grouped.withColumn("component", F.coalesce("component", "d1"))
     smallest = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = grouped.join(smallest, "component").select(
         "d1", "d2", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id")
     )
-    rows = sketches(docs.select("doc_id", "text"), width).join(named, ["d1", "d2"], "left")
     some = F.col("n_shingles") > 0
-    return rows.select(
+    return rows.join(named, ["d1", "d2"], "left").select(
         "doc_id",
         "n_shingles",
         F.when(some, F.array("d1", "d2")).alias("digest"),
@@ -160,40 +192,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
     )
 
 
-def sketches(docs: DataFrame, width: int, similarity: Fraction | None = None) -> DataFrame:
-    """Set size, digest and, for a similarity, signatures of each row; all columns but the text stay."""
-    kept = [f for f in docs.schema if f.name != "text"]
-    made = "n_shingles bigint, d1 bigint, d2 bigint" + (", signatures array<bigint>" if similarity else "")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [made])
-    return map_slices(docs, "text", schema, _sketch(width, similarity))
-
-
-def _nodes(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """One row per distinct set: its digest, smallest document, size and signatures. Common sets have small nodes."""
-    found = (
-        sketches(docs.select("doc_id", "text"), width, similarity)
-        .where("n_shingles > 0")
-        .groupBy("d1", "d2")
-        .agg(
-            F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("rep"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("signatures").alias("signatures"),
-        )
-    )
-    rank = 127 - F.least(F.lit(127), (4 * F.log2("copies")).cast("int"))
-    return cut(found.withColumn("node", F.shiftleft(rank.cast("bigint"), 56) + F.monotonically_increasing_id()))
+def sketches(docs: DataFrame, width: int, keep_text: bool = False) -> DataFrame:
+    """Set size `n_shingles` and digest `d1`, `d2` of each row; the other columns stay, the text if asked for."""
+    docs = docs.drop("n_shingles", "d1", "d2")
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if keep_text or f.name != "text"]
+    schema = ", ".join([*kept, "n_shingles bigint, d1 bigint, d2 bigint"])
+    return map_slices(docs, "text", schema, _sketch(width))
 
 
 def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """Links (`a`, `b`) between nodes, enough to connect what is connected by links."""
-    signed = nodes.select("node", F.explode("signatures").alias("signature"))
-    leaders = signed.groupBy("signature").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = cut(signed.join(leaders, "signature").where("node <> leader").select("leader", "node").distinct())
+    """Links (`a`, `b`) between nodes (their `d1`), enough to connect what is connected by links."""
+    signed = docs.select("text").mapInArrow(_signed(width, similarity), "signature bigint, node bigint")
+    sharing = Window.partitionBy("signature")
+    led = signed.withColumn("leader", F.min("node").over(sharing)).where("node <> leader")
+    stars = cut(led.select("leader", "node").distinct())
     wanted = stars.select("node").union(stars.select("leader")).distinct()
-    wanted = nodes.join(wanted, "node").select("node", "rep", "d1", "d2")
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(wanted, "rep")
-    sets = _verified_sets(texts, width)
+    wanted = cut(wanted.join(nodes, wanted.node == nodes.d1).select("node", "rep", "d1", "d2"))
+    sets = _verified_sets(_texts(docs, wanted), width)
 
     deltas = cut(_differences(stars, sets, similarity))
     links = deltas.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
@@ -201,6 +216,20 @@ def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction)
     return links.union(_in_blocks(_undecided(deltas, links), similarity))
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of `wanted`, by id.
+
+    So that not all texts are shuffled for a few, a bitmap of hashed ids goes ahead, of at most SIEVE_WORDS rows
+    whatever the input is. It lets more through the more ids are wanted, and all of them at worst.
+    """
+    word = F.expr(f"cast(pmod(xxhash64(rep), {64 * SIEVE_WORDS}) div 64 as int)")
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))")
+    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text")
+    sieved = texts.join(F.broadcast(words), word == F.col("word"))
+    return sieved.where(F.col("bits").bitwiseAND(bit) != 0).select("rep", "text").join(wanted, "rep")
+
+
 def _verified_sets(texts: DataFrame, width: int) -> DataFrame:
     """`node`, `elements` (sorted) and `size`, from the texts whose digest is the node's."""
     sets = map_slices(texts, "text", "node bigint, elements array<bigint>, right boolean", _sets(width)).where("right")
