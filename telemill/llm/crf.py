@@ -207,7 +207,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Chai
         flat = [c.mean, c.scale, c.weights, c.move.ravel(), c.first, [c.bias, c.prior]]
         return pd.DataFrame({"weights": [np.concatenate(flat)]})
 
-    made = texts.groupBy(F.lit(0)).applyInPandas(train, "weights array<double>").collect()
+    made = texts.withColumn("fit", F.lit(0)).groupBy("fit").applyInPandas(train, "weights array<double>").collect()
     if not made:
         return Chain(np.zeros(3 * OWN), np.ones(3 * OWN), 0.5)
     mean, scale, weights, move, first, rest = np.split(np.array(made[0]["weights"]), np.cumsum([3 * OWN] * 3 + [4, 2]))
