@@ -28,17 +28,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     link with nothing and stay, repeated ones too.
     """
     grouped = jaccard.near_duplicates(docs.select("doc_id", "text"), width=5, similarity="0.8")
-    # a row for each text that may stand for its group: those with the id that names the group
-    named = grouped.where("n_shingles > 0 and doc_id <=> component_id")
-    first = Window.partitionBy("doc_id").orderBy("digest")
-    chosen = named.groupBy("doc_id", "digest").count().withColumn("n", F.row_number().over(first)).where("n = 1")
-    chosen = chosen.select(F.col("doc_id").alias("id"), F.col("digest")[0].alias("c1"), F.col("digest")[1].alias("c2"))
+    stands = F.min(F.struct(F.coalesce("doc_id", F.lit(jaccard.NO_ID)).alias("id"), "digest")).alias("stands")
+    chosen = grouped.where("n_shingles > 0").groupBy("component").agg(stands)
+    chosen = chosen.selectExpr("stands.id as id", "stands.digest[0] as c1", "stands.digest[1] as c2")
     marked = jaccard.sketches(docs, 5, keep_text=True)
-    worded = marked.where("n_shingles > 0").join(
-        chosen, F.expr("doc_id <=> id and d1 = c1 and d2 = c2"), "left_semi"
-    )
-    # rows of one id with equal sets: the first by text stays
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text", "lang", "source"), "text")
+    same = F.expr(f"coalesce(doc_id, {jaccard.NO_ID}) = id and d1 = c1 and d2 = c2")
+    worded = marked.where("n_shingles > 0").join(chosen, same, "left_semi")
+    # rows of one id with equal sets: one stays
+    once = Window.partitionBy("doc_id", "d1", "d2").orderBy(F.xxhash64("text", "lang", "source"), "text")
     worded = worded.withColumn("n", F.row_number().over(once)).where("n = 1")
     return worded.select(docs.columns).unionByName(marked.where("n_shingles = 0").select(docs.columns))
 

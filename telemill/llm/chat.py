@@ -155,7 +155,7 @@ def format_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         laid.join(placed, "node")
         .join(attends, "node", "left")
         .select(
-            "tree", "node", F.expr("try_element_at(path, depth - 1)").alias("parent"), "depth", "tokens", "learn_from",
+            "tree", "node", F.expr("get(path, depth - 2)").alias("parent"), "depth", "tokens", "learn_from",
             "learn_to", "start", "end", F.coalesce("position", F.lit(0)).alias("position"),
             F.coalesce("attends", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")).alias("attends"),
         )

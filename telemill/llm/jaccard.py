@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemill.llm.common import cut, joined, map_slices, mix, slices
+from telemill.llm.common import cut, joined, map_slices, mix, slices, spread
 from telemill.llm.components import components
 from telemill.llm.shingles import shingle_sets
 
@@ -26,6 +26,9 @@ from telemill.llm.shingles import shingle_sets
 BAND = Fraction(4, 3)
 PIECES = 3
 
+#: One part in so many is spare (see `_enumerate`).
+SPARE = 20
+
 #: Sets that a task remembers to have signed.
 SEEN = 200_000
 
@@ -68,18 +71,21 @@ def signatures(hashes: np.ndarray, places: np.ndarray, similarity: Fraction) ->
         for band in range(own[i], last[i] + 1) if n else ():
             k = differing(similarity, int(tops[band]))
             if k:
-                made += _enumerate(hashes[places[i] : places[i + 1]], k // 2 + 1, band)
+                made.append(_enumerate(hashes[places[i] : places[i + 1]], k // 2 + 1, band))
         out.append(np.concatenate(made) if made else np.zeros(0, np.uint64))
     return out
 
 
-def _enumerate(hashes: np.ndarray, parts: int, name: int, again: bool = True) -> list[np.ndarray]:
+def _enumerate(hashes: np.ndarray, parts: int, band: int) -> np.ndarray:
     """A signature for every part and left-out piece.
 
-    Many unlike sets agree where neither has an element. Instead of such a signature the set has those of another way
-    to cut the domain, named after the empty place, which similar sets share as well.
+    Many unlike sets agree where neither has an element. So there are `spare` parts more than needed: similar sets then
+    agree, but for one element, in one part more than `spare` parts, and a set that has such empty places in no more
+    than `spare` of them need not name them. A set with more of them names them all.
     """
-    name = mix(np.array([name], np.uint64))
+    spare = parts // SPARE + 2
+    parts += spare
+    name = mix(np.array([band], np.uint64))
     cell = (mix(hashes ^ name) % np.uint64(parts * PIECES)).astype(np.int64)
     sums = np.zeros(parts * PIECES, np.uint64)
     np.add.at(sums, cell, mix(hashes + name))
@@ -87,13 +93,8 @@ def _enumerate(hashes: np.ndarray, parts: int, name: int, again: bool = True) ->
     # leaving out one piece of a part keeps the other two
     kept = sums.reshape(parts, PIECES).sum(axis=1, keepdims=True, dtype=np.uint64) - sums.reshape(parts, PIECES)
     named = mix(kept.ravel() ^ mix(np.arange(parts * PIECES, dtype=np.uint64) + name))
-    if not again:
-        return [named]
-    empty = (count.sum(axis=1, keepdims=True) == count).ravel()
-    out = [named[~empty]]
-    for place in named[empty]:
-        out += _enumerate(hashes, parts, int(place), again=False)
-    return out
+    empty = count.sum(axis=1, keepdims=True) == count
+    return named if empty.any(axis=1).sum() > spare else named[~empty.ravel()]
 
 
 def _digest(hashes: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
@@ -110,11 +111,27 @@ def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def bucket_counts(hashes: np.ndarray, places: np.ndarray) -> list[bytes]:
+    """How many elements of each set fall in each bucket of the domain, a byte per bucket, about one for four elements.
+
+    The distance of two such vectors is never more than the number of elements in which the sets differ. Halves add up
+    to the vector for half as many buckets.
+    """
+    spread = mix(hashes ^ np.uint64(0x8EBC6AF09C88C6E3))
+    out = []
+    for a, b in zip(places[:-1], places[1:]):
+        size = 1 << min(12, max(6, int(b - a).bit_length() - 2))
+        counts = np.bincount((spread[a:b] % np.uint64(size)).astype(np.int64), minlength=size)
+        out.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+    return out
+
+
 def _sketch(width: int):
     def run(piece: pa.RecordBatch) -> dict:
         hashes, places = shingle_sets(*joined(piece.column("text")), width)
         d1, d2 = _digest(hashes, places)
-        return dict(zip(piece.schema.names, piece.columns)) | {"n_shingles": np.diff(places), "d1": d1, "d2": d2}
+        made = {"n_shingles": np.diff(places), "d1": d1, "d2": d2, "buckets": bucket_counts(hashes, places)}
+        return dict(zip(piece.schema.names, piece.columns)) | made
 
     return run
 
@@ -155,15 +172,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
     """Group `docs` (`doc_id`, `text`; other columns are ignored) by links of Jaccard similarity `similarity` or more.
 
     Returns a row per input row: `doc_id`, `n_shingles`, `digest` (two longs in an array, the same for equal sets; null
-    without words) and `component_id`, the smallest `doc_id` that links reach. Words are what lies between ASCII white
+    without words), `component` (a name for the group; null without words) and `component_id`, the smallest `doc_id`
+    that links reach. Words are what lies between ASCII white
     space, with A-Z lower-cased; a text of fewer than `width` words has its whole sequence as only shingle.
 
     Null and empty texts have no shingles, link with nothing and are their own component. Rows with equal sets are
     linked, rows with the same id and different texts are separate documents. Null ids come after all others, so a
     component with null ids only has a null id. An empty frame gives an empty frame.
 
-    Equal sets are one node, named by 64 bits of their digest. Every node is verified against the leader (the smallest
-    node) of each signature that it shares, which leaves out no pair:
+    Equal sets are one node, named by 64 bits of their digest. Nodes that share a signature meet under the smallest of
+    them. What counts of buckets cannot tell apart there is connected, and every node is verified against the leader (the
+    smallest node) of what it is connected with, which leaves out no pair:
 
     * Two nodes whose distances from their leader add up to no more than a link's are linked. The node with the most
       slack stands in for all of them.
@@ -175,28 +194,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
     similarity = Fraction(similarity)
     key = F.coalesce("doc_id", F.lit(NO_ID))
     rows = cut(sketches(docs.select("doc_id", "text"), width))
-    nodes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min(key).alias("rep"))
+    nodes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(
+        F.min(key).alias("rep"), F.first("n_shingles").alias("size"), F.first("buckets").alias("buckets")
+    )
     links = _links(docs, nodes, width, similarity)
-    grouped = nodes.join(components(links), nodes.d1 == F.col("node"), "left")
+    grouped = nodes.drop("buckets").join(components(links), nodes.d1 == F.col("node"), "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "d1"))
     smallest = grouped.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = grouped.join(smallest, "component").select(
-        "d1", "d2", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id")
+        "d1", "d2", "component", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id")
     )
     some = F.col("n_shingles") > 0
     return rows.join(named, ["d1", "d2"], "left").select(
         "doc_id",
         "n_shingles",
         F.when(some, F.array("d1", "d2")).alias("digest"),
+        "component",
         F.when(some, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
 def sketches(docs: DataFrame, width: int, keep_text: bool = False) -> DataFrame:
-    """Set size `n_shingles` and digest `d1`, `d2` of each row; the other columns stay, the text if asked for."""
-    docs = docs.drop("n_shingles", "d1", "d2")
+    """Set size `n_shingles`, digest `d1`, `d2` and `buckets` of each row; other columns stay, the text if asked for."""
+    docs = docs.drop("n_shingles", "d1", "d2", "buckets")
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if keep_text or f.name != "text"]
-    schema = ", ".join([*kept, "n_shingles bigint, d1 bigint, d2 bigint"])
+    schema = ", ".join([*kept, "n_shingles bigint, d1 bigint, d2 bigint, buckets binary"])
     return map_slices(docs, "text", schema, _sketch(width))
 
 
@@ -205,7 +227,9 @@ def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction)
     signed = docs.select("text").mapInArrow(_signed(width, similarity), "signature bigint, node bigint")
     sharing = Window.partitionBy("signature")
     led = signed.withColumn("leader", F.min("node").over(sharing)).where("node <> leader")
-    stars = cut(led.select("leader", "node").distinct())
+    met = led.select("leader", "node").distinct()
+    near = _canopies(cut(met.union(met.select("leader", "leader").distinct())), nodes, similarity)
+    stars = components(near).where("node <> component").select(F.col("component").alias("leader"), "node")
     wanted = stars.select("node").union(stars.select("leader")).distinct()
     wanted = cut(wanted.join(nodes, wanted.node == nodes.d1).select("node", "rep", "d1", "d2"))
     sets = _verified_sets(_texts(docs, wanted), width)
@@ -216,6 +240,78 @@ def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction)
     return links.union(_in_blocks(_undecided(deltas, links), similarity))
 
 
+def _canopies(met: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFrame:
+    """Edges (`a`, `b`) whose components hold every linked pair of what has met under one leader, and little else.
+
+    Distances of bucket counts are bounds of the sets' and keep the triangle inequality. A node that is in no core yet
+    becomes a centre; what is within `core` of it is in its core, and what is within `core` and a link's length is
+    connected with it. So a node's links are connected with the centre of its core. Under one leader that is done in
+    blocks, two at a time, and gives a forest.
+    """
+    part, whole = _share(similarity)
+    counts = met.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    known = nodes.select(F.col("d1").alias("node"), "size", "buckets")
+    rows = _dealt(met.join(counts.where("blocks > 1"), "leader", "left").fillna(1, ["blocks"]).join(known, "node"))
+    rows = spread(rows.select("leader", "i", "j", "node", "size", "buckets"), "leader", "i", "j")
+
+    def forest(nodes: np.ndarray, sizes: np.ndarray, buckets: list[bytes]) -> tuple[list[int], list[int]]:
+        least = min(map(len, buckets))
+        counts = np.stack([np.frombuffer(b, np.uint8).reshape(-1, least).sum(axis=0) for b in buckets]).astype(np.int64)
+        most = int(sizes.max())
+        link = part * (most + most * similarity.denominator // similarity.numerator) // whole
+        left, right = [], []
+        open_, label = np.ones(len(nodes), bool), np.arange(len(nodes))
+        for i in range(len(nodes)):
+            if open_[i]:
+                apart = np.abs(counts - counts[i]).sum(axis=1)
+                open_ &= apart > link // 2
+                found = np.unique(label[apart <= link // 2 + link])
+                other = found[found != label[i]]
+                left += [nodes[i]] * len(other)
+                right += nodes[other].tolist()
+                label[np.isin(label, other)] = label[i]
+        return left, right
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def made(table: pa.Table) -> pa.RecordBatch:
+            keys = np.stack([table.column(c).to_numpy() for c in ("leader", "i", "j")])
+            ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, keys.shape[1])
+            nodes, sizes = table.column("node").to_numpy(), table.column("size").to_numpy()
+            buckets, start, out = table.column("buckets").to_pylist(), 0, ([], [])
+            for end in ends:
+                if end - start > 1:
+                    for column, values in zip(out, forest(nodes[start:end], sizes[start:end], buckets[start:end])):
+                        column += values
+                start = end
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = [batch.column(c)[-1].as_py() for c in ("leader", "i", "j")]
+            tail = batch.num_rows
+            keys = [batch.column(c).to_numpy() for c in ("leader", "i", "j")]
+            while tail and all(k[tail - 1] == v for k, v in zip(keys, last)):
+                tail -= 1
+            if tail:
+                yield made(pa.Table.from_batches([*held, batch.slice(0, tail)]))
+                held = []
+            held.append(batch.slice(tail))
+        if held:
+            yield made(pa.Table.from_batches(held))
+
+    return rows.sortWithinPartitions("leader", "i", "j", "node").mapInArrow(run, "a bigint, b bigint")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a `leader` with `blocks`, once for each pair `i`, `j` of blocks that they are in."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of `wanted`, by id.
 
@@ -323,10 +419,5 @@ def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
         return pd.DataFrame({"a": nodes[label[other]], "b": nodes[other]})
 
     count = rows.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = rows.join(count, "leader").withColumn("own", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "size", "delta"
-    )
+    dealt = _dealt(rows.join(count, "leader")).select("leader", "i", "j", "node", "size", "delta")
     return dealt.groupBy("leader", "i", "j").applyInPandas(forest, "a bigint, b bigint")

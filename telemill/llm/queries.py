@@ -101,13 +101,14 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_top_k": """
         with v as (
-            select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as e
+            select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
             from embeddings
             where embedding is not null and len(embedding) > 0
-                and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ),
         p as (
-            select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.e, c.e), x -> x[1] * x[2])) as bigint) as score
+            select q.vec_id as query_id, c.vec_id,
+                cast(list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2])) as bigint) as score
             from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
             where q.vec_id % 20 = 0
         )

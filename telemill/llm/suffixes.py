@@ -30,7 +30,7 @@ SEEN = 200_000
 SIEVE_WORDS = 1 << 17
 
 #: Contexts of one gram that are sorted together, on average, and starts that are sorted at a time, at least.
-BLOCK, SORTED = 1024, 100_000
+BLOCK, SORTED = 4096, 100_000
 
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
@@ -83,6 +83,12 @@ def grams(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def find_grams(docs: DataFrame, length: int) -> DataFrame:
+    """The runs of all texts, with a `count` for contexts that repeat in the task's piece of the input.
+
+    Of those one row goes on, and all their starts are reported as repeated at once: rows with count 0, merged to long
+    stretches. So a text that repeats itself has few rows, and no gram is common for that.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -100,22 +106,40 @@ def find_grams(docs: DataFrame, length: int) -> DataFrame:
                             column.append(values)
                 if len(seen) > SEEN:
                     seen.clear()
-                made = [pa.array(np.concatenate(c), f.type) for c, f in zip(columns, _GRAMS)]
+                made = [pa.array(c, f.type) for c, f in zip(_combined(*map(np.concatenate, columns)), _GRAMS)]
                 yield pa.RecordBatch.from_arrays(made, schema=_GRAMS)
 
     return docs.select("text").mapInArrow(
-        run, "gram bigint, context bigint, key bigint, start bigint, starts int, distance int"
+        run, "gram bigint, context bigint, key bigint, start bigint, starts bigint, distance int, count bigint"
     )
 
 
+def _combined(gram, context, key, start, starts, distance) -> list[np.ndarray]:
+    pair = mix(gram.view(np.uint64)) ^ context.view(np.uint64)
+    _, first, which, count = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+    rows = [x[first] for x in (gram, context, key, start, starts, distance)] + [count]
+    several = np.flatnonzero(count[which] > 1)
+    order = several[np.lexsort((start[several], key[several]))]
+    at, begin, end = key[order], start[order], start[order] + starts[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (at[1:] != at[:-1]) | (begin[1:] != end[:-1])
+    head = np.flatnonzero(new)
+    size = end[np.append(head[1:], len(order)) - 1] - begin[head] if len(head) else begin[head]
+    spread_out = mix(at[head].view(np.uint64) ^ mix(begin[head].view(np.uint64))).view(np.int64)
+    none = np.zeros(len(head), np.int64)
+    more = [spread_out, none, at[head], begin[head], size, none, none]
+    return [np.concatenate(c) for c in zip(rows, more)]
+
+
 _GRAMS = pa.schema(
     [
         ("gram", pa.int64()),
         ("context", pa.int64()),
         ("key", pa.int64()),
         ("start", pa.int64()),
-        ("starts", pa.int32()),
+        ("starts", pa.int64()),
         ("distance", pa.int32()),
+        ("count", pa.int64()),
     ]
 )
 
@@ -280,15 +304,16 @@ def repeated_starts(docs: DataFrame, length: int) -> DataFrame:
     found = find_grams(docs, length)
     by_gram, by_context = Window.partitionBy("gram"), Window.partitionBy("gram", "context")
     counted = (
-        found.withColumn("all", F.count(F.lit(1)).over(by_gram))
-        .withColumn("same", F.count(F.lit(1)).over(by_context))
-        .where("all > 1")
+        found.withColumn("all", F.sum("count").over(by_gram))
+        .withColumn("same", F.sum("count").over(by_context))
+        .where("count = 0 or all > 1")
         .withColumn("nth", F.row_number().over(by_context.orderBy("key", "start")))
-        .withColumn("open", F.expr("all > same and nth = 1"))
-        .where("same > 1 or open")
+        .withColumn("open", F.expr("count > 0 and all > same and nth = 1"))
+        .withColumn("known", F.expr("count = 0 or same > 1"))
+        .where("known or open")
     )
-    counted = cut(counted.select("gram", "key", "start", "starts", "distance", "all", "same", "open"))
-    whole = counted.where("same > 1").select(
+    counted = cut(counted.select("gram", "key", "start", "starts", "distance", "all", "known", "open"))
+    whole = counted.where("known").select(
         "key", F.col("start").alias("from"), (F.col("start") + F.col("starts") - 1).alias("to")
     )
     asked = counted.where("open").groupBy("key").agg(

@@ -1,0 +1,83 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from telemill.llm import suffixes
+
+
+def expected(rows, length):
+    data = [(t or "").encode() for _, t in rows]
+    seen = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for (doc_id, _), d in zip(rows, data):
+        gone = np.zeros(len(d) + 1, int)
+        for i in range(len(d) - length + 1):
+            if seen[d[i : i + length]] > 1:
+                gone[i] += 1
+                gone[i + length] -= 1
+        gone = np.cumsum(gone)[:-1] > 0
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        kept = bytes(np.frombuffer(d, np.uint8)[~gone])
+        out.append((doc_id, len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def shown(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_sort_equals_that_of_bytes():
+    rng = random.Random(1)
+    data = bytes(rng.choice(b"ab") for _ in range(600))
+    s = suffixes.Suffixes(np.frombuffer(data, np.uint8), 40)
+    at = np.array([rng.randrange(560) for _ in range(300)])
+    segment = np.sort(np.array([rng.randrange(9) for _ in range(300)]))
+    order = s.sort(at, segment)
+    key = lambda i: (segment[i], data[at[i] : at[i] + 40])
+    assert [key(i) for i in order] == sorted(key(i) for i in range(300))
+    pairs = s.common(at[:-1], at[1:])
+    for a, b, n in zip(at, at[1:], pairs):
+        assert data[a : a + n] == data[b : b + n] and (n == 40 or data[a + n] != data[b + n])
+
+
+def test_equal_hashes_are_verified():
+    s = suffixes.Suffixes(np.frombuffer(b"abcdefgh" * 2, np.uint8), 4)
+    s.hashes = lambda start, length: np.zeros(len(start), np.uint64)  # everything collides
+    assert s.equal(np.array([0, 0]), np.array([8, 1])).tolist() == [True, False]
+
+
+@pytest.mark.parametrize("block", [4096, 2])
+def test_overlapping_passages(spark, monkeypatch, block):
+    monkeypatch.setattr(suffixes, "BLOCK", block)
+    rng = random.Random(block)
+    word = lambda: "".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 90)))
+    passages = [word() * 1 + word() + word() for _ in range(5)]
+    rows = [(i, "".join(rng.choice(passages)[rng.randrange(9) :] + word() for _ in range(rng.randrange(5)))) for i in range(60)]
+    rows += [(90, "z" * 500), (91, rows[3][1]), (91, rows[3][1]), (92, "ab" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert shown(suffixes.remove_repeats(docs, 40)) == expected(rows, 40)
+
+
+def test_odd_documents(documents):
+    from conftest import ODD
+
+    rows = [r for r in ODD if len(r[1] or "") < 100_000] + [(8, "x" * 3000)]
+    assert shown(suffixes.remove_repeats(documents(rows), 400)) == expected(rows, 400)
+    assert suffixes.remove_repeats(documents([]), 400).collect() == []
+
+
+def test_stretches_of_a_long_text(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "STRETCH", 100)
+    rng = random.Random(4)
+    long = "".join(rng.choice("abcdefgh") for _ in range(900))
+    rows = [(1, long + "|" + long[300:500]), (2, long[130:260])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert shown(suffixes.remove_repeats(docs, 40)) == expected(rows, 40)
+
+
+def test_query(run, table):
+    rows = [tuple(r) for r in table("documents").select("doc_id", "text").collect()]
+    assert sorted(map(tuple, run("op5_suffix_array_dedup")), key=str) == expected(rows, 400)
