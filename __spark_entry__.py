@@ -102,24 +102,26 @@ def messages(spark: SparkSession, sf_dir: str, log_type: str, damaged: bool = Tr
         F.col("bucket").alias("offset"),
         "timestamp",
     )
-    cores = spark.sparkContext.defaultParallelism
-    if source.rdd.getNumPartitions() < cores:
-        # The small test tables are one file and so one task. Spread them as a
-        # topic would be, in runs of offsets, to write with all cores.
-        topic = topic.repartitionByRange(cores, "offset")
-    return topic
+    # in runs of offsets, as a topic's partitions are read
+    return topic.repartitionByRange(spark.sparkContext.defaultParallelism, "offset")
 
 
 def message_stream(spark: SparkSession, sf_dir: str, log_type: str, damaged: bool = True) -> tuple[DataFrame, str]:
     """The messages as a stream of files, and the scratch folder that they are in."""
     scratch = scratch_dir(spark, f"stream-{log_type}")
     messages(spark, sf_dir, log_type, damaged).write.parquet(f"{scratch}/messages")
-    return tm.read_segment_files(spark, f"{scratch}/messages", streaming=True), scratch
+    return tm.read_segment_files(spark, f"{scratch}/messages", streaming=True, max_files_per_trigger=3), scratch
+
+
+def stamped(rejects: DataFrame) -> DataFrame:
+    """Rejected lines with the time of their message in microseconds."""
+    return rejects.select("line", "reason", "topic", "partition", "offset", "pos", F.unix_micros("timestamp").alias("stamp_us"))
 
 
 # Where a line of `events` sits in the messages above.
 MESSAGE_OFFSET = f"event_id // {LINES_PER_MESSAGE}"
 MESSAGE_POS = f"cast(row_number() over (partition by {MESSAGE_OFFSET} order by event_id) - 1 as integer)"
+MESSAGE_STAMP = f"epoch_us(min(ts) over (partition by {MESSAGE_OFFSET}))"
 MESSAGE_MINUTE = f"strftime(min(ts) over (partition by {MESSAGE_OFFSET}), '%Y%m%d%H%M')"
 
 
@@ -198,6 +200,45 @@ def pack_in_place(spark, sf_dir):
 PACK_IN_PLACE = f"select {recipes.line('flow', DUCK)} as line, true as within_size from events"
 
 
+def pack_null_lines(spark, sf_dir):
+    """Every third line is NULL: the others reach their messages."""
+    line = F.expr(f"if(event_id % 3 = 0, null, {recipes.line('flow', SPARK)})").alias("line")
+    source = events(spark, sf_dir).select("event_id", line)
+    by_place = tm.decode_segments(tm.pack_segments(source, LINES_PER_MESSAGE, pos="event_id"))
+    in_place = tm.decode_segments(tm.pack_segments(source, LINES_PER_MESSAGE))
+    lines = lambda df, how: df.select(F.explode("lines").alias("line"), F.lit(how).alias("packed"))
+    return lines(by_place, "by place").union(lines(in_place, "in place"))
+
+
+PACK_NULL_LINES = f"""
+    select {recipes.line('flow', DUCK)} as line, packed from events, (values ('by place'), ('in place')) as p(packed)
+    where event_id % 3 <> 0"""
+
+
+def pack_large_places(spark, sf_dir):
+    """Places that doubles cannot tell apart, on both sides of 0."""
+    place = F.expr("if(event_id % 2 = 0, 9007199254740993L + event_id, -9007199254740993L - event_id)")
+    source = events(spark, sf_dir).select(place.alias("place"), F.expr(recipes.line("dns", SPARK)).alias("line"))
+    packed = tm.pack_segments(source, LINES_PER_MESSAGE, pos="place").withColumnRenamed("bucket", "offset")
+    return tm.decode_segments(packed).select("offset", F.size("lines").alias("n_lines"))
+
+
+PACK_LARGE_PLACES = f"""
+    with p as (select case when event_id % 2 = 0 then 9007199254740993 + event_id else -9007199254740993 - event_id end as place
+        from events)
+    select (place - ((place % {LINES_PER_MESSAGE}) + {LINES_PER_MESSAGE}) % {LINES_PER_MESSAGE}) // {LINES_PER_MESSAGE} as "offset",
+        cast(count(*) as integer) as n_lines
+    from p group by 1"""
+
+
+def pack_repeating_places(spark, sf_dir):
+    """All lines have one place: still no message is too large, and no line is lost."""
+    source = events(spark, sf_dir).select(F.lit(7).alias("place"), F.expr(recipes.line("flow", SPARK)).alias("line"))
+    decoded = tm.decode_segments(tm.pack_segments(source, LINES_PER_MESSAGE, pos="place"))
+    within = (F.size("lines") <= LINES_PER_MESSAGE).alias("within_size")
+    return decoded.select(F.explode("lines").alias("line"), within)
+
+
 def assigned_partitions(spark, sf_dir):
     line = F.array(F.expr(recipes.line("flow", SPARK)))
     some = tm.assigned(encoded(events(spark, sf_dir), "flow", line), [0, 2])
@@ -227,15 +268,14 @@ SPLIT_FIELDS = f"""
 
 def tokenize_quoted(spark, sf_dir):
     tokens = tm.tokenize_quoted(damaged_lines(spark, sf_dir, "proxy"))
-    sound = tokens.where(~F.col("open_quote"))
-    return sound.select(F.size("fields").alias("n_fields"), F.array_join("fields", "\x1f").alias("joined"))
+    return tokens.select(F.size("fields").alias("n_fields"), F.array_join("fields", "\x1f").alias("joined"), "open_quote")
 
 
 TOKENIZE_QUOTED = rf"""
     with d as (select *, {recipes.damage('proxy')} as damage from events),
     f as (select regexp_extract_all({recipes.damaged_line('proxy', DUCK)},
-            '"[^"]*"|[^ \t\r\n"][^ \t\r\n]*') as fields from d where damage <> 'quote')
-    select cast(len(fields) as integer) as n_fields, array_to_string(fields, chr(31)) as joined from f"""
+            '"[^"]*"?|[^ \t\r\n"][^ \t\r\n]*') as fields, damage = 'quote' as open_quote from d)
+    select cast(len(fields) as integer) as n_fields, array_to_string(fields, chr(31)) as joined, open_quote from f"""
 
 
 # ---------------------------------------------------------------- rows
@@ -341,14 +381,14 @@ def failfast_mode(spark, sf_dir):
 
 
 def quarantine(log_type: str) -> Query:
-    return lambda spark, sf_dir: tm.quarantined(damaged_lines(spark, sf_dir, log_type), log_type)
+    return lambda spark, sf_dir: stamped(tm.quarantined(damaged_lines(spark, sf_dir, log_type), log_type))
 
 
 def quarantine_sql(log_type: str) -> str:
     return f"""
         select {recipes.damaged_line(log_type, DUCK)} as line, {recipes.reason(log_type)} as reason,
             'ingest-{log_type}' as topic, cast(event_id % 3 as integer) as partition, event_id as "offset",
-            cast(0 as integer) as pos
+            cast(0 as integer) as pos, cast(null as bigint) as stamp_us
         from {_damaged(log_type)}
         where not {kept(log_type)} and damage <> 'blank'"""
 
@@ -358,11 +398,28 @@ def message_quarantine_sql(log_type: str) -> str:
     return f"""
         select {recipes.damaged_line(log_type, DUCK)} as line, {recipes.reason(log_type)} as reason,
             'ingest-{log_type}' as topic, cast({MESSAGE_OFFSET} % 3 as integer) as partition,
-            {MESSAGE_OFFSET} as "offset", pos
-        from (select *, {MESSAGE_POS} as pos from {_damaged(log_type)})
+            {MESSAGE_OFFSET} as "offset", pos, stamp_us
+        from (select *, {MESSAGE_POS} as pos, {MESSAGE_STAMP} as stamp_us from {_damaged(log_type)})
         where not {kept(log_type)} and damage <> 'blank'"""
 
 
+def control_characters(log_type: str) -> Query:
+    """Numbers with control characters beside them are not numbers."""
+
+    def query(spark, sf_dir):
+        lines = events(spark, sf_dir).withColumn("damage", F.lit("fraction"))
+        line = recipes.damaged_line(log_type, SPARK).replace("'12.5'", "'12' || char(1 + event_id % 8)")
+        return tm.quarantined(lines.select(F.expr(line).alias("line")), log_type).groupBy("reason").agg(
+            F.count(F.lit(1)).alias("lines")
+        )
+
+    return query
+
+
+def control_characters_sql(log_type: str) -> str:
+    return f"select 'BAD_VALUE:{recipes.FRACTIONS[log_type][1]}' as reason, count(*) as lines from events"
+
+
 def accounting(log_type: str) -> Query:
     return lambda spark, sf_dir: tm.account(damaged_lines(spark, sf_dir, log_type), log_type)
 
@@ -454,7 +511,36 @@ def quarantine_table(spark, sf_dir):
     table, bad = _table(spark, "ids_event"), f"bad_{scratch_dir(spark, 'bad')[-32:]}"
     tm.create_quarantine(spark, bad, f"{scratch_dir(spark, 'bad')}/table")
     tm.ingest_batch(messages(spark, sf_dir, "ids_event"), "ids_event", table=table, quarantine=bad)
-    return spark.table(bad)
+    return stamped(spark.table(bad))
+
+
+def table_and_quarantine(spark, sf_dir):
+    """What one call stored in both tables: rows as a count, rejects line by line."""
+    table, bad = _table(spark, "flow"), f"bad_{scratch_dir(spark, 'bad')[-32:]}"
+    tm.create_quarantine(spark, bad, f"{scratch_dir(spark, 'bad')}/table")
+    report = tm.ingest_batch(messages(spark, sf_dir, "flow"), "flow", table=table, quarantine=bad)
+    rows = spark.table(table).select(F.lit(None).cast("string").alias("reason"), F.lit(report["rows"]).alias("reported"))
+    return rows.union(spark.table(bad).select("reason", F.lit(report["bad_rows"]))).groupBy("reason", "reported").agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+
+
+TABLE_AND_QUARANTINE = f"""
+    select reason, lines, sum(lines) over (partition by reason is null)::bigint as reported
+    from ({accounting_sql('flow')})"""
+
+
+def quarantine_pruned_read(spark, sf_dir):
+    """One day's rejects: other days' folders are not read."""
+    path = f"{scratch_dir(spark, 'landing')}/flow"
+    tm.ingest_batch(messages(spark, sf_dir, "flow"), "flow", path=path)
+    day = tm.read_rejected(spark, path, "flow").where("y = 2024 and m = 1 and d = 7")
+    return stamped(day)
+
+
+QUARANTINE_PRUNED_READ = f"""
+    select * from ({message_quarantine_sql('flow')})
+    where strftime(make_timestamp(stamp_us), '%Y-%m-%d') = '2024-01-07'"""
 
 
 def landing_rows(log_type: str) -> Query:
@@ -469,7 +555,7 @@ def landing_rows(log_type: str) -> Query:
 def landing_rejects(spark, sf_dir):
     path = f"{scratch_dir(spark, 'landing')}/proxy"
     tm.ingest_batch(messages(spark, sf_dir, "proxy"), "proxy", path=path, rebalance=True)
-    return tm.read_rejected(spark, path, "proxy")
+    return stamped(tm.read_rejected(spark, path, "proxy"))
 
 
 def archive_segments(spark, sf_dir):
@@ -503,7 +589,63 @@ def stream_landing(spark, sf_dir):
     stream, scratch = message_stream(spark, sf_dir, "flow")
     job = tm.ingest_stream(stream, "flow", f"{scratch}/checkpoint", path=f"{scratch}/landing", interval=None)
     job.awaitTermination()
-    return tm.read_rejected(spark, f"{scratch}/landing", "flow")
+    return stamped(tm.read_rejected(spark, f"{scratch}/landing", "flow"))
+
+
+def backfill_beside_stream(spark, sf_dir):
+    """Batch, stream and batch again, each with a third of the topic, into one landing folder."""
+    scratch = scratch_dir(spark, "beside")
+    messages(spark, sf_dir, "ids_event").write.parquet(f"{scratch}/messages")
+    batch = tm.read_segment_files(spark, f"{scratch}/messages")
+    stream = tm.read_segment_files(spark, f"{scratch}/messages", streaming=True)
+    tm.ingest_batch(tm.assigned(batch, [0]), "ids_event", path=f"{scratch}/landing")
+    tm.ingest_stream(
+        tm.assigned(stream, [1]), "ids_event", f"{scratch}/checkpoint", path=f"{scratch}/landing", interval=None
+    ).awaitTermination()
+    tm.ingest_batch(tm.assigned(batch, [2]), "ids_event", path=f"{scratch}/landing")
+    return tm.read_accepted(spark, f"{scratch}/landing", "ids_event")
+
+
+def two_streams_one_folder(spark, sf_dir):
+    """Two streams with checkpoints of their own fill one folder of rows."""
+    scratch = scratch_dir(spark, "two")
+    messages(spark, sf_dir, "ids_packet").write.parquet(f"{scratch}/messages")
+    jobs = []
+    for i, some in enumerate(([0, 1], [2])):
+        stream = tm.assigned(tm.read_segment_files(spark, f"{scratch}/messages", streaming=True), some)
+        jobs.append(
+            tm.ingest_stream(stream, "ids_packet", f"{scratch}/check{i}", path=f"{scratch}/rows", mode="drop", interval=None)
+        )
+    for job in jobs:
+        job.awaitTermination()
+    return tm.read_rows(spark, f"{scratch}/rows", "ids_packet")
+
+
+def archive_beside_stream(spark, sf_dir):
+    """A stream and a batch job archive parts of one topic."""
+    stream, scratch = message_stream(spark, sf_dir, "flow", damaged=False)
+    batch = tm.read_segment_files(spark, f"{scratch}/messages")
+    tm.archive_segments(tm.assigned(batch, [0]), f"{scratch}/lines", rebalance=True)
+    job = tm.archive_stream(tm.assigned(stream, [1, 2]), f"{scratch}/lines", f"{scratch}/checkpoint", interval=None, rebalance=True)
+    job.awaitTermination()
+    return tm.read_archive(spark, f"{scratch}/lines")
+
+
+ARCHIVE_BESIDE_STREAM = f"select {MESSAGE_MINUTE} as segment, {recipes.line('flow', DUCK)} as line from events"
+
+
+def archive_carriage_returns(spark, sf_dir):
+    """Lines with carriage returns inside and at the end come back whole."""
+    line = F.expr(f"replace({recipes.line('dns', SPARK)}, ',10.', ',\\r10.') || '\\r'")
+    path = f"{scratch_dir(spark, 'archive')}/lines"
+    tm.archive_segments(encoded(events(spark, sf_dir), "cr", F.array(line)), path, rebalance=True)
+    return tm.read_archive(spark, path).select("segment", F.hex("line").alias("bytes"))
+
+
+ARCHIVE_CARRIAGE_RETURNS = f"""
+    select strftime(ts, '%Y%m%d%H%M') as segment,
+        hex(replace({recipes.line('dns', DUCK)}, ',10.', ',' || chr(13) || '10.') || chr(13)) as bytes
+    from events"""
 
 
 def stream_table(spark, sf_dir):
@@ -543,6 +685,18 @@ STREAM_REPORTS = f"""
     from ({batch_report_sql('proxy')})"""
 
 
+def stream_reports_files(spark, sf_dir):
+    """The same for a stream that writes files, summed over its batches."""
+    stream, scratch = message_stream(spark, sf_dir, "proxy")
+    tm.ingest_stream(stream, "proxy", f"{scratch}/checkpoint", path=f"{scratch}/landing", interval=None).awaitTermination()
+    reports = tm.read_reports(spark, f"{scratch}/checkpoint").groupBy("log_type")
+    return reports.agg(
+        *[F.sum(c).alias(c) for c in ("rows", "bad_rows", "dropped_rows")],
+        F.min("min_label").alias("min_label"),
+        F.max("max_label").alias("max_label"),
+    )
+
+
 def stream_archive(spark, sf_dir):
     """Lines of two of the topic's partitions, archived by a stream."""
     stream, scratch = message_stream(spark, sf_dir, "dns", damaged=False)
@@ -575,6 +729,7 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         catalog[f"normalize_{t}"] = (normalize(t), expected.rows(t))
         catalog[f"drop_mode_{t}"] = (drop_mode(t), kept_rows(t))
         catalog[f"quarantine_{t}"] = (quarantine(t), quarantine_sql(t))
+        catalog[f"quarantine_control_characters_{t}"] = (control_characters(t), control_characters_sql(t))
         catalog[f"accounting_{t}"] = (accounting(t), accounting_sql(t))
         catalog[f"batch_report_{t}"] = (batch_report(t), batch_report_sql(t))
         catalog[f"landing_rows_{t}"] = (landing_rows(t), kept_rows(t))
@@ -599,6 +754,16 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         "stream_table": (stream_table, kept_rows("ids_packet")),
         "stream_reports": (stream_reports, STREAM_REPORTS),
         "stream_archive": (stream_archive, STREAM_ARCHIVE),
+        "pack_null_lines": (pack_null_lines, PACK_NULL_LINES),
+        "pack_large_places": (pack_large_places, PACK_LARGE_PLACES),
+        "pack_repeating_places": (pack_repeating_places, PACK_IN_PLACE),
+        "table_and_quarantine": (table_and_quarantine, TABLE_AND_QUARANTINE),
+        "quarantine_pruned_read": (quarantine_pruned_read, QUARANTINE_PRUNED_READ),
+        "backfill_beside_stream": (backfill_beside_stream, kept_rows("ids_event")),
+        "two_streams_one_folder": (two_streams_one_folder, kept_rows("ids_packet")),
+        "archive_beside_stream": (archive_beside_stream, ARCHIVE_BESIDE_STREAM),
+        "archive_carriage_returns": (archive_carriage_returns, ARCHIVE_CARRIAGE_RETURNS),
+        "stream_reports_files": (stream_reports_files, STREAM_REPORTS),
     }
     return catalog
 

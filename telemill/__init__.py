@@ -1,7 +1,7 @@
 """Ingestion of network-security telemetry with Spark."""
 
 from telemill.operators.classify import account, accepted, classify, normalize, quarantined, rejected
-from telemill.operators.envelope import decode_segments, encode_segments, pack_segments
+from telemill.operators.envelope import decode_segments, encode_segments, null_lines, pack_segments
 from telemill.operators.lines import explode_lines, split_fields, tokenize_quoted
 from telemill.operators.report import batch_report, observe_batch
 from telemill.plans.batch import classify_messages, ingest_batch
@@ -19,14 +19,14 @@ from telemill.sources.segments import (
     read_segments_stream,
 )
 from telemill.streaming.jobs import archive_stream, ingest_stream, read_reports
-from telemill.streaming.progress import BatchLogger, progress_report
+from telemill.streaming.progress import BatchLogger
 
 __all__ = [
     "BUILTIN", "BatchLogger", "LogType", "Output", "accepted", "account", "archive_lines", "archive_segments",
     "archive_stream", "assigned", "batch_report", "classify", "classify_messages", "create_quarantine",
     "create_table", "decode_segments", "dns_log", "encode_segments", "explode_lines", "flow_log", "ids_event_log",
     "ids_packet_log", "ingest_batch", "ingest_stream", "normalize", "observe_batch", "pack_segments",
-    "progress_report", "proxy_log", "quarantined", "read_accepted", "read_archive", "read_rejected", "read_reports", "read_rows",
+    "null_lines", "proxy_log", "quarantined", "read_accepted", "read_archive", "read_rejected", "read_reports", "read_rows",
     "read_segment_files", "read_segments_assigned", "read_segments_batch", "read_segments_stream", "register",
     "registered", "rejected", "resolve", "split_fields", "tokenize_quoted", "write_landing", "write_quarantine",
     "write_table",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemill.functions.numbers import float64
+from telemill.functions.numbers import float64, strict_fields
 from telemill.plans.logtype import LogType, Record, resolve
 
 OK, DROPPED, BAD = "ok", "dropped", "bad"
@@ -23,7 +23,7 @@ LINE_COLUMNS = {
     "timestamp": "timestamp",
     "pos": "int",
 }
-QUARANTINE = ("line", "reason", "topic", "partition", "offset", "pos")
+QUARANTINE = ("line", "reason", "topic", "partition", "offset", "timestamp", "pos")
 
 
 def classify(df: DataFrame, log_type: str | LogType, tz: str = "UTC") -> DataFrame:
@@ -46,6 +46,7 @@ def classify(df: DataFrame, log_type: str | LogType, tz: str = "UTC") -> DataFra
     timed = (
         df.selectExpr(*carried, envelope)
         .withColumn("_fields", spec.tokenize(F.col("line")))
+        .withColumn("_numbers", strict_fields(F.col("line"), F.col("_fields")))
         .withColumn("_epoch", epoch)
         .withColumn("_clock", spec.clock(record))
     )

@@ -76,21 +76,28 @@ def pack_segments(
     partitioning. A busy source is spread over its buckets. Should places repeat,
     a bucket becomes several messages. With `stamp`, a message carries the
     earliest time of its lines as `timestamp`.
+
+    NULL lines have no encoding and are left out (`null_lines` counts them); a
+    bucket of nothing else gives no message. Places are whole numbers, NULL is a
+    place of its own; a bucket is ordered in one task, which spills to disk if
+    its places repeat very often.
     """
     if size < 1:
         raise ValueError("size must be positive")
+    df = df.where(F.col(line_col).isNotNull())
     if pos is None:
         if by or stamp:
             raise ValueError("`by` and `stamp` need `pos`")
         return _pack_in_place(df, size, line_col)
-    bucket = F.floor(F.col(pos) / size).cast("bigint")
+    place = F.col(pos).cast("bigint")
+    bucket = F.call_function("div", place - F.pmod(place, F.lit(size)), F.lit(size))
     item = F.struct(F.col(pos).alias("at"), avro.frame(F.col(line_col)).alias("frame"))
     times = [F.col(stamp).alias("stamp")] if stamp else []
     framed = df.select(*by, bucket.alias("bucket"), item.alias("item"), *times)
     cut = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy("item.at")) - 1
     earliest = [F.min("stamp").alias("timestamp")] if stamp else []
     packed = (
-        framed.withColumn("piece", F.floor(cut / size))
+        framed.withColumn("piece", F.call_function("div", cut, F.lit(size)))
         .groupBy(*by, "bucket", "piece")
         .agg(F.array_sort(F.collect_list("item")).alias("items"), *earliest)
     )
@@ -98,6 +105,11 @@ def pack_segments(
     return packed.select(*by, "bucket", value, *(["timestamp"] if stamp else []))
 
 
+def null_lines(df: DataFrame, line_col: str = "line") -> DataFrame:
+    """One row, `lines`: how many lines `pack_segments` leaves out."""
+    return df.agg(F.count_if(F.col(line_col).isNull()).alias("lines"))
+
+
 def _pack_in_place(df: DataFrame, size: int, line_col: str) -> DataFrame:
     schema = StructType([StructField("lines", ArrayType(StringType()))])
 

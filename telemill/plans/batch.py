@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
 
 from telemill.operators.classify import accepted, classify, rejected
 from telemill.operators.envelope import decode_segments
 from telemill.operators.lines import explode_lines
 from telemill.operators.report import METRICS, observe_batch
 from telemill.plans.logtype import PARTITIONS, LogType, resolve
+from telemill.session import reliable
+from telemill.sinks.files import batch_writer, write_files
 from telemill.sinks.landing import write_landing
 from telemill.sinks.tables import write_quarantine, write_table
 
@@ -51,12 +52,15 @@ def ingest_batch(
     mode        `quarantine` keeps bad lines, `drop` leaves them out, `failfast` raises
     path        a landing folder (mode `quarantine`, one pass) or a folder of rows
     table       a catalog table made by `create_table`; bad lines go to the table
-                `quarantine`, in a second pass that only runs if there are any
+                `quarantine`. The classified lines are kept in the shared
+                checkpoint folder meanwhile, so messages are read once.
     """
     check_target(path, table, quarantine, mode)
     spec = resolve(log_type)
     observation = Observation()
     classified = classify_messages(messages, spec, tz, on_error, codec)
+    if quarantine is not None:
+        classified = reliable(classified)
     observed = observe_batch(classified, spec, observation)
     if path is not None and mode == "quarantine":
         write_landing(observed, spec, path, rebalance)
@@ -64,9 +68,7 @@ def ingest_batch(
 
     rows = accepted(observed, spec, "failfast" if mode == "failfast" else "drop")
     if path is not None:
-        if rebalance:
-            rows = rows.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-        rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+        write_files(rows, path, PARTITIONS, batch_writer(), rebalance)
         return _report(spec, observation)
 
     write_table(rows, table, spec, rebalance)

@@ -43,8 +43,8 @@ def dns_log(strict_rcode_guard: bool = False, name: str = "dns") -> LogType:
             derived("unix_tstamp", "bigint", lambda r: clocks.whole_seconds(r.epoch)),
             *whole("int", "frame_len", 3),
             *text("ip_dst ip_src dns_qry_name dns_qry_class", 5, 4, 6, 8),
-            derived("dns_qry_type", "int", "if({7} = '', 0, try_cast({7} as int))"),
-            derived("dns_qry_rcode", "int", f"if({{{guard}}} = '', 0, try_cast({{9}} as int))"),
+            derived("dns_qry_type", "int", "if({7} = '', 0, try_cast({7:n} as int))"),
+            derived("dns_qry_rcode", "int", f"if({{{guard}}} = '', 0, try_cast({{9:n}} as int))"),
             *text("dns_a", 10),
             *clock_parts(),
         ),
@@ -105,7 +105,7 @@ def ids_event_log(exact_epoch: bool = False, name: str = "ids_event") -> LogType
             *whole("int", "signature_revision", 14),
             *whole("bigint", "sport_itype", 15),
             *text("source_ip", 16),
-            derived("vlan_id", "int", "if({17} = 'None', 0, try_cast({17} as int))"),
+            derived("vlan_id", "int", "if({17} = 'None', 0, try_cast({17:n} as int))"),
             derived("unix_tstamp", "float", lambda r: r.epoch),
             *_exact_epoch(exact_epoch),
             *clock_parts(),
@@ -143,7 +143,7 @@ def proxy_log(name: str = "proxy") -> LogType:
         label="p_date",
         tokenize=tokenize_quoted,
         broken=has_open_quote,
-        skip=lambda tokens: F.size(tokens) <= 1,
+        skip=lambda tokens: tokens.isNotNull() & (F.size(tokens) <= 1),
         clock=lambda r: clocks.wall_clock(F.concat_ws(" ", r[0], r[1])),
         outputs=(
             *text("p_date p_time clientip host reqmethod useragent resconttype", 0, 1, 3, 15, 12, 20, 13),

@@ -17,7 +17,7 @@ from telemill.functions.text import split_fields
 PARTITIONS = tuple(clocks.PARTS)
 
 # Columns that travel with a line but belong to no log type.
-RESERVED = ("line", "topic", "partition", "offset", "timestamp", "pos", "status", "reason", "envelope")
+RESERVED = ("line", "topic", "partition", "offset", "timestamp", "pos", "status", "reason", "envelope", "writer")
 
 
 class Record:
@@ -40,8 +40,9 @@ Rule = Callable[[Record], Column]
 class Output:
     """One table column. A `checked` one must not come out NULL.
 
-    The rule is SQL text in which `{3}` stands for field 3, or a function of the
-    record that returns a Column.
+    The rule is SQL text in which `{3}` stands for field 3 and `{3:n}` for field
+    3 if it is strictly a whole number, or a function of the record that returns
+    a Column.
     """
 
     name: str
@@ -51,7 +52,8 @@ class Output:
 
     def column(self, record: Record) -> Column:
         if isinstance(self.rule, str):
-            sql = re.sub(r"\{(\d+)\}", r"get(_fields, \1)", self.rule)
+            sql = re.sub(r"\{(\d+):n\}", r"get(_numbers, \1)", self.rule)
+            sql = re.sub(r"\{(\d+)\}", r"get(_fields, \1)", sql)
             return F.expr(f"cast({sql} as {self.type}) as `{self.name}`")
         return self.rule(record).cast(self.type).alias(self.name)
 
@@ -63,7 +65,7 @@ def text(names: str, *fields: int) -> list[Output]:
 
 def whole(width: str, names: str, *fields: int) -> list[Output]:
     """Whole numbers of one width (`smallint`, `int` or `bigint`), as strict as `numbers.integer`."""
-    return [Output(name, width, f"try_cast({{{i}}} as {width})") for name, i in zip(names.split(), fields, strict=True)]
+    return [Output(name, width, f"try_cast({{{i}:n}} as {width})") for name, i in zip(names.split(), fields, strict=True)]
 
 
 def real(name: str, index: int) -> Output:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/telemill/{name}-{uuid.uuid4().hex}"
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """The same rows from a reliable checkpoint in the shared folder; Spark removes it when it is no longer used."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
+    return df.checkpoint()

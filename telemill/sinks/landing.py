@@ -2,16 +2,18 @@
 
 A landing folder is partitioned by `status` first and by the hour below, so
 reading either side prunes the other, and a stream needs one query with one
-checkpoint for both. Rejected lines have no hour.
+checkpoint for both. Rejected lines are dated by their message, in UTC, and have no hour.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemill.functions.clock import PARTS, instant_clock
 from telemill.operators.classify import BAD, DROPPED, LINE_COLUMNS, OK, QUARANTINE
 from telemill.plans.logtype import PARTITIONS, LogType, resolve
+from telemill.sinks.files import batch_writer, write_files
 
 LAYOUT = ("status", *PARTITIONS)
 
@@ -20,17 +22,25 @@ def landing_rows(classified: DataFrame, log_type: str | LogType) -> DataFrame:
     """The classified lines as they are stored; skipped lines are left out."""
     spec = resolve(log_type)
     accepted = F.col("status") == OK
-    keys = [F.when(accepted, F.col(p)).alias(p) for p in PARTITIONS]
+    keys = [F.when(accepted, F.col(p)).otherwise(_day_part(spec, p)).alias(p) for p in PARTITIONS]
     evidence = [F.when(~accepted, F.col(c)).alias(c) for c in QUARANTINE]
     data = [c for c in spec.columns if c not in PARTITIONS]
     return classified.where(F.col("status") != DROPPED).select(*data, *evidence, "status", *keys)
 
 
-def write_landing(classified: DataFrame, log_type: str | LogType, path: str, rebalance: bool = False) -> None:
-    rows = landing_rows(classified, log_type)
-    if rebalance:
-        rows = rows.hint("rebalance", *[F.col(c) for c in LAYOUT])
-    rows.write.mode("append").partitionBy(*LAYOUT).parquet(path)
+def _day_part(spec: LogType, part: str) -> Column:
+    """A partition key of a rejected line, as the log type writes such keys; NULL for the hour."""
+    kind = spec.schema[part].dataType.simpleString()
+    if part == PARTITIONS[-1]:
+        return F.lit(None).cast(kind)
+    value = F.call_function(PARTS[part], instant_clock(F.col("timestamp"))).cast("string")
+    return (value if part == PARTITIONS[0] else F.lpad(value, 2, "0")).cast(kind)
+
+
+def write_landing(
+    classified: DataFrame, log_type: str | LogType, path: str, rebalance: bool = False, writer: str | None = None
+) -> None:
+    write_files(landing_rows(classified, log_type), path, LAYOUT, writer or batch_writer(), rebalance)
 
 
 def _read(spark: SparkSession, path: str, log_type: str | LogType) -> DataFrame:
@@ -47,4 +57,5 @@ def read_accepted(spark: SparkSession, path: str, log_type: str | LogType) -> Da
 
 
 def read_rejected(spark: SparkSession, path: str, log_type: str | LogType) -> DataFrame:
-    return _read(spark, path, log_type).where(F.col("status") == BAD).select(*QUARANTINE)
+    """Rejected lines; `y`, `m` and `d`, the UTC day of their messages, prune the read."""
+    return _read(spark, path, log_type).where(F.col("status") == BAD).select(*QUARANTINE, *PARTITIONS[:-1])

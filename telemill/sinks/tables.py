@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemill.functions.clock import instant_clock
 from telemill.operators.classify import LINE_COLUMNS, QUARANTINE
 from telemill.plans.logtype import PARTITIONS, LogType, resolve
 
+HIVE_MODE = "hive.exec.dynamic.partition.mode"
+
 
 def table_ddl(table: str, log_type: str | LogType, location: str | None = None) -> str:
     spec = resolve(log_type)
@@ -28,15 +31,28 @@ def write_table(df: DataFrame, table: str, log_type: str | LogType, rebalance: b
     rows = df.select(*resolve(log_type).columns)
     if rebalance:
         rows = rows.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-    rows.write.mode("append").insertInto(table)
+    _insert(rows, table)
 
 
 def create_quarantine(spark: SparkSession, table: str, location: str | None = None) -> None:
+    """A table for rejected lines, partitioned by `day`, the UTC day of their messages."""
     types = {**LINE_COLUMNS, "reason": "string"}
     columns = ", ".join(f"`{c}` {types[c]}" for c in QUARANTINE)
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, day date) USING parquet PARTITIONED BY (day){place}")
 
 
 def write_quarantine(rejected: DataFrame, table: str) -> None:
-    rejected.select(*QUARANTINE).write.mode("append").insertInto(table)
+    day = instant_clock(F.col("timestamp")).cast("date").alias("day")
+    _insert(rejected.select(*QUARANTINE, day), table)
+
+
+def _insert(rows: DataFrame, table: str) -> None:
+    """Append by position. Tables of Hive's own format take new partitions only in this mode."""
+    conf = rows.sparkSession.conf
+    before = conf.get(HIVE_MODE, None)
+    conf.set(HIVE_MODE, "nonstrict")
+    try:
+        rows.write.mode("append").insertInto(table)
+    finally:
+        conf.unset(HIVE_MODE) if before is None else conf.set(HIVE_MODE, before)

@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from telemill.operators.classify import accepted, rejected
 from telemill.operators.report import METRICS, observe_batch
 from telemill.plans.batch import check_target, classify_messages
 from telemill.plans.logtype import PARTITIONS, LogType, resolve
-from telemill.sinks.archive import archive_lines
-from telemill.sinks.landing import LAYOUT, landing_rows
+from telemill.sinks.archive import archive_lines, write_archive
+from telemill.sinks.files import stream_writer, write_files
+from telemill.sinks.landing import write_landing
 from telemill.sinks.tables import write_quarantine, write_table
 
 INTERVAL = "30 seconds"
-METRICS_NAME = "batch"
+LOGGER = logging.getLogger("telemill.streaming")
 
+# Reports are kept in folders of so many batches, so that readers can skip old ones.
+BLOCK = 10_000
 
-def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None, name: str | None) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
-    return (writer.queryName(name) if name else writer).start()
+
+def _start(
+    frame: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None, name: str
+) -> StreamingQuery:
+    writer = frame.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(name)
+    return (writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)).start()
 
 
 def ingest_stream(
@@ -44,68 +51,89 @@ def ingest_stream(
     """Start a query that decodes, normalises and appends a stream of messages.
 
     path      files, exactly once: a landing folder (mode `quarantine`) or a
-              folder of rows (`drop`, `failfast`)
+              folder of rows (`drop`, `failfast`). Other streams and batch jobs
+              may write to the same folder at the same time.
     table     a catalog table, and the table `quarantine` for bad lines: at
               least once. A batch that is known to be finished is not written
               again; one that broke off between its writes is.
     interval  time between micro-batches; None takes what is there and ends
+    name      of the query; the log type and the checkpoint's id by default
     rebalance shuffles every batch for fewer, larger files (see `write_table`)
+
+    Every finished batch is logged and adds a report (see `read_reports`). A
+    lost or renewed checkpoint starts over: rows come again, none is hidden.
     """
     check_target(path, table, quarantine, mode)
     spec = resolve(log_type)
     strictness = "failfast" if mode == "failfast" else "drop"
     classified = classify_messages(messages, spec, tz, on_error, codec)
-    if table is not None:
-        write = _table_writer(spec, table, quarantine, strictness, rebalance, f"{checkpoint}/reports")
-        return _start(classified.writeStream.foreachBatch(write), checkpoint, interval, name)
-
-    observed = observe_batch(classified, spec, METRICS_NAME)
-    if mode == "quarantine":
-        rows, layout = landing_rows(observed, spec), LAYOUT
-    else:
-        rows, layout = accepted(observed, spec, strictness), PARTITIONS
-    if rebalance:
-        rows = rows.hint("rebalance", *[F.col(c) for c in layout])
-    writer = rows.writeStream.format("parquet").option("path", path).partitionBy(*layout)
-    return _start(writer, checkpoint, interval, name)
-
-
-def _table_writer(
-    spec: LogType, table: str, quarantine: str | None, strictness: str, rebalance: bool, reports: str
-) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        report_path = f"{reports}/batch_id={batch_id}"
-        if _exists(batch, report_path):
-            return
-        observation = Observation()
+    writer = stream_writer(messages.sparkSession, checkpoint)
+    name = name or f"{spec.name}-{writer[-8:]}"
+
+    def to_files(batch: DataFrame, observation: Observation, batch_id: int) -> None:
+        observed, own = observe_batch(batch, spec, observation), f"{writer}-{batch_id:09d}"
+        if mode == "quarantine":
+            write_landing(observed, spec, path, rebalance, own)
+        else:
+            write_files(accepted(observed, spec, strictness), path, PARTITIONS, own, rebalance)
+
+    def to_tables(batch: DataFrame, observation: Observation, batch_id: int) -> None:
         # Two tables are filled from one batch, so it is decoded once and kept.
         kept = batch.persist() if quarantine else batch
         try:
             rows = accepted(observe_batch(kept, spec, observation), spec, strictness)
             write_table(rows, table, spec, rebalance)
-            metrics = observation.get
-            if quarantine and metrics["bad_rows"]:
+            if quarantine and observation.get["bad_rows"]:
                 write_quarantine(rejected(kept), quarantine)
         finally:
             if quarantine:
                 kept.unpersist()
+
+    store, reports = to_files if table is None else to_tables, f"{checkpoint}/reports"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        place = f"{reports}/block={batch_id // BLOCK}/batch_id={batch_id}"
+        if _exists(batch.sparkSession, place):
+            return
+        observation = Observation()
+        store(batch, observation, batch_id)
+        metrics = observation.get
         values = [F.lit(metrics.get(m)).cast(t).alias(m) for m, t in METRICS.items()]
         report = batch.sparkSession.range(1, numPartitions=1).select(F.lit(spec.name).alias("log_type"), *values)
-        report.write.mode("overwrite").json(report_path)
+        report.write.mode("overwrite").json(place)
+        log_batch(name, spec, batch_id, metrics)
+
+    return _start(classified, write, checkpoint, interval, name)
 
-    return write
 
+def log_batch(name: str, spec: LogType, batch_id: int, metrics: dict) -> None:
+    counts = [metrics.get(m) or 0 for m in ("rows", "bad_rows", "dropped_rows")]
+    if not any(counts):
+        LOGGER.info("%s: batch %s: no new segments", name, batch_id)
+        return
+    LOGGER.info(
+        "%s: batch %s, %s: %s rows from %s to %s, %s bad, %s dropped",
+        name, batch_id, spec.segment_label, counts[0], metrics.get("min_label"), metrics.get("max_label"), *counts[1:],
+    )
 
-def read_reports(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """One row for each finished batch of a query that fills a table; labels as text."""
+
+def read_reports(spark: SparkSession, checkpoint: str, first_batch: int = 0) -> DataFrame:
+    """One row for each finished batch of a query, from `first_batch` on; labels as text."""
     columns = ", ".join(f"{m} {t}" for m, t in METRICS.items())
-    return spark.read.schema(f"batch_id bigint, log_type string, {columns}").json(f"{checkpoint}/reports")
+    schema = f"block bigint, batch_id bigint, log_type string, {columns}"
+    place = f"{checkpoint}/reports"
+    if not _exists(spark, place):
+        return spark.createDataFrame([], schema).drop("block")
+    found = spark.read.schema(schema).json(place)
+    return found.where((F.col("block") >= first_batch // BLOCK) & (F.col("batch_id") >= first_batch)).drop("block")
 
 
-def _exists(batch: DataFrame, path: str) -> bool:
-    jvm, session = batch.sparkSession._jvm, batch.sparkSession._jsparkSession
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(session.sessionState().newHadoopConf()).exists(folder)
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("log_type string").json(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def archive_stream(
@@ -117,11 +145,10 @@ def archive_stream(
     name: str | None = None,
     rebalance: bool = False,
 ) -> StreamingQuery:
-    """Start a query that appends every line, unparsed, to its minute's folder; exactly once.
+    """Start a query that adds every line, unparsed, to its minute's folder; exactly once (see `archive_segments`)."""
+    writer = stream_writer(messages.sparkSession, checkpoint)
 
-    Streams cannot be sorted, so unlike in `archive_segments` the order of the
-    lines within a file is not promised.
-    """
-    lines = archive_lines(messages, codec, rebalance)
-    writer = lines.select("line", "segment").writeStream.format("text").option("path", path)
-    return _start(writer.partitionBy("segment"), checkpoint, interval, name)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_archive(batch, path, f"{writer}-{batch_id:09d}", rebalance)
+
+    return _start(archive_lines(messages, codec), write, checkpoint, interval, name or f"archive-{writer[-8:]}")

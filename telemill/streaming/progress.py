@@ -1,55 +1,39 @@
-"""Batch reports of running streams."""
+"""The life of one running query in the log; its batches log themselves as they finish."""
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Row
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from telemill.operators.report import METRICS
-from telemill.plans.logtype import LogType, resolve
-from telemill.streaming.jobs import METRICS_NAME
-
-
-def progress_report(query: StreamingQuery, log_type: str | LogType) -> list[Row]:
-    """One row for each recent micro-batch of a query that writes files."""
-    spec = resolve(log_type)
-    rows = []
-    for progress in query.recentProgress:
-        metrics = progress.observedMetrics.get(METRICS_NAME)
-        if metrics is not None:
-            values = metrics.asDict()
-            rows.append(Row(batch_id=progress.batchId, log_type=spec.name, **{m: values[m] for m in METRICS}))
-    return rows
-
 
 class BatchLogger(StreamingQueryListener):
-    """Logs every micro-batch; register it with `spark.streams.addListener`."""
+    """Logs when a query starts, waits, ends or fails; register it with `spark.streams.addListener`.
 
-    def __init__(self, log_type: str | LogType, logger: logging.Logger | None = None):
-        self.spec = resolve(log_type)
+    `query` is a query or the name of one; other queries of the session are none of its business.
+    """
+
+    def __init__(self, query: StreamingQuery | str, logger: logging.Logger | None = None):
+        self.name = query if isinstance(query, str) else query.name
+        self.ids = set() if isinstance(query, str) else {str(query.id)}
         self.logger = logger or logging.getLogger("telemill.streaming")
 
     def onQueryStarted(self, event) -> None:
-        self.logger.info("%s: query %s started", self.spec.name, event.name or event.id)
+        if event.name == self.name:
+            self.ids.add(str(event.id))
+            self.logger.info("%s: started", self.name)
 
     def onQueryProgress(self, event) -> None:
-        metrics = event.progress.observedMetrics.get(METRICS_NAME)
-        if metrics is None or metrics["rows"] + metrics["bad_rows"] == 0:
-            self.logger.info("%s: no new segments", self.spec.name)
-            return
-        self.logger.info(
-            "%s: batch %s, %s: %s rows from %s to %s, %s bad, %s dropped",
-            self.spec.name, event.progress.batchId, self.spec.segment_label, metrics["rows"],
-            metrics["min_label"], metrics["max_label"], metrics["bad_rows"], metrics["dropped_rows"],
-        )
+        pass
 
     def onQueryIdle(self, event) -> None:
-        self.logger.info("%s: no new segments", self.spec.name)
+        if str(event.id) in self.ids:
+            self.logger.info("%s: no new segments", self.name)
 
     def onQueryTerminated(self, event) -> None:
+        if str(event.id) not in self.ids:
+            return
         if event.exception:
-            self.logger.error("%s: query %s failed: %s", self.spec.name, event.id, event.exception)
+            self.logger.error("%s: failed: %s", self.name, event.exception)
         else:
-            self.logger.info("%s: query %s ended", self.spec.name, event.id)
+            self.logger.info("%s: ended", self.name)

@@ -197,3 +197,22 @@ def test_own_log_type(lines):
 def test_faulty_log_types(changed):
     with pytest.raises(ValueError):
         minimal(**changed)
+
+
+def test_verdicts_do_not_depend_on_ansi(spark, lines):
+    df = lines(GOLDEN["proxy"], "", None, "a b", fields_of("proxy", f2="x"))
+    want = verdicts(df, "proxy")
+    assert want[2] == ("bad", "SHORT_ROW")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert verdicts(df, "proxy") == want
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_control_characters_are_no_part_of_numbers(lines):
+    for bad in ("12\x00", "\x0112", "12\x7f", "1\x1b2"):
+        assert verdicts(lines(fields_of("flow", f10=bad)), "flow") == [("bad", "BAD_VALUE:sport")]
+        assert verdicts(lines(fields_of("dns", f7=bad)), "dns") == [("bad", "BAD_VALUE:dns_qry_type")]
+        assert verdicts(lines(fields_of("ids_event", f17=bad)), "ids_event") == [("bad", "BAD_VALUE:vlan_id")]
+    assert verdicts(lines(fields_of("flow", f10="\t12\x0b")), "flow") == [("ok", None)]

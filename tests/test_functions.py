@@ -63,6 +63,8 @@ def test_integers_equal_python(spark):
     samples = [" 12 ", "+7", "-7", "12.5", "", "1e3", "0x1", "9999999999", "32767", "32768", "-32768", "-32769", "007",
                "2147483647", "2147483648", "9223372036854775807", "9223372036854775808", "+", "-", "1 2", "None"]
     samples += ["".join(rng.choice("0123456789+-. e") for _ in range(rng.randrange(0, 12))) for _ in range(3000)]
+    controls = "".join(map(chr, [*range(32), 127]))
+    samples += ["".join(rng.choice("012" + controls) for _ in range(rng.randrange(0, 4))) for _ in range(3000)]
     for width, bits in (("smallint", 16), ("int", 32), ("bigint", 64)):
         got = column_of(spark, samples, lambda x: numbers.integer(x, width))
         assert got == [python_int(x, bits) for x in samples]

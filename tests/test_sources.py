@@ -17,6 +17,8 @@ def test_subscribe():
 def test_assign():
     options = kafka_options("a:1", "dns", partitions=[2, 0], starting_offsets="earliest", poll_timeout_ms=30, failOnDataLoss="false")
     assert json.loads(options["assign"]) == {"dns": [0, 2]}
+    assert options["groupIdPrefix"] == "dns"
+    assert kafka_options("a:1", "dns", partitions=[0], group_id="g")["groupIdPrefix"] == "g"
     assert "subscribe" not in options and options["startingOffsets"] == "earliest"
     assert options["kafkaConsumer.pollTimeoutMs"] == "30" and options["failOnDataLoss"] == "false"
 
