@@ -186,10 +186,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
 
     * Two nodes whose distances from their leader add up to no more than a link's are linked. The node with the most
       slack stands in for all of them.
-    * Other linked pairs share elements of their differences from the leader, enough to share one of the rarest. Nodes
-      that share one with a node of another component are compared under their leader, in blocks of bounded size. A task
-      has two blocks, as sets of differences, and gives a spanning forest of its links, never its pairs. This part is
-      quadratic in the nodes of one leader that are near each other and yet not connected.
+    * Where a leader's nodes are then in more than one component, they are compared with each other in blocks of bounded
+      size. A task has two blocks, as sets of differences from the leader, and gives a spanning forest of its links, never
+      its pairs. This part is quadratic in the number of different sets that are near each other and yet not linked.
     """
     similarity = Fraction(similarity)
     key = F.coalesce("doc_id", F.lit(NO_ID))
@@ -336,8 +335,7 @@ def _differences(stars: DataFrame, sets: DataFrame, similarity: Fraction) -> Dat
     """Per leader and node the elements that only one of them has, and whether the two are linked.
 
     A link between sets of a and b elements allows (a + b) * part / whole differing ones; `slack` is what a node leaves
-    of its own share, in units of 1 / whole. `prefix` is how many of the rarest elements must be looked at: a linked
-    pair of distances p and q that add up to more than its allowance k shares (p + q - k) / 2 elements, at least p - k.
+    of its own share, in units of 1 / whole.
     """
     part, whole = _share(similarity)
     led = sets.select(F.col("node").alias("leader"), F.col("elements").alias("x"), F.col("size").alias("nx"))
@@ -346,7 +344,6 @@ def _differences(stars: DataFrame, sets: DataFrame, similarity: Fraction) -> Dat
         "leader", "node", "nx", "ny", F.concat(F.array_except("y", "x"), F.array_except("x", "y")).alias("delta")
     )
     far = F.size("delta").cast("bigint")
-    largest = F.expr(f"ny * {similarity.denominator} div {similarity.numerator}")
     return made.select(
         "leader",
         "node",
@@ -354,7 +351,6 @@ def _differences(stars: DataFrame, sets: DataFrame, similarity: Fraction) -> Dat
         "delta",
         (whole * far <= part * (F.col("nx") + F.col("ny"))).alias("linked"),
         (part * F.col("ny") - whole * far).alias("slack"),
-        F.least(far, F.floor(part * (F.col("ny") + largest) / whole) + 1).alias("prefix"),
     )
 
 
@@ -372,24 +368,12 @@ def _by_slack(deltas: DataFrame) -> DataFrame:
 
 
 def _undecided(deltas: DataFrame, links: DataFrame) -> DataFrame:
-    """Those rows of `deltas` whose node shares one of its rarest differences with a node of another component."""
+    """Those rows of `deltas` whose leader has nodes of different components."""
     labels = components(links)
-    labelled = deltas.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = (F.min("component") != F.max("component")).alias("split")
-    mixed = labelled.groupBy("leader").agg(split).where("split").select("leader")
-    elements = labelled.join(mixed, "leader").select(
-        "leader", "node", "component", "prefix", F.explode("delta").alias("element")
-    )
-    common = elements.groupBy("leader", "element").agg(F.count(F.lit(1)).alias("n"))
-    rarest = Window.partitionBy("leader", "node").orderBy("n", "element")
-    near = (
-        elements.join(common, ["leader", "element"])
-        .withColumn("place", F.row_number().over(rarest))
-        .where("place <= prefix and n > 1")
-    )
-    groups = near.groupBy("leader", "element").agg(split).where("split").select("leader", "element")
-    nodes = near.join(groups, ["leader", "element"]).select("leader", "node").distinct()
-    return deltas.join(nodes, ["leader", "node"]).select("leader", "node", "size", "delta")
+    labelled = deltas.select("leader", "node").join(labels, "node", "left")
+    label = F.coalesce("component", "node")
+    mixed = labelled.groupBy("leader").agg((F.min(label) != F.max(label)).alias("split")).where("split").select("leader")
+    return deltas.join(mixed, "leader").select("leader", "node", "size", "delta")
 
 
 def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
@@ -400,7 +384,11 @@ def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
         nodes, sizes = group["node"].to_numpy(), group["size"].to_numpy()
         far = group["delta"].map(len).to_numpy()
         members = np.repeat(np.arange(len(nodes)), far)
-        _, element = np.unique(np.concatenate([*group["delta"], np.zeros(0, np.int64)]), return_inverse=True)
+        _, element, count = np.unique(
+            np.concatenate([*group["delta"], np.zeros(0, np.int64)]), return_inverse=True, return_counts=True
+        )
+        # what only one node has is shared by none
+        members, element = members[count[element] > 1], (np.cumsum(count > 1) - 1)[element[count[element] > 1]]
         shared = np.zeros((len(nodes), len(nodes)), np.float32)
         order = np.argsort(element, kind="stable")
         members, element = members[order], element[order]
@@ -411,6 +399,7 @@ def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
             shared += held @ held.T
         apart = far[:, None] + far[None, :] - 2 * shared.astype(np.int64)
         linked = whole * apart <= part * (sizes[:, None] + sizes[None, :])
+        np.fill_diagonal(linked, True)
         label, before = np.arange(len(nodes)), None
         while before is None or (label != before).any():
             before = label
