@@ -15,10 +15,21 @@ from telemill.llm.queries import KEY
 from telemill.session import scratch_dir
 
 
+def aside(docs: DataFrame, *taken: str) -> DataFrame:
+    """`docs` with its columns that have names which a stage uses itself renamed."""
+    return docs.withColumnsRenamed({c: f"{c} kept" for c in docs.columns if c.lower() in taken})
+
+
+def restored(made: DataFrame, docs: DataFrame, *taken: str) -> DataFrame:
+    """The columns of `docs` again, after `aside`."""
+    return made.select(*[F.col(f"`{c} kept`").alias(c) if c.lower() in taken else F.col(f"`{c}`") for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents whose language cannot be told: null, empty and letterless texts, and narrow margins."""
     dictionaries = language.learn(docs.where(fold() != 0))
-    return language.identify(docs, dictionaries).where("not rejected").select(docs.columns)
+    taken = ("lang_pred", "score", "rejected")
+    return restored(language.identify(aside(docs, *taken), dictionaries).where("not rejected"), docs, *taken)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,18 +42,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stands = F.min(F.struct(F.coalesce("doc_id", F.lit(jaccard.NO_ID)).alias("id"), "digest")).alias("stands")
     chosen = grouped.where("n_shingles > 0").groupBy("component").agg(stands)
     chosen = chosen.selectExpr("stands.id as id", "stands.digest[0] as c1", "stands.digest[1] as c2")
-    marked = jaccard.sketches(docs, 5, keep_text=True)
+    taken = ("n_shingles", "d1", "d2", "buckets", "id", "c1", "c2", "n")
+    marked = jaccard.sketches(aside(docs, *taken), 5, keep_text=True)
     same = F.expr(f"coalesce(doc_id, {jaccard.NO_ID}) = id and d1 = c1 and d2 = c2")
     worded = marked.where("n_shingles > 0").join(chosen, same, "left_semi")
     # rows of one id with equal sets: one stays
     once = Window.partitionBy("doc_id", "d1", "d2").orderBy(F.xxhash64("text", "lang", "source"), "text")
     worded = worded.withColumn("n", F.row_number().over(once)).where("n = 1")
-    return worded.select(docs.columns).unionByName(marked.where("n_shingles = 0").select(docs.columns))
+    return restored(worded, docs, *taken).unionByName(restored(marked.where("n_shingles = 0"), docs, *taken))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms; `n_chars` stays right, as formats do."""
-    return pseudonyms.pseudonymize(docs, KEY).select(docs.columns)
+    return restored(pseudonyms.pseudonymize(aside(docs, "pii_kinds"), KEY), docs, "pii_kinds")
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +68,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
     copies = copies.select(*[F.col(c).alias(f"mixed_{c}") for c in copies.columns])
     same = F.expr("doc_id <=> mixed_doc_id and source <=> mixed_source and xxhash64(text) = mixed_digest")
-    return docs.join(copies, same).select(*docs.columns, F.explode(F.expr("sequence(1, mixed_copies)"))).drop("col")
+    copy = F.explode(F.expr("sequence(1, mixed_copies)")).alias("mixed_copy")
+    return docs.join(copies, same).select(*[F.col(f"`{c}`") for c in docs.columns], copy).drop("mixed_copy")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
