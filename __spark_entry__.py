@@ -519,8 +519,8 @@ def table_and_quarantine(spark, sf_dir):
     table, bad = _table(spark, "flow"), f"bad_{scratch_dir(spark, 'bad')[-32:]}"
     tm.create_quarantine(spark, bad, f"{scratch_dir(spark, 'bad')}/table")
     report = tm.ingest_batch(messages(spark, sf_dir, "flow"), "flow", table=table, quarantine=bad)
-    rows = spark.table(table).select(F.lit(None).cast("string").alias("reason"), F.lit(report["rows"]).alias("reported"))
-    return rows.union(spark.table(bad).select("reason", F.lit(report["bad_rows"]))).groupBy("reason", "reported").agg(
+    rows = spark.table(table).select(F.lit(None).cast("string").alias("reason"), F.lit(report["rows"]).cast("bigint").alias("reported"))
+    return rows.union(spark.table(bad).select("reason", F.lit(report["bad_rows"]).cast("bigint"))).groupBy("reason", "reported").agg(
         F.count(F.lit(1)).alias("lines")
     )
 
