@@ -112,7 +112,7 @@ def _lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
 
 
 def bucket_counts(hashes: np.ndarray, places: np.ndarray) -> list[bytes]:
-    """How many elements of each set fall in each bucket of the domain, a byte per bucket, about one for four elements.
+    """How many elements of each set fall in each bucket of the domain, a byte per bucket, about one for eight elements.
 
     The distance of two such vectors is never more than the number of elements in which the sets differ. Halves add up
     to the vector for half as many buckets.
@@ -120,7 +120,7 @@ def bucket_counts(hashes: np.ndarray, places: np.ndarray) -> list[bytes]:
     spread = mix(hashes ^ np.uint64(0x8EBC6AF09C88C6E3))
     out = []
     for a, b in zip(places[:-1], places[1:]):
-        size = 1 << min(12, max(6, int(b - a).bit_length() - 2))
+        size = 1 << min(12, max(6, int(b - a).bit_length() - 3))
         counts = np.bincount((spread[a:b] % np.uint64(size)).astype(np.int64), minlength=size)
         out.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
     return out
@@ -159,7 +159,8 @@ def _sets(width: int):
         hashes, places = shingle_sets(*joined(piece.column("text")), width)
         d1, d2 = _digest(hashes, places)
         right = (d1 == piece.column("d1").to_numpy()) & (d2 == piece.column("d2").to_numpy())
-        return {"node": piece.column("node"), "elements": _lists(places, hashes), "right": right}
+        kept = {c: piece.column(c) for c in ("leader", "at", "node")}
+        return kept | {"elements": _lists(places, hashes), "right": right}
 
     return run
 
@@ -229,11 +230,7 @@ def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction)
     met = led.select("leader", "node").distinct()
     near = _canopies(cut(met.union(met.select("leader", "leader").distinct())), nodes, similarity)
     stars = components(near).where("node <> component").select(F.col("component").alias("leader"), "node")
-    wanted = stars.select("node").union(stars.select("leader")).distinct()
-    wanted = cut(wanted.join(nodes, wanted.node == nodes.d1).select("node", "rep", "d1", "d2"))
-    sets = _verified_sets(_texts(docs, wanted), width)
-
-    deltas = cut(_differences(stars, sets, similarity))
+    deltas = cut(_differences(docs, stars, nodes, width, similarity))
     links = deltas.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = cut(links.union(_by_slack(deltas)))
     return links.union(_in_blocks(_undecided(deltas, links), similarity))
@@ -325,35 +322,67 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return sieved.where(F.col("bits").bitwiseAND(bit) != 0).select("rep", "text").join(wanted, "rep")
 
 
-def _verified_sets(texts: DataFrame, width: int) -> DataFrame:
-    """`node`, `elements` (sorted) and `size`, from the texts whose digest is the node's."""
-    sets = map_slices(texts, "text", "node bigint, elements array<bigint>, right boolean", _sets(width)).where("right")
-    return cut(sets.dropDuplicates(["node"]).select("node", "elements", F.size("elements").cast("bigint").alias("size")))
-
-
-def _differences(stars: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+def _differences(docs: DataFrame, stars: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """Per leader and node the elements that only one of them has, and whether the two are linked.
 
     A link between sets of a and b elements allows (a + b) * part / whole differing ones; `slack` is what a node leaves
-    of its own share, in units of 1 / whole.
+    of its own share, in units of 1 / whole. The sets come from the texts whose digest is the node's. A large star is
+    dealt out in blocks, each with the leader before its nodes, which pass one by one.
     """
     part, whole = _share(similarity)
-    led = sets.select(F.col("node").alias("leader"), F.col("elements").alias("x"), F.col("size").alias("nx"))
-    both = stars.join(led, "leader").join(sets.withColumnsRenamed({"elements": "y", "size": "ny"}), "node")
-    made = both.select(
-        "leader", "node", "nx", "ny", F.concat(F.array_except("y", "x"), F.array_except("x", "y")).alias("delta")
+    blocks = stars.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    members = stars.join(blocks, "leader").select("leader", "node", own.alias("at"))
+    members = members.union(blocks.select("leader", F.col("leader").alias("node"), every.alias("at")))
+    wanted = cut(members.join(nodes.select(F.col("d1").alias("node"), "d1", "d2", "rep"), "node"))
+    sets = map_slices(
+        _texts(docs, wanted),
+        "text",
+        "leader bigint, at array<int>, node bigint, elements array<bigint>, right boolean",
+        _sets(width),
     )
-    far = F.size("delta").cast("bigint")
-    return made.select(
-        "leader",
-        "node",
-        F.col("ny").alias("size"),
-        "delta",
-        (whole * far <= part * (F.col("nx") + F.col("ny"))).alias("linked"),
-        (part * F.col("ny") - whole * far).alias("slack"),
+    dealt = sets.where("right").select("leader", F.explode("at").alias("block"), "node", "elements")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first, last = None, np.zeros(0, np.int64), None
+        for batch in batches:
+            rows: list[tuple] = []
+            keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "block", "node")))
+            elements = batch.column("elements")
+            for i, (leader, block, node) in enumerate(keys):
+                if (leader, block, node) == last:
+                    continue  # another row with the same set
+                last = leader, block, node
+                mine = elements[i].values.to_numpy()
+                if (leader, block) != now:
+                    now, first = (leader, block), mine  # the leader is the smallest node
+                    continue
+                delta = np.setxor1d(first, mine, assume_unique=True)
+                far = whole * len(delta)
+                linked = far <= part * (len(first) + len(mine))
+                rows.append((leader, node, len(mine), delta, linked, part * len(mine) - far))
+            columns = list(zip(*rows)) or [[]] * len(_DELTAS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _DELTAS)], schema=_DELTAS)
+
+    sorted_ = spread(dealt, "leader", "block").sortWithinPartitions("leader", "block", "node")
+    return sorted_.mapInArrow(
+        run, "leader bigint, node bigint, size bigint, delta array<bigint>, linked boolean, slack bigint"
     )
 
 
+_DELTAS = pa.schema(
+    [
+        ("leader", pa.int64()),
+        ("node", pa.int64()),
+        ("size", pa.int64()),
+        ("delta", pa.list_(pa.int64())),
+        ("linked", pa.bool_()),
+        ("slack", pa.int64()),
+    ]
+)
+
+
 def _share(similarity: Fraction) -> tuple[int, int]:
     share = (1 - similarity) / (1 + similarity)
     return share.numerator, share.denominator
