@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import ipaddress
+import itertools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,26 +70,36 @@ def iban_sum(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
-def _refill(shape: str, digits: str) -> str:
+def _refill(shape: str, digits: Iterable[str]) -> str:
     """`shape` with its digits replaced in order."""
     new = iter(digits)
     return "".join(next(new) if c in "0123456789" else c for c in shape)
 
 
+def _spliced(text: str, parts: list[tuple[int, int, str]]) -> str:
+    """`text` with other strings at sorted places."""
+    out, last = [], 0
+    for start, end, new in parts:
+        out += text[last:start], new
+        last = end
+    return "".join([*out, text[last:]])
+
+
 class Pseudonymizer:
     """Finds values in a text and replaces them. Step -1 restores what step 1 has replaced."""
 
-    #: Everything that begins with a digit or a plus sign, the longest forms first.
+    #: What begins with a digit or a plus sign, but cards; the longest forms first. A comma may join values, as in tables.
     NUMBERS = re.compile(
         r"[+0-9](?:(?<=\+)(?P<phone>[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4})(?![0-9])"
-        r"|(?<=[0-9])(?<![0-9+.,][0-9])(?:"
+        r"|(?<=[0-9])(?<![0-9][0-9])(?<![0-9]\.[0-9])(?:"
         r"(?P<iso>[0-9]{3}-[0-9]{2}-[0-9]{2})(?![0-9-])"
         r"|(?P<day>[0-9](?P<mark>[./-])[0-9]{2}(?P=mark)[0-9]{4})(?![0-9]|[./-][0-9])"
         r"|(?P<ssn>[0-9]{2}-[0-9]{2}-[0-9]{4})(?![0-9-])"
         r"|(?P<ip>[0-9]{0,2}(?:\.[0-9]{1,3}){3})(?![0-9]|\.[0-9])"
-        r"|(?P<card>[0-9]{12,18}(?![0-9])|(?:[ -]?[0-9]){12,18}(?![0-9]|[ -][0-9]))"
         r"))"
     )
+    #: Groups of digits in which cards may lie.
+    RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,}")
     IBAN = re.compile(r"[A-Z][A-Z][0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
     LOCAL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?\Z")
     HOST = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")
@@ -124,14 +136,60 @@ class Pseudonymizer:
 
     # Each gives the pseudonym of a value of its format, or None if the value is not valid.
 
-    def card(self, text: str) -> str | None:
-        digits = re.sub("[^0-9]", "", text)
-        marks = set(text) - set("0123456789")
-        if not 13 <= len(digits) <= 19 or luhn(digits) % 10 or len(marks) > 1:
-            return None
-        n = len(digits) - 1
-        body = str(self.permuted("card", 10**n, int(digits[:-1]))).zfill(n)
-        return _refill(text, body + str(-luhn(body + "0") % 10))
+    def card(self, digits: str) -> str:
+        """Keeps the sum that the digits have before an odd number of others, so that these stay no part of the card."""
+        n, before = len(digits) - 1, luhn(digits + "0") % 10
+        while True:
+            body = str(self.permuted("card", 10**n, int(digits[:-1]))).zfill(n)
+            digits = body + str(-luhn(body + "0") % 10)
+            if luhn(digits + "0") % 10 == before:
+                return digits
+
+    def cards(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """Start, end and pseudonym of the cards in a text.
+
+        In a run of groups of digits, a card begins at the first group from which 13 to 19 digits of whole groups, with
+        one kind of mark between them, have a right Luhn digit; it is the longest. Groups that were no card must not
+        become one, else a text could not be restored: a pseudonym with which they would is permuted again.
+        """
+        for run in self.RUN.finditer(text):
+            groups = [m.span() for m in re.finditer("[0-9]+", run[0])]
+            digits = re.sub("[^0-9]", "", run[0])
+            ends = list(itertools.accumulate(b - a for a, b in groups))
+            decimals = re.search(r"[0-9]\.\Z", text[max(0, run.start() - 2) : run.start()])
+            found, others = [], []  # groups from and to, and digits from and to of what is not valid
+            i = 1 if decimals else 0
+            while i < len(groups):
+                start, fits = ends[i - 1] if i else 0, []
+                for j in range(i, len(groups)):
+                    if ends[j] - start > 19 or j > i + 1 and run[0][groups[j][0] - 1] != run[0][groups[i + 1][0] - 1]:
+                        break
+                    if ends[j] - start >= 13:
+                        fits.append(j)
+                for j in reversed(fits):
+                    if luhn(digits[start : ends[j]]) % 10 == 0:
+                        found.append((i, j))
+                        break
+                    others.append((start, ends[j]))
+                i = found[-1][1] + 1 if found and found[-1][0] == i else i + 1
+            now = list(digits)
+            for i, j in found[:: self.step]:
+                start, end = ends[i - 1] if i else 0, ends[j]
+                near = others[bisect.bisect(others, (start - 19,)) : bisect.bisect(others, (end,))]
+                near = [(a, b) for a, b in near if b > start]
+                value = digits[start:end]
+                while True:
+                    value = self.card(value)
+                    # from 19 digits before the card to 19 after it
+                    low = max(0, start - 19)
+                    there = "".join(now[low:start]) + value + "".join(now[end : end + 19])
+                    if all(luhn(there[a - low : b - low]) % 10 for a, b in near):
+                        break
+                now[start:end] = value
+            for i, j in found:
+                a, b = groups[i][0], groups[j][1]
+                new = _refill(run[0][a:b], now[ends[i - 1] if i else 0 : ends[j]])
+                yield run.start() + a, run.start() + b, new
 
     def phone(self, text: str) -> str | None:
         head = re.match(r"\+(?:[0-9]{1,3}(?=[ .(-])|[0-9])", text).end()
@@ -193,12 +251,13 @@ class Pseudonymizer:
         new = f"{self.permuted('secret', 16 ** len(text), int(text, 16)):0{len(text)}x}"
         return new.upper() if text.isupper() else new
 
-    def found(self, text: str) -> Iterator[tuple[int, int, str]]:
-        """Start, end and kind of what may be a value, the surest kinds first."""
+    def secrets(self, text: str) -> Iterator[tuple[int, int, str]]:
         low = text.lower()
         if len(low) == len(text) and any(word in low for word in self.SECRET_WORDS) or len(low) != len(text):
             for m in self.SECRET.finditer(text):
                 yield *m.span(1), "secret"
+
+    def emails(self, text: str) -> Iterator[tuple[int, int, str]]:
         at = text.find("@")
         while at >= 0:
             host = self.HOST.match(text, at)
@@ -206,29 +265,39 @@ class Pseudonymizer:
             if local:
                 yield at - len(local[0]), host.end(), "email"
             at = text.find("@", at + 1)
+
+    def ibans(self, text: str) -> Iterator[tuple[int, int, str]]:
         for m in self.IBAN.finditer(text):
             if m.start() == 0 or not text[m.start() - 1].isalnum():
                 yield *m.span(), "iban"
+
+    def numbers(self, text: str) -> Iterator[tuple[int, int, str]]:
         for m in self.NUMBERS.finditer(text):
             yield *m.span(), m.lastgroup if m.lastgroup != "mark" else "day"
 
     def replace(self, text: str) -> tuple[str, list[str]]:
-        """The text with pseudonyms, and their kinds in order of place."""
+        """The text with pseudonyms, and their kinds in order of place.
+
+        The surest kinds go first. What they replace is hidden from the others, which so find the same in the new text.
+        """
         changes: list[tuple[int, int, str, str]] = []
-        for start, end, kind in self.found(text):
-            if any(start < b and a < end for a, b, _, _ in changes):
-                continue
-            new = getattr(self, kind)(text[start:end])
-            if new is not None:
-                changes.append((start, end, kind, new))
+        rest = text
+        for find in (self.secrets, self.emails, self.ibans, self.numbers, None):
+            made: list[tuple[int, int, str, str]] = []
+            if find is None:
+                made = [(start, end, "card", new) for start, end, new in self.cards(rest)]
+            else:
+                for start, end, kind in find(rest):
+                    new = getattr(self, kind)(rest[start:end]) if not made or start >= made[-1][1] else None
+                    if new is not None:
+                        made.append((start, end, kind, new))
+            if made:
+                rest = _spliced(rest, [(start, end, "\0" * (end - start)) for start, end, _, _ in made])
+                changes += made
         if not changes:
             return text, []
         changes.sort()
-        out, last = [], 0
-        for start, end, _, new in changes:
-            out += text[last:start], new
-            last = end
-        return "".join([*out, text[last:]]), [kind for _, _, kind, _ in changes]
+        return _spliced(text, [(start, end, new) for start, end, _, new in changes]), [kind for _, _, kind, _ in changes]
 
 
 def pseudonymize(docs: DataFrame, key: bytes, step: int = 1) -> DataFrame:
@@ -240,6 +309,11 @@ def pseudonymize(docs: DataFrame, key: bytes, step: int = 1) -> DataFrame:
     `token =` and the like. A value becomes another valid value of the same format. Equal values have equal pseudonyms
     under one key, in all documents; numbers that are not valid stay. `step=-1` and the key restore the texts.
 
+    A value may follow a comma or a plus sign at once, but not a digit, or a digit and a full stop, which makes it part of
+    a longer number. A card may have other groups of digits beside it: among many short numbers in a row some are right
+    by chance and are replaced too. Where groups that are no card reach into a card and its pseudonym would make them
+    one, this card alone has another pseudonym, so that the text can be restored.
+
     A null text stays null and an empty one empty, with no kinds; all other columns pass through unchanged, but for an
     earlier column `pii_kinds`, which is replaced. Rows are independent of each other, so repeated rows and ids do not
     matter; an empty frame gives an empty frame.

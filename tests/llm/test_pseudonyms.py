@@ -65,6 +65,46 @@ def test_values_beside_each_other():
     assert new.split()[0] == new.split()[2] and luhn(new.split()[0]) % 10 == 0
 
 
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        ("10.0.0.1,10.0.0.2", ["ip", "ip"]),
+        ("Ann,4111111111111111,192.168.0.1,1980-02-29", ["card", "ip", "iso"]),
+        ("17,123-45-6789,31.12.1999,4111 1111 1111 1111,+1 (017) 555-7713", ["ssn", "day", "card", "phone"]),
+        ("no.10.0.0.1 +4111111111111111 x.2024-02-29", ["ip", "card", "iso"]),
+        ("4111 1111 1111 1111 12/27", ["card"]),
+        ("4111-1111-1111-1111 123", ["card"]),
+        ("4111 1111 1111 1111 5500 0000 0000 0004", ["card", "card"]),
+        ("4111 1111 1111 1111 2024-02-29 4111 1111 1111 1111 123-45-6789", ["card", "iso", "card", "ssn"]),
+        ("no 12 4111 1111 1111 1111", ["card"]),
+        ("1.2.3.4.5,3.4111111111111111", []),
+    ],
+)
+def test_values_joined_to_others(text, kinds):
+    new, found = Pseudonymizer(KEY).replace(text)
+    assert found == kinds
+    assert Pseudonymizer(KEY, -1).replace(new) == (text, kinds)
+
+
+def test_a_card_beside_an_expiry_date_is_replaced_whole_and_alike():
+    tool = Pseudonymizer(KEY)
+    alone = tool.replace("4111 1111 1111 1111")[0]
+    for tail in (" 12/27", " 1", " 123", " 5500 0000 0000 0004", "-7"):
+        assert tool.replace("4111 1111 1111 1111" + tail)[0][:19] == alone
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.sampled_from(["4111 1111 1111 1111", "5500000000000004", "6304 0000 0000 0000 000", "1.2.3.4", "12", "7", "345"])),
+    st.lists(st.sampled_from([" ", "-", ",", ".", ", "]), min_size=40, max_size=40),
+    st.text(alphabet="0123456789 -", max_size=60),
+)
+def test_runs_of_numbers_are_restored(parts, marks, tail):
+    text = "".join(p + m for p, m in zip(parts, marks)) + tail
+    new, kinds = Pseudonymizer(KEY).replace(text)
+    assert Pseudonymizer(KEY, -1).replace(new) == (text, kinds)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="0123456789.-+() @ab/İ:\n", max_size=60))
 def test_any_text_is_restored(text):
