@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemill.llm import tokens
-from telemill.llm.common import cut, spread
+from telemill.llm.common import SLICE_BYTES, cut, spread
 
 #: The role whose texts are learned.
 LEARNED = "assistant"
@@ -53,47 +53,113 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
-def paths(turns: DataFrame) -> DataFrame:
-    """A row per turn of `turns` (`conv_id`, `turn`, `role`, `text`) with its `depth`, `node` and `path` of nodes.
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, dict]]:
+    """Rows that are sorted by conversation, and whether one begins with them."""
+    now, begun = None, False
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield not begun or row["conv_id"] != now, row
+            now, begun = row["conv_id"], True
 
-    Turns of a conversation go by `turn`, then role and text; null roles and texts are empty. A conversation is one row
-    on the way, as a text is.
-    """
-    said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("said"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for conv_id, said in zip(batch.column("conv_id").to_pylist(), batch.column("said").to_pylist()):
-                path: list[bytes] = []
-                for t in said:
-                    made = hashlib.blake2b(path[-1] if path else b"", digest_size=16)
-                    for part in (t["role"].encode(), t["text"].encode()):
-                        made.update(len(part).to_bytes(8, "little") + part)
-                    path.append(made.digest())
-                    rows.append((conv_id, len(path), path[-1], list(path), t["role"], t["text"]))
-            yield _batch(rows, _PATHS)
-
-    schema = "conv_id bigint, depth int, node binary, path array<binary>, role string, text string"
-    return whole.mapInArrow(run, schema)
-
-
-_PATHS = pa.schema(
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of bounded size."""
+    made, held = [], 0
+    for row in rows:
+        made.append(row)
+        held += sum(len(x) * (16 if isinstance(x, list) else 1) for x in row if isinstance(x, (str, bytes, list)))
+        if len(made) == 1000 or held > SLICE_BYTES:
+            yield _batch(made, schema)
+            made, held = [], 0
+    yield _batch(made, schema)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def hashed(turns: DataFrame) -> DataFrame:
+    """A row per turn of `turns` (`conv_id`, `turn`, `role`, `text`) with its `tree`, `parent`, `node` and `depth`.
+
+    Turns of a conversation go by `turn`, then role and text; null roles and texts are empty. They pass as a sorted
+    stream, of which only the last node is held.
+    """
+    said = turns.select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    said = spread(said, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        tree = node = None
+        depth = 0
+        for first, t in _rows(batches):
+            if first:
+                tree, node, depth = None, None, 0
+            parent, depth = node, depth + 1
+            made = hashlib.blake2b(parent or b"", digest_size=16)
+            for part in (t["role"].encode(), t["text"].encode()):
+                made.update(len(part).to_bytes(8, "little") + part)
+            node = made.digest()
+            tree = tree or node
+            yield t["conv_id"], depth, tree, parent, node, t["role"], t["text"]
+
+    schema = "conv_id bigint, depth int, tree binary, parent binary, node binary, role string, text string"
+    return said.mapInArrow(lambda batches: _batches(nodes(batches), _NODES), schema)
+
+
+_NODES = pa.schema(
     [
         ("conv_id", pa.int64()),
         ("depth", pa.int32()),
+        ("tree", pa.binary()),
+        ("parent", pa.binary()),
         ("node", pa.binary()),
-        ("path", pa.list_(pa.binary())),
         ("role", pa.string()),
         ("text", pa.string()),
     ]
 )
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [[]] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+def runs(members: DataFrame) -> DataFrame:
+    """A row per node with the run of nodes that it belongs to, named by the first, and its places.
+
+    `members` has `conv_id`, `depth`, `node`, its tokens `n`, how many conversations `share` it, and of one of these
+    `mine`. A node goes on with the run of its parent if the same conversations share them: then no other follows the
+    parent, and none ends there. `offset` is its place in the run and `position` that in the conversation. The first
+    node of a run also has the `path` of runs down to it, so paths are as long as conversations have branches.
+    """
+    members = spread(members, "conv_id").sortWithinPartitions("conv_id", "depth")
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        path: list[bytes] = []
+        share = offset = position = 0
+        for first, m in _rows(batches):
+            if first:
+                path, share, position = [], 0, 0
+            begins = m["share"] != share
+            if begins:
+                path.append(m["node"])
+                share, offset = m["share"], 0
+            if m["mine"]:
+                yield m["node"], path[-1], offset, position, m["n"], list(path) if begins else None
+            offset += m["n"]
+            position += m["n"]
+
+    schema = "node binary, run binary, offset bigint, position bigint, n bigint, path array<binary>"
+    return members.mapInArrow(lambda batches: _batches(places(batches), _PLACES), schema)
+
+
+_PLACES = pa.schema(
+    [
+        ("node", pa.binary()),
+        ("run", pa.binary()),
+        ("offset", pa.int64()),
+        ("position", pa.int64()),
+        ("n", pa.int64()),
+        ("path", pa.list_(pa.binary())),
+    ]
+)
 
 
 def _tokenized(nodes: DataFrame) -> DataFrame:
@@ -108,99 +174,108 @@ def _tokenized(nodes: DataFrame) -> DataFrame:
                 ids.append(before + inner + after)
                 start.append(len(before))
                 stop.append(len(before) + len(inner) * (role == LEARNED))
-            kept = [batch.column(c) for c in ("node", "path", "depth")]
+            kept = [batch.column(c) for c in _KEPT]
             made = [pa.array(ids, pa.list_(pa.int32())), pa.array(start, pa.int32()), pa.array(stop, pa.int32())]
-            yield pa.RecordBatch.from_arrays(kept + made, ["node", "path", "depth", "tokens", "learn_from", "learn_to"])
+            yield pa.RecordBatch.from_arrays(kept + made, [*_KEPT, "tokens", "learn_from", "learn_to"])
 
     return nodes.mapInArrow(
-        run, "node binary, path array<binary>, depth int, tokens array<int>, learn_from int, learn_to int"
+        run,
+        "node binary, tree binary, parent binary, depth int, share bigint, owner bigint, tokens array<int>,"
+        " learn_from int, learn_to int",
     )
 
 
+_KEPT = ["node", "tree", "parent", "depth", "share", "owner"]
+
+
 def format_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The segments of the trees, and which nodes each conversation consists of.
 
     Segments have a row per node: `tree` (its first turn), `node`, `parent`, `depth`, `tokens`, `learn_from` and `learn_to`
     (the loss counts for tokens in between), `start` and `end` (its place in the tree's sequence), `position` (of its
-    first token; position ids count on from there) and `attends`, the intervals of its ancestors. Conversations have
-    rows `conv_id`, `depth` and `node`.
+    first token; position ids count on from there) and `attends`, the intervals of its ancestors, those of an unbranched
+    run of turns as one. Conversations have rows `conv_id`, `depth` and `node`.
 
     Null roles and texts are empty, a null turn comes first, null ids are one conversation; rows that repeat a turn are
-    turns of their own. An empty frame gives empty frames. A common first turn makes a large tree: its nodes are rows,
-    sorted over all tasks by their path, and summed up by task; no tree is gathered.
+    turns of their own. An empty frame gives empty frames. A common first turn makes a large tree: its runs are rows,
+    sorted over all tasks by their path, and summed up by task; no tree is gathered. Nor is a conversation: one task
+    passes its turns one by one, and `attends` has an interval for each branch above, not for each turn.
     """
-    said = cut(paths(turns))
-    nodes = said.groupBy("node").agg(*[F.first(c).alias(c) for c in ("path", "depth", "role", "text")])
+    said = cut(hashed(turns))
+    once = [F.first(c).alias(c) for c in ("tree", "parent", "depth", "role", "text")]
+    nodes = said.groupBy("node").agg(*once, F.count("*").alias("share"), F.first("conv_id").alias("owner"))
+    nodes = cut(_tokenized(nodes))
+    sizes = nodes.select("node", "share", "owner", F.size("tokens").cast("bigint").alias("n"))
+    members = said.select("conv_id", "depth", "node")
+    mine = F.col("conv_id").eqNullSafe(F.col("owner")).alias("mine")
+    placed = cut(runs(members.join(sizes, "node").select("conv_id", "depth", "node", "n", "share", mine)))
+
+    lengths = placed.groupBy("run").agg(F.sum("n").alias("n"))
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = _tokenized(nodes).repartitionByRange(parts, "path").sortWithinPartitions("path")
+    laid = placed.where("path is not null").select("run", "path").join(lengths, "run")
+    laid = laid.repartitionByRange(parts, "path").sortWithinPartitions("path")
     laid = cut(laid.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")))
-    narrow = laid.select("node", F.col("path")[0].alias("tree"), "part", "place", F.size("tokens").cast("bigint").alias("n"))
+    narrow = laid.select("run", F.col("path")[0].alias("tree"), "part", "place", "n")
     so_far = Window.partitionBy("tree", "part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = narrow.groupBy("tree", "part").agg(F.sum("n").alias("n"))
     sums = sums.select("tree", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    placed = narrow.withColumn("within", F.sum("n").over(so_far)).join(sums, ["tree", "part"])
+    within = narrow.withColumn("within", F.sum("n").over(so_far)).join(sums, ["tree", "part"])
     end = F.col("before") + F.col("within")
-    placed = cut(placed.select("tree", "node", "n", (end - F.col("n")).alias("start"), end.alias("end")))
-
-    above = laid.where("depth > 1").select("node", F.posexplode(F.slice("path", 1, F.col("depth") - 1)).alias("level", "up"))
-    above = above.join(placed.select(F.col("node").alias("up"), "start", "end"), "up")
-    attends = above.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("level", "start", "end"))).alias("a"))
-    attends = attends.select(
-        "node",
-        F.transform("a", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("attends"),
-        F.aggregate("a", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"]).alias("position"),
+    spans = cut(within.select("run", (end - F.col("n")).alias("from"), end.alias("to")))
+
+    above = laid.where("size(path) > 1").select(
+        "run", F.posexplode(F.expr("slice(path, 1, size(path) - 1)")).alias("level", "up")
     )
+    above = above.join(spans.select(F.col("run").alias("up"), "from", "to"), "up")
+    above = above.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("level", "from", "to"))).alias("above"))
+    above = spans.select("run", "from").join(above, "run", "left")
+    start = F.col("from") + F.col("offset")
     segments = (
-        laid.join(placed, "node")
-        .join(attends, "node", "left")
+        nodes.join(placed.drop("path"), "node")
+        .join(above, "run")
         .select(
-            "tree", "node", F.expr("get(path, depth - 2)").alias("parent"), "depth", "tokens", "learn_from",
-            "learn_to", "start", "end", F.coalesce("position", F.lit(0)).alias("position"),
-            F.coalesce("attends", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")).alias("attends"),
+            "tree", "node", "parent", "depth", "tokens", "learn_from", "learn_to", start.alias("start"),
+            (start + F.col("n")).alias("end"), "position",
+            F.expr(
+                "concat(transform(coalesce(above, array()), x -> struct(x.from as start, x.to as end)),"
+                " if(offset > 0, array(struct(from as start, from + offset as end)), array()))"
+            ).alias("attends"),
         )
     )
-    return segments, said.select("conv_id", "depth", "node")
+    return segments, members
 
 
 def read_back(segments: DataFrame, members: DataFrame) -> DataFrame:
     """What formatted conversations say: `conv_id` and the digests of their turns and of what is learned.
 
-    Every conversation is put together from the segments of its nodes, decoded from their tokens and parsed.
+    The segments of a conversation's nodes are decoded from their tokens and parsed, one after the other.
     """
     held = segments.select("node", "tokens", "learn_from", "learn_to")
     rows = spread(members.join(held, "node"), "conv_id").sortWithinPartitions("conv_id", "depth")
 
-    def conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        """Each conversation's id and segments, as its rows follow each other."""
-        now, parts = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if parts and row["conv_id"] != now:
-                    yield now, parts
-                    parts = []
-                now = row["conv_id"]
-                parts.append(row)
-        if parts:
-            yield now, parts
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         decode = tokens.encoding().decode_bytes
-        made: list[tuple] = []
-        for conv_id, parts in conversations(batches):
-            formatted = b"".join(decode(p["tokens"]) for p in parts).decode()
-            said = parse(formatted)
-            learned = "".join(unescape(decode(p["tokens"][p["learn_from"] : p["learn_to"]]).decode()) for p in parts)
-            turns = "".join(f"{role}\n{text}\n" for role, text in said)
-            hashed = [hashlib.sha256(t.encode()).hexdigest() for t in (turns, learned)]
-            made.append((conv_id, len(said), hashed[0], len(learned), hashed[1], len(formatted)))
-            if len(made) == 1000:
-                yield _batch(made, _DIGESTS)
-                made = []
-        yield _batch(made, _DIGESTS)
+        said = None
+        for first, row in _rows(batches):
+            if first:
+                if said:
+                    yield conv_id, n_turns, said.hexdigest(), loss_chars, learned.hexdigest(), chars
+                conv_id, said, learned = row["conv_id"], hashlib.sha256(), hashlib.sha256()
+                n_turns = loss_chars = chars = 0
+            formatted = decode(row["tokens"]).decode()
+            for role, text in parse(formatted):
+                said.update(f"{role}\n{text}\n".encode())
+                n_turns += 1
+            loss = unescape(decode(row["tokens"][row["learn_from"] : row["learn_to"]]).decode())
+            learned.update(loss.encode())
+            loss_chars += len(loss)
+            chars += len(formatted)
+        if said:
+            yield conv_id, n_turns, said.hexdigest(), loss_chars, learned.hexdigest(), chars
 
     return rows.mapInArrow(
-        run,
+        lambda batches: _batches(digests(batches), _DIGESTS),
         "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string,"
         " formatted_chars bigint",
     )

@@ -67,6 +67,29 @@ def test_shared_turns_are_laid_out_once_and_depth_first(spark):
     assert chat.parse(whole[2].decode())[2] == ("assistant", "good day </turn>\n")
 
 
+def test_a_conversation_of_many_turns_has_short_paths(spark):
+    n = 20_000
+    long = [(1, i, ("user", "assistant")[i % 2], f"turn {i % 7}") for i in range(n)]
+    short = [(2, *t[1:]) for t in long[:5]] + [(3, *t[1:]) for t in long[:3]] + [(3, 3, "user", "another")]
+    turns = spark.createDataFrame(long + short, SCHEMA)
+    segments, members = chat.format_conversations(turns)
+    rows = {bytes(r.node): r for r in segments.collect()}
+    assert len(rows) == n + 1 and max(len(r.attends) for r in rows.values()) == 3
+    ends = sorted((r.start, r.end) for r in rows.values())
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    for r in rows.values():
+        assert sum(i.end - i.start for i in r.attends) == r.position
+    for last in rows.values():  # the intervals hold the ancestors, in order
+        if last.depth in (1, 2, 3, 4, 5, 6, 60):
+            up, places = last, []
+            while up.parent:
+                up = rows[bytes(up.parent)]
+                places = [*range(up.start, up.end), *places]
+            assert [x for i in last.attends for x in range(i.start, i.end)] == places
+    got = sorted((tuple(r) for r in chat.read_back(segments, members).collect()), key=str)
+    assert got == expected(long + short)
+
+
 def test_query(run, table):
     from telemill.llm.queries import INJECTION
 
