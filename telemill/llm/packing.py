@@ -143,8 +143,9 @@ def pack(
 
     The rows have `sequence_id`, `offset` and `round` more; the certificates `round`, `part`, `bins` and `bound`. A part
     whose bins equal its bound is final, and so are full bins; the others are dealt out anew in the next round, until
-    the last. Parts are dealt by a hash of the piece and have about `partition` pieces, whatever their documents are, so
-    no part grows with the data; equal pieces may be swapped with each other, which changes nothing. Pieces of full
+    the last. Parts are dealt by a hash of the piece and of the place of its row, so that rows that repeat a piece are
+    spread too; they have about `partition` pieces, whatever these are, and no part grows with the data. Equal pieces may
+    be swapped with each other, which changes nothing. Other files of the same rows may be packed otherwise. Pieces of full
     length are sequences of their own from the start. An empty frame gives empty frames.
     """
     spark = pieces.sparkSession
@@ -158,20 +159,20 @@ def pack(
             F.monotonically_increasing_id().alias("bin"), F.lit(0).cast("bigint").alias("offset"),
         )
     )
-    loose = pieces.where(F.col("length") < capacity)
+    loose = pieces.where(F.col("length") < capacity).withColumn("row", F.monotonically_increasing_id())
     for r in range(rounds):
         n = loose.count()
         if not n and r:
             break
         parts = max(1, math.ceil(n / partition))
-        dealt = loose.withColumn("part", F.pmod(F.xxhash64(name, F.lit(r)), F.lit(parts)).cast("int"))
-        schema = f"{PIECES}, part int, bin bigint, offset bigint, filled bigint, bins bigint, bound bigint"
-        done = cut(dealt.select(*_NAMES, "part").repartition(parts, "part").mapInPandas(_packer(capacity), schema))
+        dealt = loose.withColumn("part", F.pmod(F.xxhash64(name, "row", F.lit(r)), F.lit(parts)).cast("int"))
+        schema = f"{PIECES}, row bigint, part int, bin bigint, offset bigint, filled bigint, bins bigint, bound bigint"
+        done = cut(dealt.select(*_NAMES, "row", "part").repartition(parts, "part").mapInPandas(_packer(capacity), schema))
         proofs.append(done.groupBy(F.lit(r).alias("round"), "part").agg(F.max("bins").alias("bins"), F.max("bound").alias("bound")))
         final = (F.col("filled") == capacity) | (F.col("bins") == F.col("bound"))
         final = final | F.lit(r == rounds - 1 or parts == 1)
         packed.append(done.where(final).select(*_NAMES, F.lit(r).alias("round"), "part", "bin", "offset"))
-        loose = done.where(~final).select(*_NAMES)
+        loose = done.where(~final).select(*_NAMES, "row")
     rows, proof = packed[0], proofs[0]
     for more in packed[1:]:
         rows = rows.union(more)

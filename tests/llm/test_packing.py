@@ -101,3 +101,12 @@ def test_partitions_with_gaps_exchange_pieces(spark):
     first = sum(r.bins for r in proofs if r["round"] == 0)
     assert len(sums) - 20 <= first
     assert sorted(map(tuple, packed.collect())) == sorted(map(tuple, rows_out))
+
+
+def test_rows_that_repeat_a_piece_are_spread_over_parts(spark):
+    rows = [(None, 0, 0, 700, 1)] * 3000 + [(7, 0, 0, 900, 2)] * 1000
+    packed, proof = packing.pack(spark.createDataFrame(rows, packing.PIECES), partition=100)
+    assert sorted(tuple(r)[:5] for r in packed.where("doc_id = 7").collect()) == rows[3000:]
+    assert [tuple(r)[:5] for r in packed.where("doc_id is null").collect()] == rows[:3000]
+    bins = [r.bins for r in proof.collect() if r["round"] == 0]
+    assert len(bins) == 40 and max(bins) <= 100  # two pieces in a bin, about 100 in a part
