@@ -145,11 +145,12 @@ def _numbers(vectors: pd.Series, scale: float) -> np.ndarray:
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0) -> DataFrame:
-    """`query_id`, `rank`, `vec_id` and `score`: for each query its `k` vectors with the highest inner product.
+    """`query_id`, `rank`, `vec_id` and `score`: for each query id its `k` vectors with the highest inner product.
 
     `vectors` has `vec_id` and `embedding`; its components count as floor(scale * x), in whole numbers and without
     rounding. `is_query` (a condition) picks the queries, whose own id is no candidate. Ties go to the smaller id, a null
-    id last; rows that repeat an id are candidates of their own, and queries of their own only if they differ. Vectors
+    id last; rows that repeat an id are candidates of their own. An id has one list: queries that share it are all
+    searched, equal ones once, and the `k` best of what they find are ranked together, as the SQL for DuckDB does. Vectors
     that are null or empty or hold a null or non-finite component take no part, and vectors of other lengths than a
     query's are not compared with it. Products of 2**53 or more are an error, as they might not be exact.
     Fewer than `k` candidates are all returned; without queries or vectors there are no rows.

@@ -86,6 +86,16 @@ def test_pruning_leaves_out_most_of_clustered_vectors():
     assert sum(scored) < 0.6 * len(q) * len(c)
 
 
+def test_queries_that_share_an_id_have_one_list(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 31)] + [(40, [1.0, 50.0]), (40, [-2.0, 0.5])]
+    duck = duckdb.connect()
+    duck.execute("create table embeddings (vec_id bigint, embedding float[])")
+    duck.executemany("insert into embeddings values (?, ?)", rows)
+    want = duck.execute(queries.ORACLE_SQL["op8_exact_top_k"]).fetchall()
+    assert sorted(searched(spark, rows)) == sorted(want)
+    assert sorted(r[1] for r in want if r[0] == 40) == list(range(1, 21))
+
+
 def test_query(run, table):
     rows = [(r.vec_id, r.embedding) for r in table("embeddings").collect()]
     got = {tuple(r) for r in run("op8_exact_top_k")}
