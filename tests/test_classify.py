@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import GOLDEN, fields_of
+from shared import GOLDEN, fields_of
 
 import telemill as tm
 from checks.recipes import TYPES

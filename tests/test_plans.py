@@ -4,8 +4,8 @@ import re
 
 import pytest
 from checks.recipes import TYPES
-from conftest import GOLDEN
 from pyspark.sql import functions as F
+from shared import GOLDEN
 
 import telemill as tm
 from telemill.operators.report import observe_batch

@@ -1,8 +1,8 @@
 import logging
 
 import pytest
-from conftest import GOLDEN, fields_of
 from pyspark.sql import functions as F
+from shared import GOLDEN, fields_of
 
 import telemill as tm
 from telemill.session import scratch_dir
