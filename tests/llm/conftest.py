@@ -1,27 +1,5 @@
-import os
-
 import pytest
-
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
-#: Texts that every operator must take: null, empty, blank, short, with marks, repeated, and very long without a break.
-ODD = [
-    (1, None),
-    (2, ""),
-    (3, " \n\t "),
-    (4, "word"),
-    (5, "two words"),
-    (6, "Ünïcödé – ß 漢字   \x00 end"),
-    (7, "<|endoftext|> \\ \" <turn role="),
-    (8, "x" * 300_000),
-    (9, "again and again " * 2000),
-    (10, "one line\nanother line\none line\n"),
-    (10, "one line\nanother line\none line\n"),
-    (10, "the same id with another text"),
-    (None, "no id"),
-    (None, None),
-    (12, "1234567890"),
-]
+from odd import ODD, SF_DIR
 
 
 @pytest.fixture

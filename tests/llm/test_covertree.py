@@ -101,7 +101,7 @@ def test_query(run, table):
     got = {tuple(r) for r in run("op8_exact_top_k")}
     assert got == expected(rows, 20)
     duck = duckdb.connect()
-    from conftest import SF_DIR
+    from odd import SF_DIR
 
     duck.execute(f"create view embeddings as select * from '{SF_DIR}/embeddings.parquet'")
     assert set(duck.execute(queries.ORACLE_SQL["op8_exact_top_k"]).fetchall()) == got

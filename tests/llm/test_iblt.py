@@ -71,7 +71,7 @@ def in_order(rows):
 
 
 def test_odd_documents(documents):
-    from conftest import ODD
+    from odd import ODD
 
     df = iblt.fingerprint_edits(documents())
     assert in_order(shown(df.collect())) == in_order(expected(ODD))

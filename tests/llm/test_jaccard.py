@@ -85,7 +85,7 @@ def test_brute_force(spark, monkeypatch, width, similarity, block):
 
 
 def test_odd_documents(documents):
-    from conftest import ODD
+    from odd import ODD
 
     rows = ODD + [(30, "TWO  Words"), (31, "a b c d e f g"), (32, "a b c d e f g")]
     assert grouped(documents(rows), 3, "0.9") == expected(rows, 3, "0.9")

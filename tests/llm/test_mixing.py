@@ -61,7 +61,7 @@ def check(rows, texts):
 
 
 def test_odd_documents(documents):
-    from conftest import ODD
+    from odd import ODD
 
     docs = documents().withColumn("source", F.expr("case when doc_id < 6 then 'a' when doc_id < 10 then 'b' end"))
     texts = [(r.doc_id, r.text, r.source) for r in docs.collect()]

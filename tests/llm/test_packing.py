@@ -71,7 +71,7 @@ def check(rows, texts, capacity=2048):
 
 
 def test_odd_documents(documents):
-    from conftest import ODD
+    from odd import ODD
 
     check(packing.pack_documents(documents()).collect(), ODD)
     assert packing.pack_documents(documents([])).collect() == []

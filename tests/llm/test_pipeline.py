@@ -13,7 +13,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     """What each stage was given and gave."""
-    from conftest import SF_DIR
+    from odd import SF_DIR
 
     docs, out = spark.read.parquet(f"{SF_DIR}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES:
@@ -73,7 +73,7 @@ def test_packing_stage(stages):
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_odd_documents(spark, documents, name):
-    from conftest import ODD
+    from odd import ODD
 
     stage = dict(corpus_pipeline.STAGES)[name]
     extra = ["lang_pred", "score", "rejected", "d1", "n", "id", "buckets", "pii_kinds", "col", "copies"]

@@ -113,7 +113,7 @@ def test_any_text_is_restored(text):
 
 
 def test_odd_documents(documents):
-    from conftest import ODD
+    from odd import ODD
 
     docs = documents(ODD + [(20, f"mail {VALUES['email']} to {VALUES['ip']}"), (21, VALUES["ip"])])
     out = pseudonyms.pseudonymize(docs.withColumn("pii_kinds", docs.key), KEY)

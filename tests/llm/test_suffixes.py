@@ -62,7 +62,7 @@ def test_overlapping_passages(spark, monkeypatch, block):
 
 
 def test_odd_documents(documents):
-    from conftest import ODD
+    from odd import ODD
 
     rows = [r for r in ODD if len(r[1] or "") < 100_000] + [(8, "x" * 3000)]
     assert shown(suffixes.remove_repeats(documents(rows), 400)) == expected(rows, 400)
