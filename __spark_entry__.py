@@ -638,12 +638,14 @@ def archive_carriage_returns(spark, sf_dir):
     """Lines with carriage returns inside and at the end come back whole."""
     line = F.expr(f"replace({recipes.line('dns', SPARK)}, ',10.', ',\\r10.') || '\\r'")
     path = f"{scratch_dir(spark, 'archive')}/lines"
-    tm.archive_segments(encoded(events(spark, sf_dir), "cr", F.array(line)), path, rebalance=True)
+    lines = events(spark, sf_dir).select("event_id", F.expr(f"timestamp_micros({SPARK.micros})").alias("ts"), line.alias("line"))
+    packed = tm.pack_segments(lines, LINES_PER_MESSAGE, pos="event_id", stamp="ts")
+    tm.archive_segments(packed, path, rebalance=True)
     return tm.read_archive(spark, path).select("segment", F.hex("line").alias("bytes"))
 
 
 ARCHIVE_CARRIAGE_RETURNS = f"""
-    select strftime(ts, '%Y%m%d%H%M') as segment,
+    select {MESSAGE_MINUTE} as segment,
         hex(replace({recipes.line('dns', DUCK)}, ',10.', ',' || chr(13) || '10.') || chr(13)) as bytes
     from events"""
 

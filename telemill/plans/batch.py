@@ -46,6 +46,7 @@ def ingest_batch(
     on_error: str = "mark",
     codec: str = "arrow",
     rebalance: bool = False,
+    run: str | None = None,
 ) -> dict:
     """Decode, normalise and append a bounded set of messages; returns the batch report.
 
@@ -54,8 +55,12 @@ def ingest_batch(
     table       a catalog table made by `create_table`; bad lines go to the table
                 `quarantine`. The classified lines are kept in the shared
                 checkpoint folder meanwhile, so messages are read once.
+    run         a name for this job, for a path: run again under it, the job replaces
+                what it wrote before, also what it left when it died
     """
     check_target(path, table, quarantine, mode)
+    if run is not None and path is None:
+        raise ValueError("only jobs that write to a path can be run again by name")
     spec = resolve(log_type)
     observation = Observation()
     classified = classify_messages(messages, spec, tz, on_error, codec)
@@ -63,12 +68,12 @@ def ingest_batch(
         classified = reliable(classified)
     observed = observe_batch(classified, spec, observation)
     if path is not None and mode == "quarantine":
-        write_landing(observed, spec, path, rebalance)
+        write_landing(observed, spec, path, rebalance, batch_writer(run))
         return _report(spec, observation)
 
     rows = accepted(observed, spec, "failfast" if mode == "failfast" else "drop")
     if path is not None:
-        write_files(rows, path, PARTITIONS, batch_writer(), rebalance)
+        write_files(rows, path, PARTITIONS, batch_writer(run), rebalance)
         return _report(spec, observation)
 
     write_table(rows, table, spec, rebalance)

@@ -28,15 +28,18 @@ def write_archive(lines: DataFrame, path: str, writer: str, rebalance: bool = Fa
     write_files(rows, path, LAYOUT, writer, rebalance, "text", ORDER)
 
 
-def archive_segments(messages: DataFrame, path: str, codec: str = "arrow", rebalance: bool = False) -> None:
-    """Add the lines to `<path>/segment=<YYYYmmddHHMM>/`, beside those of other jobs and streams.
+def archive_segments(
+    messages: DataFrame, path: str, codec: str = "arrow", rebalance: bool = False, run: str | None = None
+) -> None:
+    """Add the lines to `<path>/writer=<id>/segment=<YYYYmmddHHMM>/`, beside those of other jobs and streams.
 
     Messages of one minute add up. Within a file, lines keep the order they had in the topic. Only a line feed ends a
     line: carriage returns stay, and a line that holds a line feed is read back as several.
 
-    `rebalance` shuffles, for few files a minute when tasks hold lines of many minutes; a busy minute is split.
+    `rebalance` shuffles, for few files a minute when tasks hold lines of many minutes; a busy minute is split. A job
+    that is run again under the name `run` replaces what it wrote before.
     """
-    write_archive(archive_lines(messages, codec), path, batch_writer(), rebalance)
+    write_archive(archive_lines(messages, codec), path, batch_writer(run), rebalance)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

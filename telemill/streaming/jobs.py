@@ -129,11 +129,11 @@ def read_reports(spark: SparkSession, checkpoint: str, first_batch: int = 0) ->
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a report; one whose write broke off is none."""
     try:
-        spark.read.schema("log_type string").json(path)
+        return spark.read.schema("log_type string").json(path).first() is not None
     except AnalysisException:
         return False
-    return True
 
 
 def archive_stream(

@@ -6,6 +6,7 @@ from shared import GOLDEN, fields_of
 
 import telemill as tm
 from telemill.session import scratch_dir
+from telemill.sinks.files import stream_writer
 
 
 @pytest.fixture
@@ -97,13 +98,13 @@ def test_archive_adds_up_and_keeps_order(spark, segment_of, messages, tmp_path):
     assert sorted((r.segment, r.line) for r in out.collect()) == sorted(
         [("202401010000", x) for x in ["b", "a", "c", "", "a", "z"]] + [("202401010001", "later")]
     )
-    contents = [open(f).read() for f in glob.glob(f"{path}/segment=202401010000/writer=*/part*")]
+    contents = [open(f).read() for f in glob.glob(f"{path}/writer=*/segment=202401010000/part*")]
     assert "b\na\nc\n\na\n" in contents
 
     together = str(tmp_path / "together")
     both = segment_of(["b", "a"], ["c", "", "a"]).unionByName(segment_of(["later"], minute=1)).repartition(4)
     tm.archive_segments(both, together, rebalance=True)
-    (file,) = glob.glob(f"{together}/segment=202401010000/writer=*/part*")
+    (file,) = glob.glob(f"{together}/writer=*/segment=202401010000/part*")
     assert open(file).read() == "b\na\nc\n\na\n"
 
 
@@ -116,5 +117,49 @@ def test_hot_hour_is_split(spark, tmp_path):
         tm.write_landing(rows, "flow", str(path), rebalance=True)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list(path.glob("**/h=0/**/*.parquet"))) > 4  # pieces of 20,000 bytes, however many cores there are
+    assert len(list(path.glob("writer=*/**/h=0/*.parquet"))) > 4  # pieces of 20,000 bytes, however many cores there are
     assert tm.read_accepted(spark, str(path), "flow").count() == 4000
+
+
+def test_single_line_messages_with_carriage_returns(spark, segment_of, tmp_path):
+    path = str(tmp_path / "returns")
+    lines = [f"a\r{i}\r" for i in range(20)]
+    tm.archive_segments(segment_of(*[[x] for x in lines]), path, rebalance=True)
+    assert sorted(r.line for r in tm.read_archive(spark, path).collect()) == sorted(lines)
+
+
+def test_a_named_job_that_died_is_replaced_by_its_rerun(spark, segment_of, tmp_path):
+    path = tmp_path / "landing"
+    df = segment_of([GOLDEN["flow"], fields_of("flow", f4="7"), "x"])
+    tm.ingest_batch(df, "flow", path=str(path), run="other")
+    tm.ingest_batch(df, "flow", path=str(path), run="july")
+    # killed in its commit: one folder was moved into place, the mark of success was not written
+    folder = path / "writer=batch-july"
+    (folder / "_SUCCESS").unlink()
+    for file in folder.glob("status=bad/**/*.parquet"):
+        file.unlink()
+    assert tm.read_rejected(spark, str(path), "flow").count() == 1
+    for _ in range(2):
+        tm.ingest_batch(df, "flow", path=str(path), run="july")
+        assert tm.read_accepted(spark, str(path), "flow").count() == 4
+        assert tm.read_rejected(spark, str(path), "flow").count() == 2
+    with pytest.raises(ValueError):
+        tm.ingest_batch(df, "flow", table="t", mode="drop", run="july")
+
+
+def test_reads_prune_below_the_writers(spark, segment_of, tmp_path):
+    path = str(tmp_path / "landing")
+    for hour in ("00", "01", "02"):
+        tm.ingest_batch(segment_of([fields_of("proxy", f1=f"{hour}:00:00")]), "proxy", path=path)
+    one = tm.read_accepted(spark, path, "proxy").where("h = '01'")
+    assert len(one.inputFiles()) >= 1 and one.count() == 1
+    one.collect()
+    scan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "h#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert one.select("_metadata.file_path").collect()[0][0].count("/h=01/") == 1
+
+
+def test_a_broken_first_write_of_the_writers_id(spark, tmp_path):
+    (tmp_path / "telemill").mkdir()
+    first = stream_writer(spark, str(tmp_path))
+    assert first.startswith("stream-") and stream_writer(spark, str(tmp_path)) == first

@@ -121,7 +121,7 @@ def test_archive_stream_with_few_files(topic, tmp_path):
     topic(lines[:300], lines[300:])
     out = tmp_path / "out"
     finish(tm.archive_stream(topic.stream(), str(out), str(tmp_path / "check"), interval=None, rebalance=True))
-    (file,) = out.glob("segment=202401010000/writer=*/part*")
+    (file,) = out.glob("writer=*/segment=202401010000/part*")
     assert sorted(file.read_text().split()) == lines
 
 
