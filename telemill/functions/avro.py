@@ -82,73 +82,173 @@ def _read_long(data: bytes, at: int) -> tuple[int, int]:
     raise IndexError("number too long")
 
 
+def _places(data: bytes, at: int, end: int, left: int) -> tuple[list[int], list[int]] | None:
+    """Where the lines of one message begin and how long they are, from `at` on, with `left` to come in this block."""
+    starts: list[int] = []
+    sizes: list[int] = []
+    try:
+        while True:
+            if left == 0:
+                left, at = _read_long(data, at)
+                if left == 0:
+                    return (starts, sizes) if at <= end else None
+                if left < 0:
+                    left = -left
+                    _, at = _read_long(data, at)
+            # Lengths of one and two bytes, up to 8,191, without a call.
+            size = data[at]
+            if size < 128:
+                at += 1
+            elif data[at + 1] < 128:
+                size = size & 127 | data[at + 1] << 7
+                at += 2
+            else:
+                signed, at = _read_long(data, at)
+                size = signed << 1 if signed >= 0 else 1
+            if size & 1:  # odd: negative
+                return None
+            size >>= 1
+            if at + size > end:
+                return None
+            starts.append(at)
+            sizes.append(size)
+            at += size
+            left -= 1
+    except IndexError:
+        return None
+
+
 def segment_lines(data: bytes | None) -> list[bytes] | None:
     """Lines of one message; None for the null branch and for broken bytes."""
     if not data:
         return None
-    lines: list[bytes] = []
-    size = len(data)
     try:
         branch, at = _read_long(data, 0)
-        if branch != 0:
-            return None
-        while True:
-            count, at = _read_long(data, at)
-            if count == 0:
-                return lines
-            if count < 0:
-                count = -count
-                _, at = _read_long(data, at)
-            for _ in range(count):
-                # Lengths of one and two bytes, up to 8,191, without a call.
-                length = data[at]
-                if length < 128:
-                    at += 1
-                elif data[at + 1] < 128:
-                    length = length & 127 | data[at + 1] << 7
-                    at += 2
-                else:
-                    signed, at = _read_long(data, at)
-                    length = signed << 1 if signed >= 0 else 1
-                end = at + (length >> 1)
-                if length & 1 or end > size:  # odd: negative
-                    return None
-                lines.append(data[at:end])
-                at = end
     except IndexError:
         return None
-
-
-def _is_text(lines: list[bytes]) -> bool:
-    try:
-        for line in lines:
-            line.decode("utf-8")
-    except UnicodeDecodeError:
-        return False
-    return True
-
-
-def _as_lists(segments: list[list[bytes] | None]) -> pa.Array:
-    starts: list[int | None] = []
-    flat: list[bytes] = []
-    for lines in segments:
-        starts.append(None if lines is None else len(flat))
-        flat.extend(lines or ())
-    starts.append(len(flat))
-    offsets = np.zeros(len(flat) + 1, np.int32)
-    np.cumsum(np.fromiter(map(len, flat), np.int32, len(flat)), out=offsets[1:])
-    texts = pa.StringArray.from_buffers(len(flat), pa.py_buffer(offsets), pa.py_buffer(b"".join(flat)))
+    found = _places(data, at, len(data), 0) if branch == 0 else None
+    return None if found is None else [data[s : s + n] for s, n in zip(*found)]
+
+
+# Below so many unfinished messages, each is walked on its own.
+FEW = 16
+# Numbers from here on are larger than any message and stand for all that are.
+HUGE = 1 << 54
+
+
+def _read_longs(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers at many places, the places behind them, and which numbers do not end before `end`."""
+    last = len(data) - 1
+    byte = data[np.minimum(at, last)].astype(np.int64)
+    value, after, broken = byte & 127, at + 1, at >= end
+    more = np.flatnonzero((byte > 127) & ~broken)
+    for k in range(1, MAX_VARINT_BYTES):
+        if not len(more):
+            break
+        place = at[more] + k
+        out = place >= end[more]
+        broken[more[out]] = True
+        more, place = more[~out], place[~out]
+        byte = data[place].astype(np.int64)
+        septet = byte & 127
+        if 7 * k < 55:
+            value[more] |= septet << 7 * k
+        else:
+            value[more[septet > 0]] |= 2 * HUGE
+        after[more] += 1
+        more = more[byte > 127]
+    broken[more] = True
+    return (value >> 1) ^ -(value & 1), after, broken
+
+
+def _all_places(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Message, start and size of every line of many messages, in order, and which messages can be decoded.
+
+    The messages are walked in lock step: each turn reads the next length of all that are not finished.
+    """
+    good = np.zeros(len(begin), bool)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # a turn gives a message one line at most
+    branch, at, broken = _read_longs(data, begin, end)
+    mine = np.flatnonzero(~broken & (branch == 0) & (end > begin))
+    at, stop, left = at[mine], end[mine], np.zeros(len(mine), np.int64)
+    while len(mine) > FEW:
+        fresh = np.flatnonzero(left == 0)
+        keep = np.ones(len(mine), bool)
+        if len(fresh):
+            count, after, broken = _read_longs(data, at[fresh], stop[fresh])
+            good[mine[fresh[~broken & (count == 0)]]] = True
+            keep[fresh[broken | (count == 0)]] = False
+            sized = np.flatnonzero(~broken & (count < 0))
+            if len(sized):
+                _, after[sized], cut = _read_longs(data, after[sized], stop[fresh[sized]])
+                keep[fresh[sized[cut]]] = False
+            at[fresh], left[fresh] = after, np.abs(count)
+            if not keep.all():
+                mine, at, stop, left = mine[keep], at[keep], stop[keep], left[keep]
+        size, at, broken = _read_longs(data, at, stop)
+        broken |= (size < 0) | (size > stop - at)
+        if broken.any():
+            keep = ~broken
+            mine, at, stop, left, size = mine[keep], at[keep], stop[keep], left[keep], size[keep]
+        found.append((mine, at, size))
+        at, left = at + size, left - 1
+    for m, place, until, rest in zip(mine.tolist(), at.tolist(), stop.tolist(), left.tolist()):
+        lines = _places(data[place:until].tobytes(), 0, until - place, rest)
+        if lines is not None:
+            good[m] = True
+            starts = np.array(lines[0], np.int64) + place
+            found.append((np.full(len(starts), m), starts, np.array(lines[1], np.int64)))
+    if not found:
+        return *np.zeros((3, 0), np.int64), good
+    message, start, size = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(start)  # places in the buffer are the order of messages and of their lines
+    order = order[good[message[order]]]
+    return message[order], start[order], size[order], good
+
+
+def _as_lists(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.ListArray:
+    message, start, size, good = _all_places(data, begin, end)
+    total = np.concatenate([[0], np.cumsum(size)])
+    gap = np.append(start, len(data)) - np.insert(start + size, 0, 0)  # what lies between lines: their lengths, or no lines
+    first = np.cumsum(gap) - gap
+    kept = np.ones(len(data), bool)
+    kept[np.repeat(np.insert(start + size, 0, 0) - first, gap) + np.arange(gap.sum())] = False
+    body = data[kept]
+    texts = pa.StringArray.from_buffers(len(start), pa.py_buffer(total.astype(np.int32)), pa.py_buffer(body))
     texts.validate(full=True)
-    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), texts)
+    first = np.searchsorted(message, np.arange(len(begin) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(first, mask=np.append(~good, False)), texts)
 
 
 def decode_batch(values: pa.Array) -> pa.Array:
     """`list<string>` for a whole Arrow batch of messages."""
-    segments = [segment_lines(data) for data in values.to_pylist()]
+    values = values.cast(pa.binary())
+    _, offsets, buffer = values.buffers()
+    places = np.frombuffer(offsets, np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    if not len(values) or buffer is None or places[0] == places[-1]:
+        return pa.nulls(len(values), pa.list_(pa.string()))
+    data = np.frombuffer(buffer, np.uint8)[places[0] : places[-1]]
+    begin, end = places[:-1] - places[0], places[1:] - places[0]
+    if values.null_count:
+        end = np.where(np.asarray(values.is_valid()), end, begin)
     try:
-        return _as_lists(segments)
+        return _as_lists(data, begin, end)
     except pa.ArrowInvalid:  # some line of the batch is not UTF-8
-        return _as_lists([s if s is None or _is_text(s) else None for s in segments])
+        message, start, size, good = _all_places(data, begin, end)
+        for m in np.flatnonzero(good):
+            first, last = np.searchsorted(message, [m, m + 1])
+            if not _is_text(data, start[first:last], size[first:last]):
+                end[m] = begin[m]
+        return _as_lists(data, begin, end)
+
+
+def _is_text(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bool:
+    try:
+        for start, size in zip(starts, sizes):
+            data[start : start + size].tobytes().decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def decode(value: Column) -> Column:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from telemill.functions import avro
+from telemill.operators.rank import running_rank
+from telemill.session import reliable
 
 BAD_ENVELOPE = "BAD_ENVELOPE"
 NULL_ENVELOPE = "NULL_ENVELOPE"
@@ -79,8 +81,9 @@ def pack_segments(
 
     NULL lines have no encoding and are left out (`null_lines` counts them); a
     bucket of nothing else gives no message. Places are whole numbers, NULL is a
-    place of its own; a bucket is ordered in one task, which spills to disk if
-    its places repeat very often.
+    place of its own. Buckets are counted first. Those with more than `size`
+    lines, whose places repeat, are numbered throughout in order of their places,
+    spread over ranges, and cut at every `size`: no task holds a whole bucket.
     """
     if size < 1:
         raise ValueError("size must be positive")
@@ -94,17 +97,38 @@ def pack_segments(
     item = F.struct(F.col(pos).alias("at"), avro.frame(F.col(line_col)).alias("frame"))
     times = [F.col(stamp).alias("stamp")] if stamp else []
     framed = df.select(*by, bucket.alias("bucket"), item.alias("item"), *times)
-    cut = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy("item.at")) - 1
-    earliest = [F.min("stamp").alias("timestamp")] if stamp else []
-    packed = (
-        framed.withColumn("piece", F.call_function("div", cut, F.lit(size)))
-        .groupBy(*by, "bucket", "piece")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"), *earliest)
-    )
+    keys = [*by, "bucket"]
+    overfull = framed.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") > size)
+    overfull = reliable(overfull.select(*keys))
+    if overfull.isEmpty():
+        packed = _gather(framed, keys, stamp)
+    else:
+        same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"o.`{k}`")) for k in keys]
+        rest = framed.alias("l").join(overfull.alias("o"), same, "left_anti")
+        repeated = framed.alias("l").join(overfull.alias("o"), same, "left_semi")
+        pieces = _cut_overfull(repeated, keys, size)
+        packed = _gather(rest, keys, stamp).unionByName(_gather(pieces, [*keys, "piece"], stamp).drop("piece"))
     value = avro.seal(F.col("items.frame"), F.size("items")).alias("value")
     return packed.select(*by, "bucket", value, *(["timestamp"] if stamp else []))
 
 
+def _gather(framed: DataFrame, keys: Sequence[str], stamp: str | None) -> DataFrame:
+    """The lines of each group as `items`, in order; groups hold one message each."""
+    earliest = [F.min("stamp").alias("timestamp")] if stamp else []
+    return framed.groupBy(*keys).agg(F.array_sort(F.collect_list("item")).alias("items"), *earliest)
+
+
+def _cut_overfull(framed: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Add `piece`: the lines of each bucket numbered by place and cut at every `size`."""
+    tied = framed.withColumn("_tie", F.monotonically_increasing_id())  # lines may be equal, too
+    ranked = running_rank(tied, [*keys, "item.at", F.xxhash64("item"), "_tie"], "_rank").drop("_tie")
+    first = ranked.groupBy(*keys).agg(F.min("_rank").alias("_first"))
+    same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"f.`{k}`")) for k in keys]
+    joined = ranked.alias("l").join(first.alias("f"), same)
+    piece = F.call_function("div", F.col("_rank") - F.col("_first"), F.lit(size)).alias("piece")
+    return joined.select(*[F.col(f"l.`{c}`") for c in framed.columns], piece)
+
+
 def null_lines(df: DataFrame, line_col: str = "line") -> DataFrame:
     """One row, `lines`: how many lines `pack_segments` leaves out."""
     return df.agg(F.count_if(F.col(line_col).isNull()).alias("lines"))

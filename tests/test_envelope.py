@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,7 +8,8 @@ from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
 
 import telemill as tm
-from telemill.functions.avro import segment_lines
+from telemill.functions.avro import decode_batch, segment_lines
+from telemill.operators.rank import running_rank
 
 GOLDEN = [
     (["ab", "é", ""], "00 06 04 6162 04 c3a9 00 00"),
@@ -116,6 +118,51 @@ def test_decoder_takes_any_bytes(data):
     assert lines is None or all(isinstance(x, bytes) for x in lines)
 
 
+def one_by_one(data):
+    lines = segment_lines(data)
+    try:
+        return None if lines is None else [x.decode() for x in lines]
+    except UnicodeDecodeError:
+        return None
+
+
+def segment_bytes(lines, blocks, sized):
+    """The bytes of a message whose lines are spread over several blocks, with or without their sizes."""
+
+    def number(n):
+        n, out = (n << 1) ^ (n >> 63), []
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    step, out = max(1, len(lines) // blocks), b"\0"
+    for i in range(0, len(lines), step):
+        part = lines[i : i + step]
+        body = b"".join(number(len(x)) + x for x in part)
+        out += (number(-len(part)) + number(len(body)) if sized else number(len(part))) + body
+    return out + b"\0"
+
+
+MESSAGES = st.builds(
+    segment_bytes, st.lists(st.binary(max_size=3) | st.text(max_size=200).map(str.encode), max_size=8), st.integers(1, 3), st.booleans()
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.binary(max_size=20) | MESSAGES | MESSAGES.map(lambda m: m[:-2]), max_size=60), st.integers(0, 5))
+def test_decoding_in_lock_step_equals_decoding_one_by_one(values, skipped):
+    array = pa.array(values, pa.binary()).slice(skipped)
+    assert decode_batch(array).to_pylist() == [one_by_one(v) for v in values[skipped:]]
+
+
+def test_messages_of_very_unequal_length():
+    values = [segment_bytes([b"x"] * n, 2, False) for n in [1] * 40 + [20_000, 0, 3]]
+    assert [len(x) for x in decode_batch(pa.array(values)).to_pylist()] == [1] * 40 + [20_000, 0, 3]
+    huge = b"\0" + b"\xff" * 9 + b"\x01"  # a block of 2**62 lines
+    assert decode_batch(pa.array([huge, *values, huge + b"\x02a"])).to_pylist()[::44] == [None, None]
+
+
 def test_pack_by_place(spark):
     df = spark.range(130).select(F.col("id"), F.concat(F.lit("l"), "id").alias("line")).repartition(7)
     packed = tm.pack_segments(df, 50, pos="id").withColumnRenamed("bucket", "offset")
@@ -147,3 +194,25 @@ def test_pack_stamp(spark):
     df = spark.range(4).select("id", F.col("id").cast("string").alias("line"), F.timestamp_seconds(F.col("id") + 60).alias("ts"))
     packed = tm.pack_segments(df, 2, pos="id", stamp="ts")
     assert sorted(r.s for r in packed.select(F.unix_seconds("timestamp").alias("s")).collect()) == [60, 62]
+
+
+@pytest.mark.parametrize("place", ["7", "cast(null as int)", "if(id % 3 = 0, null, id % 2)"])
+def test_a_bucket_of_most_rows_is_cut_without_being_gathered(spark, place):
+    same = "if(id % 2 = 0, 'same line', cast(id as string))"
+    df = spark.range(0, 5000, numPartitions=8).selectExpr("'h' as host", f"{place} as at", f"{same} as line")
+    calm = spark.range(120).selectExpr("'c' as host", "cast(id as int) as at", "cast(id as string) as line")
+    packed = tm.pack_segments(df.union(calm), 50, pos="at", by=["host"])
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" not in "".join(x for x in plan.splitlines() if "Window" in x)
+    out = tm.decode_segments(packed.withColumnRenamed("host", "topic").withColumnRenamed("bucket", "offset")).collect()
+    assert sorted(x for r in out for x in r.lines) == sorted(r.line for r in df.union(calm).collect())
+    assert sorted(len(r.lines) for r in out if r.topic == "c") == [20, 50, 50]
+    busy = [len(r.lines) for r in out if r.topic == "h"]
+    assert max(busy) == 50 and len(busy) <= 5000 / 50 + 2
+
+
+def test_running_rank(spark):
+    df = spark.range(0, 3000, numPartitions=7).selectExpr("id", "0 as hot", "id % 5 as warm")
+    ranked = running_rank(df, ["hot", "warm", "id"]).orderBy("warm", "id").collect()
+    assert [r.rank for r in ranked] == list(range(3000))
+    assert running_rank(df.where("id < 0"), ["hot", "id"]).collect() == []
