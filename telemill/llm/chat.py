@@ -166,7 +166,7 @@ def _tokenized(nodes: DataFrame) -> DataFrame:
     """`tokens` of the template and the text of each node, and `learned`, the tokens from and to which loss counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoding().encode_ordinary
+        encode = tokens.plain_ids
         for batch in batches:
             ids, start, stop = [], [], []
             for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):

@@ -31,6 +31,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a Parquet folder in the shared scratch folder; Spark then knows how large they are."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
     """crc32 of the id as text, modulo `folds`; 0 for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
@@ -94,6 +101,27 @@ def map_slices(
     return df.mapInArrow(run, schema)
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of Arrow batches, one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
+
+
+def map_rows(df: DataFrame, schema: str, function: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
+    """Turn the rows of each partition, as a stream of few large rows, into others; arrays of numbers become binary."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in function(rows_of(batches)):
+            row = {k: v.tobytes() if isinstance(v, np.ndarray) else v for k, v in made.items()}
+            yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 # ---------------------------------------------------------------- hashing
 
 

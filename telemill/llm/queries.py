@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemill.llm import (
+    alignment,
     chat,
     covertree,
     crf,
     iblt,
+    inverted,
     jaccard,
     language,
     mixing,
     packing,
+    phrases,
     pseudonyms,
     suffixes,
 )
@@ -84,6 +87,18 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymize(docs, KEY)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, cover=100, top=2000)
+
+
+def op12_inverted_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inverted.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bloom_fingerprints": op1_bloom_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -95,8 +110,64 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_pseudonyms": op10_pseudonyms,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_inverted_index_decontamination": op12_inverted_index_decontamination,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
+#: `{least}`, `{longest}`, `{cover}` and `{top}` are the parameters of `collocations`.
+COLLOCATIONS_SQL = r"""
+    with lined as (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents),
+    worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from lined),
+    grams as (
+        select lang, unnest(flatten(list_transform(range(1, {longest} + 1), lambda k: list_transform(
+            range(1, greatest(len(ws) - k + 2, 1)), lambda i: {{'k': k, 'phrase': array_to_string(ws[i:i + k - 1], ' ')}})))) as x
+        from worded where len(ws) > 0),
+    f as (select lang, x.k as k, x.phrase as phrase, count(*) as a from grams group by all),
+    total as (select lang, cast(sum(a) as bigint) as n from f where k = 1 group by lang),
+    candidates as (select *, string_split(phrase, ' ') as ws from f where k >= 2 and a >= {least}),
+    cuts as (select *, unnest(range(1, k)) as j from candidates),
+    scored as (
+        select c.lang, c.k, c.phrase, c.a, c.j, l.a as l, r.a as r, n, (1000::hugeint * c.a * n) // (l.a::hugeint * r.a) as score
+        from cuts c join f l on l.lang = c.lang and l.k = c.j and l.phrase = array_to_string(c.ws[1:c.j], ' ')
+            join f r on r.lang = c.lang and r.k = c.k - c.j and r.phrase = array_to_string(c.ws[c.j + 1:], ' ')
+            join total on total.lang = c.lang),
+    best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+    kept as (
+        select * from best b where not exists (
+            select 1 from candidates o where o.lang = b.lang and o.k > b.k and 100 * o.a >= {cover} * b.a
+                and contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ')))
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n,
+        cast(score as bigint) as score
+    from kept qualify rank <= {top}"""
+
+#: `{size}` is the number of words in a window.
+CONTAMINATION_SQL = r"""
+    with d as (
+        select doc_id, row_number() over () as row, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+        from documents),
+    b as (
+        select coalesce(cast(item_id as varchar), '') as item, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+        from benchmark),
+    windows as (
+        select distinct item, least(len(ws), {size}) as k, unnest(list_transform(range(1, greatest(len(ws) - {size} + 2, 2)),
+            lambda i: array_to_string(ws[i:i + {size} - 1], ' '))) as w
+        from b where len(ws) > 0),
+    places as (select row, ws, k, unnest(range(1, greatest(len(ws) - k + 2, 1))) as i from d, (select distinct k from windows)),
+    met as (
+        select distinct row, places.k, i, item
+        from places join windows on places.k = windows.k and array_to_string(ws[i:i + places.k - 1], ' ') = w),
+    hit as (select row, count(distinct p) as n_hit from (select row, unnest(range(i, i + k)) as p from met) group by row),
+    items as (select row, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as listed from met group by row)
+    select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+        sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from d left join hit on d.row = hit.row left join items on d.row = items.row"""
+
 #: The other operators cannot be told in SQL, or not with the method's exact results; tests hold them to brute force.
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_top_k": """
@@ -115,4 +186,6 @@ ORACLE_SQL: dict[str, str] = {
         select query_id, cast(rank as integer) as rank, vec_id, score
         from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
         where rank <= 20""",
+    "op11_phrase_collocations": COLLOCATIONS_SQL.format(least=100, longest=5, cover=100, top=2000),
+    "op12_inverted_index_decontamination": CONTAMINATION_SQL.format(size=10),
 }

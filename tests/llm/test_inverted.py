@@ -1,0 +1,94 @@
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from telemill.llm import inverted
+from telemill.llm.queries import CONTAMINATION_SQL
+
+
+def duck_rows(docs, items, size):
+    duck = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        duck.register(f"{name}_frame", pd.DataFrame(rows, columns=[key, "text"]).astype({key: "Int64"}))
+        duck.execute(f"create view {name} as select * from {name}_frame")
+    return ordered(duck.execute(CONTAMINATION_SQL.format(size=size)).fetchall())
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+def frames(spark, docs, items):
+    full = [(*r, "key", 1, 2, "t") for r in docs]
+    documents = spark.createDataFrame(full, "doc_id bigint, text string, key string, row int, pos int, term string")
+    return documents.repartition(4), spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "Zebra", "é", "naïve", "42", "x9", "漢字", "a"]
+    item = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [(i, " ".join(item(n))) for i, n in enumerate([0, 1, 2, 3, 4, 5, 9, 12, 12, 30])]
+    items += [(5, "the of the of the of"), (6, "the the the the the the"), (None, "a 42"), (11, None), (12, items[-1][1]), (13, "unseen words here")]
+    docs = []
+    for i in range(120):
+        parts = [rng.choice([" ".join(item(rng.randrange(12))), rng.choice(items)[1] or ""]) for _ in range(rng.randrange(5))]
+        docs.append((i, rng.choice([" ", "-", "\n"]).join(parts).replace(" ", rng.choice([" ", ", ", "\t"]))))
+    docs += [(7, docs[7][1])] * 60 + [(None, items[9][1]), (None, None), (500, None), (501, ""), (502, " . "), (503, "the " * 1500)]
+    return docs, items
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10])
+def test_equals_sql(spark, size):
+    docs, items = corpus()
+    got = ordered(inverted.contamination(*frames(spark, docs, items), size=size).collect())
+    assert got == duck_rows(docs, items, size)
+    assert any(r[-1] for r in got) and not all(r[-1] for r in got)
+
+
+def test_empty_tables(spark):
+    docs, items = corpus()
+    documents, benchmark = frames(spark, docs, items)
+    assert inverted.contamination(documents.where("false"), benchmark).collect() == []
+    untouched = inverted.contamination(documents, benchmark.where("false")).collect()
+    assert len(untouched) == len(docs) and not any(r.contaminated or r.n_items for r in untouched)
+
+
+def near(words, terms, slop):
+    """Starts by brute force, as `search` defines them."""
+    counts = {t: sum(w == t for ws in words.values() for w in ws) for t in terms}
+    anchor = min(range(len(terms)), key=lambda i: (counts[terms[i]], i))
+    found = set()
+    for row, ws in words.items():
+        for p, w in enumerate(ws):
+            start = p - anchor
+            if w == terms[anchor] and all(
+                t in ws[max(0, start + i - slop) : max(0, start + i + slop + 1)] for i, t in enumerate(terms) if i != anchor
+            ):
+                found.add((row, start))
+    return found
+
+
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_proximity_equals_brute_force(spark, slop):
+    docs, _ = corpus(2)
+    index = inverted.build_index(frames(spark, docs, [])[0])
+    words = {}
+    for r in index.where("term is not null").orderBy("row", "pos").collect():
+        words.setdefault(r.row, []).append(r.term)
+    asked = [["the"], ["zebra", "é"], ["the", "the"], ["x9", "of", "the"], ["42", "a", "naïve", "漢字"], ["the", "absent"], []]
+    phrases = spark.createDataFrame(list(enumerate(asked)), "phrase bigint, terms array<string>")
+    found = inverted.search(index, phrases, slop).collect()
+    want = {(row, i, start) for i, terms in enumerate(asked) if terms for row, start in near(words, terms, slop)}
+    assert {(r.row, r.phrase, r.start) for r in found} == want and len(found) == len(want)
+
+
+def test_no_python_on_the_main_path_and_no_shuffle_to_build(spark):
+    docs, items = corpus()
+    documents, benchmark = frames(spark, docs, items)
+    text = inverted.contamination(documents, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text
+    assert inverted.build_index(documents).where(F.col("term") == "zebra").count() > 0
