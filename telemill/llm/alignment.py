@@ -38,7 +38,7 @@ from telemill.llm import tokens
 from telemill.llm.common import lengths, map_rows, mix, stored
 
 #: Bytes of text in a slice, shards of pairs, and messages to a shard that one task adds up.
-SLICE, SHARDS, FAN_IN = 8 << 20, 256, 1024
+SLICE, SHARDS, FAN_IN = 2 << 20, 256, 1024
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -223,7 +223,7 @@ def _encode(a: str, b: str):
         keys, ids, held = [], [], 0
 
         def made() -> pa.RecordBatch:
-            flat = [np.array([x for pair in ids for x in pair[side]], np.uint32) for side in (0, 1)]
+            flat = [np.concatenate([pair[side] for pair in ids]) for side in (0, 1)]
             counts = [[len(pair[side]) for pair in ids] for side in (0, 1)]
             return pa.RecordBatch.from_arrays(
                 [
@@ -240,7 +240,7 @@ def _encode(a: str, b: str):
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py()
                 keys.append(batch.column(0)[i].as_py())
-                ids.append(tokens_of(text, first, second))
+                ids.append([np.array(x, np.uint32) for x in tokens_of(text, first, second)])
                 held += int(sizes[i])
                 if held >= SLICE:
                     yield made()

@@ -6,7 +6,7 @@ by a dense `bincount` over their cells, sparse ones as sorted coordinates. Pairs
 frequency in turn, and neighbouring pairs, which share a word, are the phrases of three words: the same step again, until
 phrases are as long as wanted. A phrase can only be frequent if the two that it extends are, so nothing is lost.
 
-How the work is spread: texts are encoded once, in slices of about 16 MB, as numbers local to the slice. A slice tells the
+How the work is spread: texts are encoded once, in slices of about 4 MB, as numbers local to the slice. A slice tells the
 owners of tiles (groups, dealt by a hash of the tile) how often it holds each pair; owners add, number what is frequent,
 and answer each slice about its own pairs. Every slice sends a pair once, so a frequent one is combined before it is
 shuffled, and the messages to one group are dealt over several tasks (`salt`). No vocabulary is ever broadcast or
@@ -32,7 +32,7 @@ from telemill.llm.common import cut, joined, lengths, map_rows, mix, stored
 from telemill.operators.rank import running_rank
 
 #: Bytes of text in a slice.
-SLICE = 16 << 20
+SLICE = 4 << 20
 #: log2 of a tile's edge.
 EDGE = 10
 #: A tile with at least so many entries is counted in a dense vector of all its cells.
