@@ -60,6 +60,7 @@ class ByteLevel:
         own, letters = tokens.tokenizer(vocabulary), _byte_of_letter()
         names = [own.id_to_token(i) for i in range(own.get_vocab_size())]
         self.bytes = [bytes(letters[c] for c in x) if all(c in letters for c in x) else x.encode() for x in names]
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
 
     def ids(self, text: str) -> list[int]:
         return tokens.plain_ids_of(" " + text, self.vocabulary)
@@ -74,6 +75,7 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
 
     def ids(self, text: str) -> list[int]:
         return self.model.encode(text)
@@ -85,12 +87,13 @@ def tokenizers_of(a: str, b: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(a), Pieces(tokens.place(b))
 
 
-def tokens_of(text: str | None, a: ByteLevel, b: Pieces) -> tuple[list[int], list[int]]:
-    if not text:
-        return [], []
-    want, first, second = b" " + text.encode(), a.ids(text), b.ids(text)
-    same = b"".join(map(a.bytes.__getitem__, first)) == want and b"".join(map(b.bytes.__getitem__, second)) == want
-    return (first, second) if same else ([], [])
+def tokens_of(text: str | None, a: ByteLevel, b: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    kinds = _kind(len(a.bytes)), _kind(len(b.bytes))
+    if text:
+        want, first, second = b" " + text.encode(), a.ids(text), b.ids(text)
+        if b"".join(map(a.bytes.__getitem__, first)) == want and b"".join(map(b.bytes.__getitem__, second)) == want:
+            return np.array(first, kinds[0]), np.array(second, kinds[1])
+    return np.zeros(0, kinds[0]), np.zeros(0, kinds[1])
 
 
 # ---------------------------------------------------------------- alignment
@@ -102,47 +105,63 @@ class Aligned:
     def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray):
         self.a, self.b, self.n_a, self.n_b = a, b, n_a, n_b
         ends_a, ends_b = np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b])
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        self.group_a, self.group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
-        self.last_a, self.last_b = np.isin(ends_a, both, assume_unique=True), np.isin(ends_b, both, assume_unique=True)
+        marks = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.uint8)  # a byte for every byte of text
+        marks[ends_a] = 1
+        marks[ends_b] |= 2
+        marks = marks[marks > 0]
+        in_a, in_b, both = (marks & 1).astype(bool), marks > 1, marks == 3
         # between two neighbouring ends lies one overlap, of one token of each side
-        ends = np.union1d(ends_a, ends_b)
-        place_a, place_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        before_a, before_b, group = (np.cumsum(x) - x for x in (in_a, in_b, both))
+        self.group_a, self.group_b, self.last_a, self.last_b = group[in_a], group[in_b], both[in_a], both[in_b]
         self.doc_a = np.repeat(np.arange(len(n_a)), n_a)
-        self.doc = self.doc_a[place_a]
-        self.pair = a[place_a].astype(np.uint64) << np.uint64(32) | b[place_b].astype(np.uint64)
+        self.doc = self.doc_a[before_a]
+        codes, self.pairs = pd.factorize((a[before_a].astype(np.int64) << 32) | b[before_b])
+        order = np.argsort(self.pairs)  # distinct pairs in order, and the number of its pair for every link
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        self.pairs, self.number = self.pairs[order].astype(np.uint64), number[codes]
 
     def per_document(self, values: np.ndarray | None = None) -> np.ndarray:
-        if values is None:
-            return np.bincount(self.doc, minlength=len(self.n_a))
-        total = np.concatenate([[0], np.cumsum(values)])
+        """Links of every document, or the sum over its links of what each distinct pair has."""
         edges = np.searchsorted(self.doc, np.arange(len(self.n_a) + 1))
+        if values is None:
+            return np.diff(edges)
+        total = np.concatenate([[0], np.cumsum(values[self.number])])
         return total[edges[1:]] - total[edges[:-1]]
 
     def groups(self) -> np.ndarray:
         return np.bincount(self.doc_a[self.last_a], minlength=len(self.n_a))
 
-    def document_pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct pairs, and in how many documents each is."""
-        codes, pairs = pd.factorize(self.pair)
-        held = np.unique(self.doc * max(1, len(pairs)) + codes) % max(1, len(pairs))
-        return pairs, np.bincount(held, minlength=len(pairs))
+    def documents(self) -> np.ndarray:
+        """In how many documents each distinct pair is."""
+        size = max(1, len(self.n_a))
+        return np.bincount(np.unique(self.number * size + self.doc) // size, minlength=len(self.pairs))
 
     def digests(self) -> list[str]:
         """SHA-256 of every document's groups, `a1,a2|b1;a3|b2,b3`; '' without tokens."""
-        text = _decimals(int(max(self.a.max(initial=0), self.b.max(initial=0))) + 1)
-        parts_a = np.where(self.last_a, text["|"][self.a], text[","][self.a])
-        parts_b = np.where(self.last_b, text[";"][self.b], text[","][self.b])
-        order = np.argsort(np.concatenate([2 * self.group_a, 2 * self.group_b + 1]), kind="stable")
-        parts = np.concatenate([parts_a, parts_b])[order]
-        ends = np.cumsum(self.n_a + self.n_b)
-        whole = [b"".join(parts[e - n : e]) for e, n in zip(ends, self.n_a + self.n_b)]
-        return [hashlib.sha256(x[:-1]).hexdigest() if x else "" for x in whole]
+        text, sizes = _decimals(int(max(self.a.max(initial=0), self.b.max(initial=0))) + 1)
+        groups = int(self.last_a.sum())
+        # a token stands behind its own side's tokens before it and the other's in earlier groups; of `a`, also in its own
+        behind_a = np.concatenate([[0], np.cumsum(np.bincount(self.group_b, minlength=groups))])
+        behind_b = np.cumsum(np.bincount(self.group_a, minlength=groups))
+        parts = np.empty(len(self.a) + len(self.b), text[","].dtype)
+        parts[np.arange(len(self.a)) + behind_a[self.group_a]] = np.where(self.last_a, text["|"][self.a], text[","][self.a])
+        parts[np.arange(len(self.b)) + behind_b[self.group_b]] = np.where(self.last_b, text[";"][self.b], text[","][self.b])
+        letters = parts.view(np.uint8)
+        letters = letters[letters > 0].tobytes()
+        length = [np.concatenate([[0], np.cumsum(sizes[ids])]) for ids in (self.a, self.b)]
+        ends = [np.cumsum(n) for n in (self.n_a, self.n_b)]
+        ends = length[0][ends[0]] + length[1][ends[1]]
+        starts = np.concatenate([[0], ends[:-1]])
+        return [hashlib.sha256(letters[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(starts.tolist(), ends.tolist())]
 
 
 @lru_cache(maxsize=4)
-def _decimals(size: int) -> dict[str, np.ndarray]:
-    return {mark: np.array([f"{i}{mark}".encode() for i in range(size)], object) for mark in "|,;"}
+def _decimals(size: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The numbers up to `size` with a mark behind, padded with zero bytes, and how long these texts are."""
+    width = len(str(size)) + 1
+    made = {mark: np.array([f"{i}{mark}".encode() for i in range(size)], f"S{width}") for mark in "|,;"}
+    return made, np.array([len(str(i)) + 1 for i in range(size)], np.int64)
 
 
 # ---------------------------------------------------------------- minimal perfect hashing
@@ -240,7 +259,7 @@ def _encode(a: str, b: str):
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py()
                 keys.append(batch.column(0)[i].as_py())
-                ids.append([np.array(x, np.uint32) for x in tokens_of(text, first, second)])
+                ids.append(tokens_of(text, first, second))
                 held += int(sizes[i])
                 if held >= SLICE:
                     yield made()
@@ -253,24 +272,33 @@ def _encode(a: str, b: str):
 
 def _aligned(row: dict, a: str, b: str) -> Aligned:
     first, second = tokenizers_of(a, b)
-    sizes = [np.array([len(x) for x in t.bytes], np.int64) for t in (first, second)]
-    ids = [np.frombuffer(row[c], np.uint32).astype(np.int64) for c in ("a", "b")]
+    ids = [np.frombuffer(row[c], _kind(len(t.bytes))).astype(np.int64) for c, t in (("a", first), ("b", second))]
     counts = [np.frombuffer(row[c], np.int64) for c in ("n_a", "n_b")]
-    return Aligned(*ids, *counts, *sizes)
+    return Aligned(*ids, *counts, first.sizes, second.sizes)
+
+
+def _kind(size: int) -> type:
+    """The numbers that hold the ids of a vocabulary."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+def _by_owner(pairs: np.ndarray) -> list[np.ndarray]:
+    """Which of the distinct pairs each shard owns, shard by shard; empty ones are left out."""
+    shard = (mix(pairs >> np.uint64(32)) % np.uint64(SHARDS)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return [(int(shard[x[0]]), x) for x in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(x)]
 
 
 def _told(a: str, b: str, salts: int):
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
-            pairs, counts = _aligned(row, a, b).document_pairs()
-            shard = (mix(pairs >> np.uint64(32)) % np.uint64(SHARDS)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                if len(part):
-                    yield {
-                        "shard": int(shard[part[0]]), "salt": row["slice"] % salts, "slice": row["slice"],
-                        "pairs": pairs[part], "counts": counts[part].astype(np.int64),
-                    }
+            aligned = _aligned(row, a, b)
+            counts = aligned.documents()
+            for shard, part in _by_owner(aligned.pairs):
+                yield {
+                    "shard": shard, "salt": row["slice"] % salts, "slice": row["slice"],
+                    "pairs": aligned.pairs[part], "counts": counts[part].astype(np.int64),
+                }
 
     return run
 
@@ -337,31 +365,26 @@ def _answer(rows: Iterator[dict]) -> Iterator[dict]:
         for row in run:
             pairs = np.frombuffer(row["pairs"], np.uint64)
             slots = table.slots(pairs)
-            yield {"slice": row["slice"], "pairs": pairs, "counts": vector[slots], "best": best[slots]}
+            yield {"slice": row["slice"], "shard": row["shard"], "counts": vector[slots], "best": best[slots]}
 
 
 def _looked_up(a: str, b: str):
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
             aligned = _aligned(row, a, b)
-            told = [
-                np.concatenate([np.zeros(0, kind)] + [np.frombuffer(x[c], kind) for x in row["told"] or []])
-                for c, kind in (("pairs", np.uint64), ("counts", np.int64), ("best", bool))
-            ]
-            table = PerfectHash.of(told[0])
-            slot = np.empty(len(told[0]), np.int64)
-            slot[table.slots(told[0])] = np.arange(len(told[0]))
-            at = slot[table.slots(aligned.pair)]
-            if not np.array_equal(told[0][at], aligned.pair):
-                raise ValueError("a pair has no count")
+            told = {x["shard"]: x for x in row["told"] or []}
+            counts, best = np.zeros(len(aligned.pairs), np.int64), np.zeros(len(aligned.pairs), np.int64)
+            for shard, part in _by_owner(aligned.pairs):  # answers are in the order of what was asked
+                counts[part] = np.frombuffer(told[shard]["counts"], np.int64)
+                best[part] = np.frombuffer(told[shard]["best"], bool)
             yield {
                 "keys": row["keys"],
                 "n_a": aligned.n_a.tolist(),
                 "n_b": aligned.n_b.tolist(),
                 "n_groups": aligned.groups().tolist(),
                 "n_links": aligned.per_document().tolist(),
-                "n_best": aligned.per_document(told[2][at].astype(np.int64)).tolist(),
-                "count_sum": aligned.per_document(told[1][at]).tolist(),
+                "n_best": aligned.per_document(best).tolist(),
+                "count_sum": aligned.per_document(counts).tolist(),
                 "groups_sha256": aligned.digests(),
             }
 
@@ -402,8 +425,8 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k
 
     full = stored(tables.join(sums, "shard"), "alignment").select("*", salted)
     asked = messages.drop("counts").unionByName(full, allowMissingColumns=True)
-    answers = map_rows(_dealt(asked, ["shard", "salt"], "slice"), "slice bigint, pairs binary, counts binary, best binary", _answer)
-    answers = answers.groupBy("slice").agg(F.collect_list(F.struct("pairs", "counts", "best")).alias("told"))
+    answers = map_rows(_dealt(asked, ["shard", "salt"], "slice"), "slice bigint, shard bigint, counts binary, best binary", _answer)
+    answers = answers.groupBy("slice").agg(F.collect_list(F.struct("shard", "counts", "best")).alias("told"))
 
     columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     schema = ", ".join(["keys array<bigint>", *[f"{c} array<bigint>" for c in columns], "groups_sha256 array<string>"])
