@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -713,6 +714,128 @@ STREAM_ARCHIVE = f"""
     where bucket % 3 in (0, 1)"""
 
 
+def stream_reports_empty_batches(spark, sf_dir):
+    """Messages without lines: their batches are reported, with no rows and no labels."""
+    scratch = scratch_dir(spark, "empty")
+    nothing = encoded(events(spark, sf_dir), "flow", F.array().cast("array<string>"))
+    nothing.select(F.lit(None).cast("binary").alias("key"), "*").write.parquet(f"{scratch}/messages")
+    stream = tm.read_segment_files(spark, f"{scratch}/messages", streaming=True, max_files_per_trigger=1)
+    tm.ingest_stream(stream, "flow", f"{scratch}/checkpoint", path=f"{scratch}/landing", interval=None).awaitTermination()
+    reports = tm.read_reports(spark, f"{scratch}/checkpoint").groupBy("log_type")
+    return reports.agg(
+        *[F.sum(c).alias(c) for c in ("rows", "bad_rows", "dropped_rows")],
+        F.count("min_label").alias("labels"),
+        (F.count(F.lit(1)) > 0).alias("reported"),
+    )
+
+
+STREAM_REPORTS_EMPTY_BATCHES = """
+    select 'flow' as log_type, cast(0 as bigint) as rows, cast(0 as bigint) as bad_rows, cast(0 as bigint) as dropped_rows,
+        cast(0 as bigint) as labels, count(*) > 0 as reported
+    from events"""
+
+#: Messages up to this one come by a stream whose checkpoint the compaction knows, the later ones by another.
+KNOWN = "(select max(event_id) * 2 // 3 from events)"
+
+
+def compact_days(spark, sf_dir):
+    """Closed days come out in one file an hour, with the same rows; days that an unknown stream writes stay."""
+    scratch = scratch_dir(spark, "compact")
+    topic = messages(spark, sf_dir, "flow")
+    border = events(spark, sf_dir).agg(F.expr("max(event_id) * 2 div 3")).first()[0]
+    early = F.col("offset") * LINES_PER_MESSAGE <= border
+    topic.where(early).write.parquet(f"{scratch}/early")
+    topic.where(~early).write.parquet(f"{scratch}/late")
+    path = f"{scratch}/landing"
+    for part in ("early", "late"):
+        stream = tm.read_segment_files(spark, f"{scratch}/{part}", streaming=True, max_files_per_trigger=3)
+        tm.ingest_stream(stream, "flow", f"{scratch}/checkpoint-{part}", path=path, interval=None).awaitTermination()
+    days = tm.compact_days(spark, path, "flow", [f"{scratch}/checkpoint-early"])
+    days = days.select(*[F.col(c).alias(f"day_{c}") for c in "ymd"], "open", (F.col("files") >= F.col("files_after")).alias("fewer"))
+    rows = tm.read_accepted(spark, path, "flow").select("y", "m", "d", "h", F.col("_metadata.file_path").alias("file"))
+    hours = rows.groupBy("y", "m", "d", "h").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
+    hours = hours.groupBy("y", "m", "d").agg(F.sum("rows").alias("rows"), F.max("files").alias("most"))
+    joined = hours.join(days, F.expr("y = day_y and m = day_m and d = day_d"))
+    return joined.select("d", "rows", "open", "fewer", (F.col("open") | (F.col("most") == 1)).alias("one_file_an_hour"))
+
+
+COMPACT_DAYS = f"""
+    with late as (
+        select distinct strftime(ts, '%Y-%m-%d') as day from events where {MESSAGE_OFFSET} * {LINES_PER_MESSAGE} > {KNOWN}),
+    kept as (select d, strftime(make_date(y, m, d), '%Y-%m-%d') as day from ({kept_rows('flow')}))
+    select d, count(*) as rows, day in (select day from late) as open, true as fewer, true as one_file_an_hour
+    from kept group by d, day"""
+
+
+def covered_offsets(spark, sf_dir):
+    """A stream takes one Kafka partition, a job the early offsets; a backfill takes what both left: no line twice."""
+    scratch = scratch_dir(spark, "covered")
+    messages(spark, sf_dir, "ids_event").write.parquet(f"{scratch}/messages")
+    batch = tm.read_segment_files(spark, f"{scratch}/messages")
+    stream = tm.read_segment_files(spark, f"{scratch}/messages", streaming=True, max_files_per_trigger=3)
+    into = {"path": f"{scratch}/landing", "coverage": f"{scratch}/coverage"}
+    tm.ingest_stream(tm.assigned(stream, [1]), "ids_event", f"{scratch}/checkpoint", interval=None, **into).awaitTermination()
+    border = batch.agg(F.expr("max(offset) div 2")).first()[0]
+    early = tm.uncovered(batch.where(F.col("offset") <= border), tm.covered_offsets(spark, into["coverage"]))
+    tm.ingest_batch(early, "ids_event", **into)
+    tm.ingest_batch(tm.uncovered(batch, tm.covered_offsets(spark, into["coverage"])), "ids_event", **into)
+    return tm.read_accepted(spark, into["path"], "ids_event")
+
+
+def offset_gaps(spark, sf_dir):
+    """What is stored of a topic, and what is not, when every seventh message and all from 3,000 to 3,999 were left out."""
+    whole = encoded(events(spark, sf_dir), "flow", F.array(F.lit("x"))).withColumn("partition", F.lit(0))
+    stored = whole.where("offset % 7 <> 0 and offset not between 3000 and 3999")
+    covered, wanted = tm.offset_ranges(stored), tm.offset_ranges(whole)
+    missing = tm.missing_offsets(covered, wanted)
+    return covered.withColumn("stored", F.lit(True)).union(missing.withColumn("stored", F.lit(False)))
+
+
+OFFSET_GAPS = """
+    with marked as (select event_id as o, event_id % 7 <> 0 and event_id not between 3000 and 3999 as stored from events),
+    numbered as (select *, o - row_number() over (partition by stored order by o) as island from marked)
+    select 'ingest-flow' as topic, cast(0 as integer) as partition, min(o) as first, max(o) as last, stored
+    from numbered group by stored, island"""
+
+
+def plan_offsets(spark, sf_dir):
+    """Nine tenths of the messages are in one Kafka partition: it is cut into most of the ranges, all of about one size."""
+    line = F.expr(recipes.line("flow", SPARK))
+    topic = encoded(events(spark, sf_dir), "flow", F.array(line)).withColumn("partition", F.expr("if(offset % 10 = 0, offset % 3, 3)"))
+    planned = tm.plan_offsets(topic.withColumn("partition", F.col("partition").cast("int")), 40)
+    whole = planned.groupBy("partition").agg(
+        F.sum("messages").alias("messages"), F.min("first").alias("first"), F.max("last").alias("last"), F.max("bytes").alias("most")
+    )
+    mean = planned.agg((F.sum("bytes") / 40).alias("mean"))
+    even = (F.col("most") <= 1.5 * F.col("mean")).alias("even")
+    return whole.crossJoin(mean).select("partition", "messages", "first", "last", even)
+
+
+PLAN_OFFSETS = """
+    select cast(case when event_id % 10 = 0 then event_id % 3 else 3 end as integer) as partition, count(*) as messages,
+        min(event_id) as first, max(event_id) as last, true as even
+    from events group by 1"""
+
+
+def replay_quarantine(spark, sf_dir):
+    """A rule rejected every seventh id; after the change, and two replays, the rows are those of a fresh ingest."""
+    path = f"{scratch_dir(spark, 'replay')}/landing"
+    line = F.expr("concat_ws('|', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), event_id, user_id, event_type)")
+    stamp = F.expr(f"timestamp_micros({SPARK.micros})").alias("ts")
+    lines = events(spark, sf_dir).select("event_id", stamp, line.alias("line"))
+    packed = tm.pack_segments(lines, LINES_PER_MESSAGE, pos="event_id", stamp="ts")
+    topic = packed.select("value", F.lit("app").alias("topic"), F.lit(0).alias("partition"), F.col("bucket").alias("offset"), "timestamp")
+    strict = replace(user_log(), name="app_replay", outputs=(
+        derived("id", "bigint", "if(try_cast({1} as bigint) % 7 = 0, null, try_cast({1} as bigint))"), *user_log().outputs[1:]
+    ))
+    tm.register(strict, replace=True)
+    tm.ingest_batch(topic, "app_replay", path=path)
+    tm.register(replace(user_log(), name="app_replay"), replace=True)
+    for _ in range(2):
+        tm.replay_quarantine(spark, path, "app_replay")
+    return tm.read_accepted(spark, path, "app_replay")
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -766,6 +889,12 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         "archive_beside_stream": (archive_beside_stream, ARCHIVE_BESIDE_STREAM),
         "archive_carriage_returns": (archive_carriage_returns, ARCHIVE_CARRIAGE_RETURNS),
         "stream_reports_files": (stream_reports_files, STREAM_REPORTS),
+        "stream_reports_empty_batches": (stream_reports_empty_batches, STREAM_REPORTS_EMPTY_BATCHES),
+        "compact_days": (compact_days, COMPACT_DAYS),
+        "covered_offsets": (covered_offsets, kept_rows("ids_event")),
+        "offset_gaps": (offset_gaps, OFFSET_GAPS),
+        "plan_offsets": (plan_offsets, PLAN_OFFSETS),
+        "replay_quarantine": (replay_quarantine, REGISTERED_LOG_TYPE),
     }
     return catalog
 

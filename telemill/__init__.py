@@ -7,10 +7,21 @@ from telemill.operators.report import batch_report, observe_batch
 from telemill.plans.batch import classify_messages, ingest_batch
 from telemill.plans.builtin import BUILTIN, dns_log, flow_log, ids_event_log, ids_packet_log, proxy_log
 from telemill.plans.logtype import LogType, Output, register, registered, resolve
+from telemill.plans.replay import pending_rejects, replay_quarantine
 from telemill.sinks.archive import archive_lines, archive_segments, read_archive
+from telemill.sinks.compact import compact_days, finish_compaction
 from telemill.sinks.landing import read_accepted, read_rejected, write_landing
 from telemill.sinks.rows import read_rows
 from telemill.sinks.tables import create_quarantine, create_table, write_quarantine, write_table
+from telemill.sources.offsets import (
+    covered_offsets,
+    merge_ranges,
+    missing_offsets,
+    offset_options,
+    offset_ranges,
+    plan_offsets,
+    uncovered,
+)
 from telemill.sources.segments import (
     assigned,
     read_segment_files,
@@ -23,11 +34,12 @@ from telemill.streaming.progress import BatchLogger
 
 __all__ = [
     "BUILTIN", "BatchLogger", "LogType", "Output", "accepted", "account", "archive_lines", "archive_segments",
-    "archive_stream", "assigned", "batch_report", "classify", "classify_messages", "create_quarantine",
-    "create_table", "decode_segments", "dns_log", "encode_segments", "explode_lines", "flow_log", "ids_event_log",
-    "ids_packet_log", "ingest_batch", "ingest_stream", "normalize", "observe_batch", "pack_segments",
-    "null_lines", "proxy_log", "quarantined", "read_accepted", "read_archive", "read_rejected", "read_reports", "read_rows",
-    "read_segment_files", "read_segments_assigned", "read_segments_batch", "read_segments_stream", "register",
-    "registered", "rejected", "resolve", "split_fields", "tokenize_quoted", "write_landing", "write_quarantine",
-    "write_table",
+    "archive_stream", "assigned", "batch_report", "classify", "classify_messages", "compact_days", "covered_offsets",
+    "create_quarantine", "create_table", "decode_segments", "dns_log", "encode_segments", "explode_lines",
+    "finish_compaction", "flow_log", "ids_event_log", "ids_packet_log", "ingest_batch", "ingest_stream",
+    "merge_ranges", "missing_offsets", "normalize", "null_lines", "observe_batch", "offset_options", "offset_ranges",
+    "pack_segments", "pending_rejects", "plan_offsets", "proxy_log", "quarantined", "read_accepted", "read_archive",
+    "read_rejected", "read_reports", "read_rows", "read_segment_files", "read_segments_assigned",
+    "read_segments_batch", "read_segments_stream", "register", "registered", "rejected", "replay_quarantine",
+    "resolve", "split_fields", "tokenize_quoted", "uncovered", "write_landing", "write_quarantine", "write_table",
 ]

@@ -13,6 +13,7 @@ from telemill.session import reliable
 from telemill.sinks.files import batch_writer, write_files
 from telemill.sinks.landing import write_landing
 from telemill.sinks.tables import write_quarantine, write_table
+from telemill.sources.offsets import record_coverage
 
 MODES = ("quarantine", "drop", "failfast")
 
@@ -47,6 +48,7 @@ def ingest_batch(
     codec: str = "arrow",
     rebalance: bool = False,
     run: str | None = None,
+    coverage: str | None = None,
 ) -> dict:
     """Decode, normalise and append a bounded set of messages; returns the batch report.
 
@@ -57,30 +59,30 @@ def ingest_batch(
                 checkpoint folder meanwhile, so messages are read once.
     run         a name for this job, for a path: run again under it, the job replaces
                 what it wrote before, also what it left when it died
+    coverage    a folder that notes which offsets have been stored (see `covered_offsets`);
+                their messages are read once more for it
     """
     check_target(path, table, quarantine, mode)
     if run is not None and path is None:
         raise ValueError("only jobs that write to a path can be run again by name")
-    spec = resolve(log_type)
+    spec, writer = resolve(log_type), batch_writer(run)
     observation = Observation()
     classified = classify_messages(messages, spec, tz, on_error, codec)
     if quarantine is not None:
         classified = reliable(classified)
     observed = observe_batch(classified, spec, observation)
+    strictness = "failfast" if mode == "failfast" else "drop"
     if path is not None and mode == "quarantine":
-        write_landing(observed, spec, path, rebalance, batch_writer(run))
-        return _report(spec, observation)
-
-    rows = accepted(observed, spec, "failfast" if mode == "failfast" else "drop")
-    if path is not None:
-        write_files(rows, path, PARTITIONS, batch_writer(run), rebalance)
-        return _report(spec, observation)
-
-    write_table(rows, table, spec, rebalance)
-    report = _report(spec, observation)
-    if quarantine is not None and report["bad_rows"]:
-        write_quarantine(rejected(classified), quarantine)
-    return report
+        write_landing(observed, spec, path, rebalance, writer)
+    elif path is not None:
+        write_files(accepted(observed, spec, strictness), path, PARTITIONS, writer, rebalance)
+    else:
+        write_table(accepted(observed, spec, strictness), table, spec, rebalance)
+        if quarantine is not None and observation.get["bad_rows"]:
+            write_quarantine(rejected(classified), quarantine)
+    if coverage is not None:
+        record_coverage(messages, coverage, writer)
+    return _report(spec, observation)
 
 
 def _report(spec: LogType, observation: Observation) -> dict:

@@ -18,6 +18,7 @@ from telemill.sinks.archive import archive_lines, write_archive
 from telemill.sinks.files import stream_writer, write_files
 from telemill.sinks.landing import write_landing
 from telemill.sinks.tables import write_quarantine, write_table
+from telemill.sources.offsets import record_coverage
 
 INTERVAL = "30 seconds"
 LOGGER = logging.getLogger("telemill.streaming")
@@ -47,6 +48,7 @@ def ingest_stream(
     interval: str | None = INTERVAL,
     name: str | None = None,
     rebalance: bool = False,
+    coverage: str | None = None,
 ) -> StreamingQuery:
     """Start a query that decodes, normalises and appends a stream of messages.
 
@@ -59,6 +61,8 @@ def ingest_stream(
     interval  time between micro-batches; None takes what is there and ends
     name      of the query; the log type and the checkpoint's id by default
     rebalance shuffles every batch for fewer, larger files (see `write_table`)
+    coverage  a folder that notes which offsets have been stored (see `covered_offsets`);
+              a batch's messages are read once more for it
 
     Every finished batch is logged and adds a report (see `read_reports`). A
     lost or renewed checkpoint starts over: rows come again, none is hidden.
@@ -66,7 +70,7 @@ def ingest_stream(
     check_target(path, table, quarantine, mode)
     spec = resolve(log_type)
     strictness = "failfast" if mode == "failfast" else "drop"
-    classified = classify_messages(messages, spec, tz, on_error, codec)
+    lines_of = lambda batch: classify_messages(batch, spec, tz, on_error, codec)
     writer = stream_writer(messages.sparkSession, checkpoint)
     name = name or f"{spec.name}-{writer[-8:]}"
 
@@ -96,14 +100,18 @@ def ingest_stream(
         if _exists(batch.sparkSession, place):
             return
         observation = Observation()
-        store(batch, observation, batch_id)
+        if coverage is None:
+            store(batch, observation, batch_id)
+        else:
+            store(lines_of(batch), observation, batch_id)
+            record_coverage(batch, coverage, f"{writer}-{batch_id:09d}")
         metrics = observation.get
         values = [F.lit(metrics.get(m)).cast(t).alias(m) for m, t in METRICS.items()]
         report = batch.sparkSession.range(1, numPartitions=1).select(F.lit(spec.name).alias("log_type"), *values)
         report.write.mode("overwrite").json(place)
         log_batch(name, spec, batch_id, metrics)
 
-    return _start(classified, write, checkpoint, interval, name)
+    return _start(lines_of(messages) if coverage is None else messages, write, checkpoint, interval, name)
 
 
 def log_batch(name: str, spec: LogType, batch_id: int, metrics: dict) -> None:
