@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +32,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that nobody holds any more.
+
+    Spark's cleaner acts when the driver's collector has run, which a driver with little to do puts off, while the
+    executors' disks fill up.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a Parquet folder in the shared scratch folder; Spark then knows how large they are."""
     path = scratch_dir(df.sparkSession, name)

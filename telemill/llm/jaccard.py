@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemill.llm.common import cut, joined, map_slices, mix, slices, spread
+from telemill.llm.common import cut, joined, map_slices, mix, release, slices, spread
 from telemill.llm.components import components
 from telemill.llm.shingles import shingle_sets
 
@@ -224,18 +224,28 @@ def sketches(docs: DataFrame, width: int, keep_text: bool = False) -> DataFrame:
 
 def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """Links (`a`, `b`) between nodes (their `d1`), enough to connect what is connected by links."""
-    signed = docs.select("text").mapInArrow(_signed(width, similarity), "signature bigint, node bigint")
-    sharing = Window.partitionBy("signature")
-    led = signed.withColumn("leader", F.min("node").over(sharing)).where("node <> leader")
-    met = led.select("leader", "node").distinct()
-    near = _canopies(cut(met.union(met.select("leader", "leader").distinct())), nodes, similarity)
-    stars = components(near).where("node <> component").select(F.col("component").alias("leader"), "node")
+    spark = docs.sparkSession
+    met = _met(docs, width, similarity)
+    release(spark)  # the signatures are the largest shuffle of all
+    near = _canopies(met, nodes, similarity)
+    stars = cut(components(near).where("node <> component").select(F.col("component").alias("leader"), "node"))
+    release(spark)
     deltas = cut(_differences(docs, stars, nodes, width, similarity))
+    release(spark)
     links = deltas.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = cut(links.union(_by_slack(deltas)))
     return links.union(_in_blocks(_undecided(deltas, links), similarity))
 
 
+def _met(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
+    """Nodes that share a signature, with the smallest of them as `leader`; leaders are with themselves."""
+    signed = docs.select("text").mapInArrow(_signed(width, similarity), "signature bigint, node bigint")
+    sharing = Window.partitionBy("signature")
+    led = signed.withColumn("leader", F.min("node").over(sharing)).where("node <> leader")
+    met = cut(led.select("leader", "node").distinct())
+    return met.union(met.select("leader", "leader").distinct())
+
+
 def _canopies(met: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFrame:
     """Edges (`a`, `b`) whose components hold every linked pair of what has met under one leader, and little else.
 
