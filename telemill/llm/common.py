@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,10 +37,12 @@ def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of frames that nobody holds any more.
 
     Spark's cleaner acts when the driver's collector has run, which a driver with little to do puts off, while the
-    executors' disks fill up.
+    executors' disks fill up. Python's side lets go of a frame a moment after its last name is gone, hence the pauses.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(3):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
