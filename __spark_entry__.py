@@ -641,7 +641,8 @@ def archive_carriage_returns(spark, sf_dir):
     path = f"{scratch_dir(spark, 'archive')}/lines"
     lines = events(spark, sf_dir).select("event_id", F.expr(f"timestamp_micros({SPARK.micros})").alias("ts"), line.alias("line"))
     packed = tm.pack_segments(lines, LINES_PER_MESSAGE, pos="event_id", stamp="ts")
-    tm.archive_segments(packed, path, rebalance=True)
+    topic = packed.select("value", F.lit("cr").alias("topic"), F.lit(0).alias("partition"), F.col("bucket").alias("offset"), "timestamp")
+    tm.archive_segments(topic, path, rebalance=True)
     return tm.read_archive(spark, path).select("segment", F.hex("line").alias("bytes"))
 
 
