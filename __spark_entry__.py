@@ -837,6 +837,44 @@ def replay_quarantine(spark, sf_dir):
     return tm.read_accepted(spark, path, "app_replay")
 
 
+#: Seven tenths of the events come from one source.
+SOURCE = "case when event_id % 10 < 7 then 0 else user_id end"
+
+
+def publish_segments(spark, sf_dir):
+    """Messages by source in a topic's columns, read back: a hot source is in many partitions, any other in one."""
+    path = f"{scratch_dir(spark, 'publish')}/topic"
+    line = F.expr(recipes.line("flow", SPARK)).alias("line")
+    lines = events(spark, sf_dir).select("event_id", F.expr(SOURCE).alias("source"), line)
+    packed = tm.pack_segments(lines, 10, pos="event_id", by=["source"])
+    tm.write_segment_files(tm.to_topic(packed, "flows", 8, by=["source"], bucket="bucket"), path)
+    topic = tm.read_segment_files(spark, path).withColumn("source", F.get_json_object(F.col("key").cast("string"), "$.source"))
+    places = topic.groupBy("source").agg(F.count_distinct("partition").alias("places"))
+    found = tm.explode_lines(tm.decode_segments(topic.select("value", F.col("source").cast("bigint").alias("offset"))))
+    joined = found.join(places.select(F.col("source").cast("bigint").alias("source"), "places"), F.col("offset") == F.col("source"))
+    return joined.select("source", "line", (F.col("places") > 1).alias("wide"))
+
+
+PUBLISH_SEGMENTS = f"""
+    select {SOURCE} as source, {recipes.line('flow', DUCK)} as line, {SOURCE} = 0 as wide from events"""
+
+
+def republish_stream(spark, sf_dir):
+    """A stream gives messages their times as keys and sends them on; read back, the lines of each time are the same."""
+    stream, scratch = message_stream(spark, sf_dir, "dns", damaged=False)
+    keyed = lambda topic: topic.select(F.unix_micros("timestamp").alias("stamp_us"), "value")
+    widths = tm.topic_widths(keyed(tm.read_segment_files(spark, f"{scratch}/messages")), ["stamp_us"], 6)
+    sent = tm.to_topic(keyed(stream), "dns-by-stamp", 6, by=["stamp_us"], widths=widths)
+    tm.write_segment_files(sent, f"{scratch}/sent", f"{scratch}/checkpoint").awaitTermination()
+    back = tm.read_segment_files(spark, f"{scratch}/sent")
+    back = back.withColumn("offset", F.get_json_object(F.col("key").cast("string"), "$.stamp_us").cast("bigint"))
+    return tm.explode_lines(tm.decode_segments(back)).select("topic", F.col("offset").alias("stamp_us"), "line")
+
+
+REPUBLISH_STREAM = f"""
+    select 'dns-by-stamp' as topic, {MESSAGE_STAMP} as stamp_us, {recipes.line('dns', DUCK)} as line from events"""
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -896,6 +934,8 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         "offset_gaps": (offset_gaps, OFFSET_GAPS),
         "plan_offsets": (plan_offsets, PLAN_OFFSETS),
         "replay_quarantine": (replay_quarantine, REGISTERED_LOG_TYPE),
+        "publish_segments": (publish_segments, PUBLISH_SEGMENTS),
+        "republish_stream": (republish_stream, REPUBLISH_STREAM),
     }
     return catalog
 

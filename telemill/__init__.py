@@ -13,6 +13,7 @@ from telemill.sinks.compact import compact_days, finish_compaction
 from telemill.sinks.landing import read_accepted, read_rejected, write_landing
 from telemill.sinks.rows import read_rows
 from telemill.sinks.tables import create_quarantine, create_table, write_quarantine, write_table
+from telemill.sinks.topic import to_topic, topic_widths, write_segment_files, write_segments_batch, write_segments_stream
 from telemill.sources.offsets import (
     covered_offsets,
     merge_ranges,
@@ -41,5 +42,6 @@ __all__ = [
     "pack_segments", "pending_rejects", "plan_offsets", "proxy_log", "quarantined", "read_accepted", "read_archive",
     "read_rejected", "read_reports", "read_rows", "read_segment_files", "read_segments_assigned",
     "read_segments_batch", "read_segments_stream", "register", "registered", "rejected", "replay_quarantine",
-    "resolve", "split_fields", "tokenize_quoted", "uncovered", "write_landing", "write_quarantine", "write_table",
+    "resolve", "split_fields", "to_topic", "tokenize_quoted", "topic_widths", "uncovered", "write_landing",
+    "write_quarantine", "write_segment_files", "write_segments_batch", "write_segments_stream", "write_table",
 ]
