@@ -818,14 +818,19 @@ PLAN_OFFSETS = """
     from events group by 1"""
 
 
-def replay_quarantine(spark, sf_dir):
-    """A rule rejected every seventh id; after the change, and two replays, the rows are those of a fresh ingest."""
-    path = f"{scratch_dir(spark, 'replay')}/landing"
+def app_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with the lines of `user_log`."""
     line = F.expr("concat_ws('|', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), event_id, user_id, event_type)")
     stamp = F.expr(f"timestamp_micros({SPARK.micros})").alias("ts")
     lines = events(spark, sf_dir).select("event_id", stamp, line.alias("line"))
     packed = tm.pack_segments(lines, LINES_PER_MESSAGE, pos="event_id", stamp="ts")
-    topic = packed.select("value", F.lit("app").alias("topic"), F.lit(0).alias("partition"), F.col("bucket").alias("offset"), "timestamp")
+    return packed.select("value", F.lit("app").alias("topic"), F.lit(0).alias("partition"), F.col("bucket").alias("offset"), "timestamp")
+
+
+def replay_quarantine(spark, sf_dir):
+    """A rule rejected every seventh id; after the change, and two replays, the rows are those of a fresh ingest."""
+    path = f"{scratch_dir(spark, 'replay')}/landing"
+    topic = app_messages(spark, sf_dir)
     strict = replace(user_log(), name="app_replay", outputs=(
         derived("id", "bigint", "if(try_cast({1} as bigint) % 7 = 0, null, try_cast({1} as bigint))"), *user_log().outputs[1:]
     ))
@@ -875,6 +880,46 @@ REPUBLISH_STREAM = f"""
     select 'dns-by-stamp' as topic, {MESSAGE_STAMP} as stamp_us, {recipes.line('dns', DUCK)} as line from events"""
 
 
+def _two_versions(spark, sf_dir) -> tuple[LogType, DataFrame, LogType, DataFrame]:
+    """An older version of `user_log`, with narrow ids and no seconds, and the new one, each with half of the messages."""
+    new = user_log()
+    old = replace(new, outputs=(*whole("int", "id user_id", 1, 2), *text("kind", 3), *clock_parts()))
+    topic = app_messages(spark, sf_dir)
+    half = events(spark, sf_dir).agg(F.expr(f"max(event_id) div {2 * LINES_PER_MESSAGE}")).first()[0]
+    return old, topic.where(F.col("offset") < half), new, topic.where(F.col("offset") >= half)
+
+
+def evolve_table(spark, sf_dir):
+    """A table gets wider ids and a new column between its own; rows of both versions are read as one."""
+    old, early, new, late = _two_versions(spark, sf_dir)
+    place = scratch_dir(spark, "evolve")
+    table = f"app_{place[-32:]}"
+    tm.create_table(spark, table, old, f"{place}/table")
+    tm.ingest_batch(early, old, table=table, mode="drop")
+    tm.evolve_table(spark, table, new)
+    tm.ingest_batch(late, new, table=table, mode="drop")
+    return spark.table(table)
+
+
+def evolve_landing(spark, sf_dir):
+    """The same for a landing folder: a batch job of the old version, then a stream of the new one."""
+    old, early, new, late = _two_versions(spark, sf_dir)
+    place = scratch_dir(spark, "evolve")
+    path = f"{place}/landing"
+    tm.ingest_batch(early, old, path=path)
+    tm.evolve_landing(spark, path, new)
+    late.withColumn("key", F.lit(None).cast("binary")).write.parquet(f"{place}/late")
+    stream = tm.read_segment_files(spark, f"{place}/late", streaming=True)
+    tm.ingest_stream(stream, new, f"{place}/checkpoint", path=path, interval=None).awaitTermination()
+    return tm.read_accepted(spark, path, new)
+
+
+EVOLVED = REGISTERED_LOG_TYPE.replace(
+    "epoch_us(ts) // 1000000",
+    f"case when {MESSAGE_OFFSET} >= (select max(event_id) // {2 * LINES_PER_MESSAGE} from events) then epoch_us(ts) // 1000000 end",
+)
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -936,6 +981,8 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         "replay_quarantine": (replay_quarantine, REGISTERED_LOG_TYPE),
         "publish_segments": (publish_segments, PUBLISH_SEGMENTS),
         "republish_stream": (republish_stream, REPUBLISH_STREAM),
+        "evolve_table": (evolve_table, EVOLVED),
+        "evolve_landing": (evolve_landing, EVOLVED),
     }
     return catalog
 

@@ -10,6 +10,7 @@ from telemill.plans.logtype import LogType, Output, register, registered, resolv
 from telemill.plans.replay import pending_rejects, replay_quarantine
 from telemill.sinks.archive import archive_lines, archive_segments, read_archive
 from telemill.sinks.compact import compact_days, finish_compaction
+from telemill.sinks.evolve import Changes, evolve_landing, evolve_table, reconcile
 from telemill.sinks.landing import read_accepted, read_rejected, write_landing
 from telemill.sinks.rows import read_rows
 from telemill.sinks.tables import create_quarantine, create_table, write_quarantine, write_table
@@ -34,14 +35,14 @@ from telemill.streaming.jobs import archive_stream, ingest_stream, read_reports
 from telemill.streaming.progress import BatchLogger
 
 __all__ = [
-    "BUILTIN", "BatchLogger", "LogType", "Output", "accepted", "account", "archive_lines", "archive_segments",
+    "BUILTIN", "BatchLogger", "Changes", "LogType", "Output", "accepted", "account", "archive_lines", "archive_segments",
     "archive_stream", "assigned", "batch_report", "classify", "classify_messages", "compact_days", "covered_offsets",
     "create_quarantine", "create_table", "decode_segments", "dns_log", "encode_segments", "explode_lines",
-    "finish_compaction", "flow_log", "ids_event_log", "ids_packet_log", "ingest_batch", "ingest_stream",
+    "evolve_landing", "evolve_table", "finish_compaction", "flow_log", "ids_event_log", "ids_packet_log", "ingest_batch", "ingest_stream",
     "merge_ranges", "missing_offsets", "normalize", "null_lines", "observe_batch", "offset_options", "offset_ranges",
     "pack_segments", "pending_rejects", "plan_offsets", "proxy_log", "quarantined", "read_accepted", "read_archive",
     "read_rejected", "read_reports", "read_rows", "read_segment_files", "read_segments_assigned",
-    "read_segments_batch", "read_segments_stream", "register", "registered", "rejected", "replay_quarantine",
+    "read_segments_batch", "read_segments_stream", "reconcile", "register", "registered", "rejected", "replay_quarantine",
     "resolve", "split_fields", "to_topic", "tokenize_quoted", "topic_widths", "uncovered", "write_landing",
     "write_quarantine", "write_segment_files", "write_segments_batch", "write_segments_stream", "write_table",
 ]
