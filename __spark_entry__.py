@@ -735,6 +735,23 @@ STREAM_REPORTS_EMPTY_BATCHES = """
         cast(0 as bigint) as labels, count(*) > 0 as reported
     from events"""
 
+def stream_drained(spark, sf_dir):
+    """A stream that is asked to stop after its first report, then started again: nothing is missing, nothing comes twice."""
+    scratch = scratch_dir(spark, "drained")
+    messages(spark, sf_dir, "proxy").write.parquet(f"{scratch}/messages")
+    start = lambda: tm.ingest_stream(
+        tm.read_segment_files(spark, f"{scratch}/messages", streaming=True, max_files_per_trigger=1),
+        "proxy", f"{scratch}/checkpoint", path=f"{scratch}/landing", interval=None,
+    )
+    first = start()
+    while first.isActive and tm.read_reports(spark, f"{scratch}/checkpoint").isEmpty():
+        first.awaitTermination(0.2)
+    tm.request_stop(spark, f"{scratch}/checkpoint")
+    first.awaitTermination()
+    start().awaitTermination()
+    return tm.read_accepted(spark, f"{scratch}/landing", "proxy")
+
+
 #: Messages up to this one come by a stream whose checkpoint the compaction knows, the later ones by another.
 KNOWN = "(select max(event_id) * 2 // 3 from events)"
 
@@ -981,6 +998,7 @@ def _catalog() -> dict[str, tuple[Query, str]]:
         "replay_quarantine": (replay_quarantine, REGISTERED_LOG_TYPE),
         "publish_segments": (publish_segments, PUBLISH_SEGMENTS),
         "republish_stream": (republish_stream, REPUBLISH_STREAM),
+        "stream_drained": (stream_drained, kept_rows("proxy")),
         "evolve_table": (evolve_table, EVOLVED),
         "evolve_landing": (evolve_landing, EVOLVED),
     }

@@ -33,6 +33,7 @@ from telemill.sources.segments import (
 )
 from telemill.streaming.jobs import archive_stream, ingest_stream, read_reports
 from telemill.streaming.progress import BatchLogger
+from telemill.streaming.stop import request_stop
 
 __all__ = [
     "BUILTIN", "BatchLogger", "Changes", "LogType", "Output", "accepted", "account", "archive_lines", "archive_segments",
@@ -43,6 +44,6 @@ __all__ = [
     "pack_segments", "pending_rejects", "plan_offsets", "proxy_log", "quarantined", "read_accepted", "read_archive",
     "read_rejected", "read_reports", "read_rows", "read_segment_files", "read_segments_assigned",
     "read_segments_batch", "read_segments_stream", "reconcile", "register", "registered", "rejected", "replay_quarantine",
-    "resolve", "split_fields", "to_topic", "tokenize_quoted", "topic_widths", "uncovered", "write_landing",
+    "request_stop", "resolve", "split_fields", "to_topic", "tokenize_quoted", "topic_widths", "uncovered", "write_landing",
     "write_quarantine", "write_segment_files", "write_segments_batch", "write_segments_stream", "write_table",
 ]

@@ -19,6 +19,7 @@ from telemill.sinks.files import stream_writer, write_files
 from telemill.sinks.landing import write_landing
 from telemill.sinks.tables import write_quarantine, write_table
 from telemill.sources.offsets import record_coverage
+from telemill.streaming.stop import start_drainable
 
 INTERVAL = "30 seconds"
 LOGGER = logging.getLogger("telemill.streaming")
@@ -30,8 +31,9 @@ BLOCK = 10_000
 def _start(
     frame: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None, name: str
 ) -> StreamingQuery:
-    writer = frame.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(name)
-    return (writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)).start()
+    writer = frame.writeStream.queryName(name)
+    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
+    return start_drainable(writer, write, frame.sparkSession, checkpoint)
 
 
 def ingest_stream(
@@ -66,6 +68,7 @@ def ingest_stream(
 
     Every finished batch is logged and adds a report (see `read_reports`). A
     lost or renewed checkpoint starts over: rows come again, none is hidden.
+    `request_stop` ends the query between two batches, from any process.
     """
     check_target(path, table, quarantine, mode)
     spec = resolve(log_type)
@@ -153,7 +156,7 @@ def archive_stream(
     name: str | None = None,
     rebalance: bool = False,
 ) -> StreamingQuery:
-    """Start a query that adds every line, unparsed, to its minute's folder; exactly once (see `archive_segments`)."""
+    """Start a query that adds every line, unparsed, to its minute's folder; exactly once (see `archive_segments`, `request_stop`)."""
     writer = stream_writer(messages.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
