@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +15,9 @@ from telemill.session import scratch_dir
 #: Bytes of text that a Python worker handles at a time.
 SLICE_BYTES = 2 << 20
 
+#: With this setting, a query's shuffle files are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: The white space that separates words: blank, and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,16 +34,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of frames that nobody holds any more.
+def passed(df: DataFrame) -> DataFrame:
+    """`cut`, and the executors remove the files of its shuffles at once, as nothing needs them any more.
 
-    Spark's cleaner acts when the driver's collector has run, which a driver with little to do puts off, while the
-    executors' disks fill up. Python's side lets go of a frame a moment after its last name is gone, hence the pauses.
+    Otherwise they stay until the driver's collector has met the last trace of the frame, and disks hold the shuffles of
+    all steps of a long operator. The session's setting is put back; should another thread of the session write meanwhile,
+    files of its queries go at their end or later, which changes no result.
     """
-    for _ in range(3):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return cut(df.select("*"))  # a query takes the setting as it is when its frame is made
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

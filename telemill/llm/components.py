@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemill.llm.common import cut
+from telemill.llm.common import passed
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     one; edges only shrink, and the number of rounds grows with the logarithm of the longest path. Only counts reach
     the driver. Null ends count as no edge; an empty frame gives an empty one.
     """
-    tree = cut(
+    tree = passed(
         edges.where("a <> b").select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent")).distinct()
     )
     state = _state(tree)
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("child").agg(F.min("parent").alias("m"))
         small = large.join(least, "child")
-        tree = cut(
+        tree = passed(
             small.select("child", F.col("m").alias("parent"))
             .union(small.select("parent", "m").where("parent <> m"))
             .distinct()

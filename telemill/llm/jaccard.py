@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemill.llm.common import cut, joined, map_slices, mix, release, slices, spread
+from telemill.llm.common import joined, map_slices, mix, passed, slices, spread
 from telemill.llm.components import components
 from telemill.llm.shingles import shingle_sets
 
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
     """
     similarity = Fraction(similarity)
     key = F.coalesce("doc_id", F.lit(NO_ID))
-    rows = cut(sketches(docs.select("doc_id", "text"), width))
+    rows = passed(sketches(docs.select("doc_id", "text"), width))
     nodes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(
         F.min(key).alias("rep"), F.first("n_shingles").alias("size"), F.first("buckets").alias("buckets")
     )
@@ -224,16 +224,12 @@ def sketches(docs: DataFrame, width: int, keep_text: bool = False) -> DataFrame:
 
 def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """Links (`a`, `b`) between nodes (their `d1`), enough to connect what is connected by links."""
-    spark = docs.sparkSession
     met = _met(docs, width, similarity)
-    release(spark)  # the signatures are the largest shuffle of all
     near = _canopies(met, nodes, similarity)
-    stars = cut(components(near).where("node <> component").select(F.col("component").alias("leader"), "node"))
-    release(spark)
-    deltas = cut(_differences(docs, stars, nodes, width, similarity))
-    release(spark)
+    stars = passed(components(near).where("node <> component").select(F.col("component").alias("leader"), "node"))
+    deltas = passed(_differences(docs, stars, nodes, width, similarity))
     links = deltas.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    links = cut(links.union(_by_slack(deltas)))
+    links = passed(links.union(_by_slack(deltas)))
     return links.union(_in_blocks(_undecided(deltas, links), similarity))
 
 
@@ -242,7 +238,7 @@ def _met(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     signed = docs.select("text").mapInArrow(_signed(width, similarity), "signature bigint, node bigint")
     sharing = Window.partitionBy("signature")
     led = signed.withColumn("leader", F.min("node").over(sharing)).where("node <> leader")
-    met = cut(led.select("leader", "node").distinct())
+    met = passed(led.select("leader", "node").distinct())
     return met.union(met.select("leader", "leader").distinct())
 
 
@@ -345,7 +341,7 @@ def _differences(docs: DataFrame, stars: DataFrame, nodes: DataFrame, width: int
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     members = stars.join(blocks, "leader").select("leader", "node", own.alias("at"))
     members = members.union(blocks.select("leader", F.col("leader").alias("node"), every.alias("at")))
-    wanted = cut(members.join(nodes.select(F.col("d1").alias("node"), "d1", "d2", "rep"), "node"))
+    wanted = passed(members.join(nodes.select(F.col("d1").alias("node"), "d1", "d2", "rep"), "node"))
     sets = map_slices(
         _texts(docs, wanted),
         "text",
