@@ -6,6 +6,10 @@ contexts are equal are repeated as a whole, which needs no more than counting; g
 string. What is left, the edges of repeated passages, goes to a suffix sort: starts with the same gram at the same
 distance are merge-sorted by their suffixes, two suffixes are compared by a binary search for their common extension on
 prefix polynomial hashes, and neighbours that agree on the whole length are verified byte by byte.
+
+A gram with too many contexts for one sort is divided by content first: starts whose distances are close to each other
+go together, and of those the ones that agree on the bytes that all strings of such starts hold. So equal strings meet
+in one sort, and a context has few parts, however many others its gram has.
 """
 
 from __future__ import annotations
@@ -29,9 +33,12 @@ SEEN = 200_000
 #: Words of 64 bits in the bitmap of texts that are needed again: a megabyte.
 SIEVE_WORDS = 1 << 17
 
-#: Contexts of one gram that are sorted together, on average, and starts that are sorted at a time, at least.
+#: Contexts that are sorted together, at most, and starts that are sorted at a time, at least.
 BLOCK, SORTED = 4096, 100_000
 
+#: Pieces into which the rows of a copied text are dealt.
+SALTS = 64
+
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
@@ -262,7 +269,7 @@ def _runs(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def compare(rows: list[dict], length: int) -> dict[str, np.ndarray]:
-    """Repeated starts among contexts, as runs; and of contexts in several blocks a hash for each different string."""
+    """Repeated starts among contexts, as runs."""
     rows = list({(r["gram"], r["key"], r["start"]): r for r in rows}.values())
     data = np.frombuffer(b"".join(r["context"] for r in rows), np.uint8)
     sizes = np.array([len(r["context"]) for r in rows])
@@ -277,26 +284,73 @@ def compare(rows: list[dict], length: int) -> dict[str, np.ndarray]:
     places = (np.cumsum(sizes) - sizes)[owner] + within
     suffixes = Suffixes(data, length)
     order = suffixes.sort(places, segment)
-    after = np.zeros(len(order), bool)  # equals the one before
+    repeated = np.zeros(len(order), bool)
     next_ = np.flatnonzero(segment[1:] == segment[:-1]) + 1  # segments keep their places
-    after[next_] = suffixes.equal(places[order[next_ - 1]], places[order[next_]])
-    repeated = after.copy()
-    repeated[:-1] |= after[1:]
+    same = next_[suffixes.equal(places[order[next_ - 1]], places[order[next_]])]
+    repeated[same] = repeated[same - 1] = True
     keys, starts = np.array([r["key"] for r in rows]), np.array([r["start"] for r in rows])
     at = np.sort(owner[order[repeated]] * (1 << 32) + within[order[repeated]])
     who, first, last = _runs(at >> 32, at & ((1 << 32) - 1))
-    none = np.zeros(len(who), np.int64)
-    out = [keys[who], starts[who] + first, starts[who] + last, none, none]
-    several = np.array([r["blocks"] > 1 for r in rows])
-    lone = order[~after & several[owner[order]]]
-    if len(lone):
-        base = starts[owner[lone]] + within[lone]
-        hashed = suffixes.hashes(places[lone], length)
-        # another polynomial of the same bytes, of the two halves
-        other = mix(suffixes.hashes(places[lone], length // 2)) ^ (segment[lone] % length).astype(np.uint64)
-        extra = [keys[owner[lone]], base, base, mix(hashed).view(np.int64) | 1, other.view(np.int64)]
-        out = [np.concatenate(c) for c in zip(out, extra)]
-    return dict(zip(("key", "from", "to", "x1", "x2"), out))
+    return {"key": keys[who], "from": starts[who] + first, "to": starts[who] + last}
+
+
+_CONTEXT = "gram bigint, key bigint, start bigint, distance int, context binary"
+
+
+def _divided(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """Contexts cut into those of starts with `width` neighbouring distances, `gram` now naming what these have in common.
+
+    That is the place of the distances and the bytes that all strings at these distances hold, `length` + 1 - `width`
+    of them. Equal strings are at the same distance, so they come under the same name.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "context"):
+                rows = []
+                for gram, key, start, distance, context in zip(*(c.to_pylist() for c in piece.columns)):
+                    hashes = Hashes(np.frombuffer(context, np.uint8))
+                    least = distance - (len(context) - length)
+                    of = np.arange(least // width, distance // width + 1)
+                    common = hashes(distance - of * width, length + 1 - width)
+                    names = mix(common ^ mix((of * 65536 + width).astype(np.uint64) ^ np.int64(gram).view(np.uint64)))
+                    for name, first in zip(names.view(np.int64).tolist(), (of * width).tolist()):
+                        far, near = min(distance, first + width - 1), max(least, first)
+                        at = distance - far
+                        rows.append((name, key, start + at, far, context[at : at + far - near + length]))
+                columns = list(zip(*rows)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CONTEXTS)], schema=_CONTEXTS)
+
+    return contexts.select("gram", "key", "start", "distance", "context").mapInArrow(run, _CONTEXT)
+
+
+def divide(contexts: DataFrame, length: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Contexts of common grams as parts that can be sorted, and runs of starts already known to be repeated.
+
+    Parts that agree byte by byte are repeated as a whole, and one of them goes on for all; parts with a name of their
+    own have no repeated string. Names that still have too many different parts are divided finer, and single strings
+    need no sort. What has a name in common agrees on all but `width` bytes, so a context goes on only where the edges
+    of a passage may lie.
+    """
+    coarse = max(1, length // 16)
+    parts, known = [], []
+    for width in sorted({coarse, max(1, coarse // 5), 1}, reverse=True):
+        if contexts.isEmpty():
+            break
+        pieces = cut(_divided(contexts, length, width))
+        place = F.struct("key", "start")
+        unique = pieces.groupBy("gram", "distance", "context").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+        unique = cut(unique)
+        same = unique.where("one <> other").select("gram", "distance", "context")
+        starts = (F.length("context") - length).cast("bigint")
+        runs = pieces.join(same, ["gram", "distance", "context"])
+        known.append(runs.select("key", F.col("start").alias("from"), (F.col("start") + starts).alias("to")))
+        sizes = unique.groupBy("gram").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+        open_ = unique.join(sizes, "gram").select("gram", "one.key", "one.start", "distance", "context", "different")
+        if width > 1:
+            parts.append(open_.where(F.col("different") <= BLOCK).drop("different"))
+        contexts = open_.where(F.col("different") > BLOCK).drop("different")
+    return parts, known
 
 
 def repeated_starts(docs: DataFrame, length: int) -> DataFrame:
@@ -320,7 +374,6 @@ def repeated_starts(docs: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("gram", "start", "starts", "distance", "all")).alias("asked")
     )
     texts = texts_of(docs, counted.where("open").select("key")).join(asked, "key")
-    several = F.ceil(F.col("all") / BLOCK).cast("int")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,26 +382,20 @@ def repeated_starts(docs: DataFrame, length: int) -> DataFrame:
                 for key, data, asked in zip(*(piece.column(c).to_pylist() for c in ("key", "data", "asked"))):
                     for a in asked:
                         context = data[a["start"] : a["start"] + a["starts"] + length - 1]
-                        rows.append((a["gram"], key, a["start"], a["distance"], a["all"], context))
+                        rows.append((a["gram"], key, a["start"], a["distance"], context, a["all"]))
                 columns = list(zip(*rows)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CONTEXTS)], schema=_CONTEXTS)
+                schema = _CONTEXTS.append(pa.field("all", pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    contexts = texts.mapInArrow(
-        extract, "gram bigint, key bigint, start bigint, distance int, all bigint, context binary"
-    )
-    contexts = contexts.withColumn("blocks", several).withColumn("block", F.pmod(F.xxhash64("key", "start"), "blocks"))
+    contexts = cut(texts.mapInArrow(extract, f"{_CONTEXT}, all bigint"))
+    parts, known = divide(contexts.where(F.col("all") > BLOCK).drop("all"), length)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        starts, now = 0, None
+        starts = 0
         for batch in batches:
             for row in batch.to_pylist():
-                if (row["gram"], row["block"]) != now and starts > SORTED:
-                    yield pa.RecordBatch.from_pydict(compare(held, length), schema=_STARTS)
-                    held, starts = [], 0
-                now = row["gram"], row["block"]
-                if held and held[-1]["gram"] == row["gram"] and held[-1]["block"] != row["block"]:
-                    # blocks of one gram are sorted apart
+                if starts > SORTED and row["gram"] != held[-1]["gram"]:
                     yield pa.RecordBatch.from_pydict(compare(held, length), schema=_STARTS)
                     held, starts = [], 0
                 held.append(row)
@@ -356,12 +403,14 @@ def repeated_starts(docs: DataFrame, length: int) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_pydict(compare(held, length), schema=_STARTS)
 
-    dealt = spread(contexts, "gram", "block").sortWithinPartitions("gram", "block")
-    edges = cut(dealt.mapInArrow(sort, "key bigint, `from` bigint, `to` bigint, x1 bigint, x2 bigint"))
-    across = edges.where("x1 <> 0")
-    common = across.groupBy("x1", "x2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x1", "x2")
-    across = across.join(common, ["x1", "x2"]).select("key", "from", "to")
-    return whole.union(edges.where("x1 = 0").select("key", "from", "to")).union(across)
+    sorted_ = contexts.where(F.col("all") <= BLOCK).drop("all")
+    for part in parts:
+        sorted_ = sorted_.union(part)
+    dealt = spread(sorted_, "gram").sortWithinPartitions("gram")
+    starts = whole.union(dealt.mapInArrow(sort, "key bigint, `from` bigint, `to` bigint"))
+    for runs in known:
+        starts = starts.union(runs)
+    return starts
 
 
 _CONTEXTS = pa.schema(
@@ -370,11 +419,10 @@ _CONTEXTS = pa.schema(
         ("key", pa.int64()),
         ("start", pa.int64()),
         ("distance", pa.int32()),
-        ("all", pa.int64()),
         ("context", pa.binary()),
     ]
 )
-_STARTS = pa.schema([(c, pa.int64()) for c in ("key", "from", "to", "x1", "x2")])
+_STARTS = pa.schema([(c, pa.int64()) for c in ("key", "from", "to")])
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -386,11 +434,11 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
 
     A null text is empty; texts shorter than `length` stay as they are; repeated rows repeat each other and go whole. An
     empty frame gives an empty frame. Long texts are hashed in stretches. A passage with thousands of different
-    surroundings is compared in blocks, which then exchange hashes of what they hold.
+    surroundings is divided by what these have in common. Rows of copied texts, known by their count, go on in pieces.
     """
     named = cut(_named(docs))
     copies = named.where(f"n_bytes >= {length}").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-    copies = copies.where("copies > 1").select("key", F.lit(True).alias("copied"))
+    copies = cut(copies.where("copies > 1").select("key", F.lit(True).alias("copied")))
     starts = cut(repeated_starts(docs, length).join(copies.select("key"), "key", "left_anti"))
     runs = starts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs"))
     texts = texts_of(docs, starts.select("key")).join(runs, "key").dropDuplicates(["key"])
@@ -416,13 +464,25 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LEFT)], schema=_LEFT)
 
     left = texts.mapInArrow(run, "key bigint, removed bigint, spans bigint, left_sha256 string")
-    made = named.join(left, "key", "left").join(copies, "key", "left")
-    return made.select(
+    dealt = copies.withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    salted = named.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    marked = cut(salted.join(dealt, ["key", "salt"], "left"))
+    single = marked.where("copied is null").join(left, "key", "left")
+    copied = marked.where("copied").select(
         "doc_id",
         "n_bytes",
-        F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("copied"), 1).otherwise(F.coalesce("spans", F.lit(0))).cast("bigint").alias("n_spans"),
-        F.when(F.col("copied"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("left_sha256", "sha256")).alias("kept_sha256"),
+        F.col("n_bytes").alias("n_removed"),
+        F.lit(1).cast("bigint").alias("n_spans"),
+        F.sha2(F.lit(""), 256).alias("kept_sha256"),
+    )
+    return copied.union(
+        single.select(
+            "doc_id",
+            "n_bytes",
+            F.coalesce("removed", F.lit(0)).cast("bigint").alias("n_removed"),
+            F.coalesce("spans", F.lit(0)).cast("bigint").alias("n_spans"),
+            F.coalesce("left_sha256", "sha256").alias("kept_sha256"),
+        )
     )
 
 

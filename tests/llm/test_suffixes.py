@@ -81,3 +81,17 @@ def test_stretches_of_a_long_text(spark, monkeypatch):
 def test_query(run, table):
     rows = [tuple(r) for r in table("documents").select("doc_id", "text").collect()]
     assert sorted(map(tuple, run("op5_suffix_array_dedup")), key=str) == expected(rows, 400)
+
+
+def test_common_passage_in_many_surroundings(spark, monkeypatch):
+    """A gram with more contexts than are sorted together: its rows stay in proportion to the texts, and results exact."""
+    monkeypatch.setattr(suffixes, "BLOCK", 8)
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    long, short = text(130), text(70)
+    rows = [(i, text(90) + (long if i % 2 else short) + text(90)) for i in range(80)]
+    rows += [(100 + i, "q" * i + long[20:] + "r") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert shown(suffixes.remove_repeats(docs, 80)) == expected(rows, 80)
+    starts = suffixes.repeated_starts(docs, 80)
+    assert starts.count() < 8 * len(rows)
