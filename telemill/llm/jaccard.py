@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -38,6 +38,9 @@ SIEVE_WORDS = 1 << 17
 #: Nodes of a leader that are compared with each other at a time, on average.
 BLOCK = 512
 
+#: Rounds in which pairs of blocks are compared, at most. More rounds hold less on disk at a time, the work is the same.
+MOST_ROUNDS = 32
+
 
 @lru_cache(maxsize=64)
 def bands(similarity: Fraction, largest: int) -> np.ndarray:
@@ -412,7 +415,11 @@ def _undecided(deltas: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
-    """Links between nodes of one leader, from all pairs of its blocks; a forest per pair of blocks."""
+    """Links between nodes of one leader, from all pairs of its blocks; a forest per pair of blocks.
+
+    Rows are dealt to as many pairs as their leader has blocks, in as many rounds as they have copies on average. So
+    disks hold about as much of them at a time as the rows themselves take. Every pair has its round.
+    """
     part, whole = _share(similarity)
 
     def forest(group: pd.DataFrame) -> pd.DataFrame:
@@ -443,5 +450,13 @@ def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
         return pd.DataFrame({"a": nodes[label[other]], "b": nodes[other]})
 
     count = rows.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = _dealt(rows.join(count, "leader")).select("leader", "i", "j", "node", "size", "delta")
-    return dealt.groupBy("leader", "i", "j").applyInPandas(forest, "a bigint, b bigint")
+    rows = passed(rows.join(count, "leader"))
+    n, copies = rows.agg(F.count(F.lit(1)), F.sum("blocks")).first()
+    rounds = min(MOST_ROUNDS, -(-copies // n)) if n else 1
+    dealt = _dealt(rows).select("leader", "i", "j", "node", "size", "delta")
+    turn = F.pmod(F.xxhash64("leader", "i", "j"), F.lit(rounds))
+    found = [
+        passed(dealt.where(turn == i).groupBy("leader", "i", "j").applyInPandas(forest, "a bigint, b bigint"))
+        for i in range(rounds)
+    ]
+    return reduce(DataFrame.union, found)
