@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -8,6 +9,7 @@ from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
 
 import telemill as tm
+from telemill.functions import avro
 from telemill.functions.avro import decode_batch, segment_lines
 from telemill.operators.rank import running_rank
 
@@ -216,3 +218,26 @@ def test_running_rank(spark):
     ranked = running_rank(df, ["hot", "warm", "id"]).orderBy("warm", "id").collect()
     assert [r.rank for r in ranked] == list(range(3000))
     assert running_rank(df.where("id < 0"), ["hot", "id"]).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, 7, 40, 1 << 20])
+def test_slices_of_a_batch_give_what_whole_messages_give(monkeypatch, most):
+    values = [bytes.fromhex(h) for h, _ in UNUSUAL.values()] + list(BROKEN.values()) + [b"\x02"]
+    values += [segment_bytes([b"a" * n, "é".encode(), b""][: n % 4], 1, n % 2) for n in range(40)]
+    random.Random(3).shuffle(values)
+    monkeypatch.setattr(avro, "SLICE", most)
+    batch = pa.array([b"in front", *values, None], pa.binary())[1:]
+    assert decode_batch(batch).to_pylist() == [one_by_one(v) for v in [*values, None]]
+
+
+def test_memory_of_a_batch_of_short_lines(monkeypatch):
+    """The places of all lines at once took 23 times the bytes of the messages."""
+    batch = pa.array([segment_bytes([b"ab"] * 50, 1, False)] * 40_000, pa.binary())
+    monkeypatch.setattr(avro, "SLICE", 1 << 16)
+    tracemalloc.start()
+    try:
+        decode_batch(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * batch.nbytes
