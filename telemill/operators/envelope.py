@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,6 +18,9 @@ NULL_ENVELOPE = "NULL_ENVELOPE"
 
 LINEAGE = ("topic", "partition", "offset", "timestamp")
 
+# Buckets with more lines than this are listed and broadcast: a row for so many lines at most.
+BUSY = 20_000
+
 
 def decode_segments(df: DataFrame, on_error: str = "mark", codec: str = "arrow") -> DataFrame:
     """Decode `value` of a Kafka-shaped frame into `lines array<string>`.
@@ -83,7 +86,8 @@ def pack_segments(
     bucket of nothing else gives no message. Places are whole numbers, NULL is a
     place of its own. Buckets are counted first. Those with more than `size`
     lines, whose places repeat, are numbered throughout in order of their places,
-    spread over ranges, and cut at every `size`: no task holds a whole bucket.
+    spread over ranges, and cut at every `size`: no task holds a whole bucket of
+    more than BUSY lines.
     """
     if size < 1:
         raise ValueError("size must be positive")
@@ -99,15 +103,24 @@ def pack_segments(
     framed = df.select(*by, bucket.alias("bucket"), item.alias("item"), *times)
     keys = [*by, "bucket"]
     overfull = framed.groupBy(*keys).agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") > size)
-    overfull = reliable(overfull.select(*keys))
-    if overfull.isEmpty():
-        packed = _gather(framed, keys, stamp)
-    else:
-        same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"o.`{k}`")) for k in keys]
-        rest = framed.alias("l").join(overfull.alias("o"), same, "left_anti")
-        repeated = framed.alias("l").join(overfull.alias("o"), same, "left_semi")
-        pieces = _cut_overfull(repeated, keys, size)
-        packed = _gather(rest, keys, stamp).unionByName(_gather(pieces, [*keys, "piece"], stamp).drop("piece"))
+    overfull = reliable(overfull)
+    is_busy = F.col("lines") > BUSY
+    busy, others = overfull.agg(F.count_if(is_busy), F.count_if(~is_busy)).first()
+    parts = []
+    if busy:
+        # shuffled by its key, such a bucket would come to one task
+        listed = F.broadcast(overfull.where(is_busy).select(*keys))
+        repeated = _by_bucket(framed, listed, keys, "left_semi")
+        framed = _by_bucket(framed, listed, keys, "left_anti")
+        parts.append(_gather(_cut_overfull(repeated, keys, size, F.broadcast), [*keys, "piece"], stamp))
+    if others:
+        listed = overfull.where(~is_busy).select(*keys)
+        repeated = _by_bucket(framed, listed, keys, "left_semi")
+        framed = _by_bucket(framed, listed, keys, "left_anti")
+        parts.append(_gather(_cut_overfull(repeated, keys, size), [*keys, "piece"], stamp))
+    packed = _gather(framed, keys, stamp)
+    for part in parts:
+        packed = packed.unionByName(part.drop("piece"))
     value = avro.seal(F.col("items.frame"), F.size("items")).alias("value")
     return packed.select(*by, "bucket", value, *(["timestamp"] if stamp else []))
 
@@ -118,13 +131,19 @@ def _gather(framed: DataFrame, keys: Sequence[str], stamp: str | None) -> DataFr
     return framed.groupBy(*keys).agg(F.array_sort(F.collect_list("item")).alias("items"), *earliest)
 
 
-def _cut_overfull(framed: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Add `piece`: the lines of each bucket numbered by place and cut at every `size`."""
+def _by_bucket(lines: DataFrame, buckets: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
+    return lines.alias("l").join(buckets.alias("b"), same, how)
+
+
+def _cut_overfull(
+    framed: DataFrame, keys: Sequence[str], size: int, sent: Callable[[DataFrame], DataFrame] = lambda buckets: buckets
+) -> DataFrame:
+    """Add `piece`: the lines of each bucket numbered by place and cut at every `size`; `sent` may broadcast the buckets."""
     tied = framed.withColumn("_tie", F.monotonically_increasing_id())  # lines may be equal, too
     ranked = running_rank(tied, [*keys, "item.at", F.xxhash64("item"), "_tie"], "_rank").drop("_tie")
     first = ranked.groupBy(*keys).agg(F.min("_rank").alias("_first"))
-    same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"f.`{k}`")) for k in keys]
-    joined = ranked.alias("l").join(first.alias("f"), same)
+    joined = _by_bucket(ranked, sent(first), keys, "inner")
     piece = F.call_function("div", F.col("_rank") - F.col("_first"), F.lit(size)).alias("piece")
     return joined.select(*[F.col(f"l.`{c}`") for c in framed.columns], piece)
 

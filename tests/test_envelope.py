@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import telemill as tm
 from telemill.functions import avro
 from telemill.functions.avro import decode_batch, segment_lines
+from telemill.operators import envelope
 from telemill.operators.rank import running_rank
 
 GOLDEN = [
@@ -241,3 +242,22 @@ def test_memory_of_a_batch_of_short_lines(monkeypatch):
     finally:
         tracemalloc.stop()
     assert peak < 6 * batch.nbytes
+
+
+def test_no_task_gets_all_lines_of_a_busy_bucket(spark, monkeypatch):
+    """Joined by its key, the one bucket of all lines came to one task, which then packed it, too."""
+    monkeypatch.setattr(envelope, "BUSY", 1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 5000, numPartitions=8).selectExpr("7 as at", "cast(id as string) as line")
+        some = spark.range(300).selectExpr("cast(if(id < 120, 60, 100 + id) as int) as at", "'s' || id as line")
+        packed = tm.pack_segments(df, 50, pos="at")
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+        mixed = tm.pack_segments(df.union(some), 50, pos="at").withColumnRenamed("bucket", "offset")
+        out = tm.decode_segments(mixed).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert sorted(x for r in out for x in r.lines) == sorted(r.line for r in df.union(some).collect())
+    assert sorted(len(r.lines) for r in out if r.offset == 1) == [20, 50, 50]
+    assert max(len(r.lines) for r in out) == 50 and len([r for r in out if r.offset == 0]) == 100
