@@ -38,7 +38,9 @@ EDGE = 10
 #: A tile with at least so many entries is counted in a dense vector of all its cells.
 DENSE = 1 << 2 * EDGE - 5
 #: Words per group of tiles, messages that one task adds up for a group, and entries that it holds before it adds.
-GROUP_WORDS, FAN_IN, HELD = 1 << 21, 256, 1 << 22
+GROUP_WORDS, FAN_IN, HELD = 1 << 21, 256, 1 << 20
+#: Entries that are added at a time, on average: tiles are dealt to so many parts.
+PART = 1 << 18
 
 _BREAK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 _GAP = _BREAK | np.isin(np.arange(256), [0x20, 0x09])
@@ -197,13 +199,10 @@ def _added(least: int):
     """Adds up the messages to each group, which come one after the other; pairs below `least` are left out."""
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
-        group, held, size = None, [], 0
-
-        def total():
-            return tiled_sum(*(np.concatenate(x) for x in zip(*held)))
+        group, held, size, distinct = None, [], 0, 0
 
         def made():
-            p, q, n = total()
+            p, q, n = _sum_by_parts(held)
             kept = n >= least
             if kept.any():
                 yield {"group": group, "p": p[kept], "q": q[kept], "n": n[kept]}
@@ -212,18 +211,34 @@ def _added(least: int):
             if row["group"] != group:
                 if held:
                     yield from made()
-                group, held, size = row["group"], [], 0
+                group, held, size, distinct = row["group"], [], 0, 0
             held.append(tuple(np.frombuffer(row[c], np.int64) for c in "pqn"))
             size += len(held[-1][0])
-            if size > HELD:
-                held = [total()]
-                size = len(held[0][0]) // 2  # what is distinct already counts half, so that adding stays linear
+            if size > max(HELD, distinct):  # as many new ones as there are distinct ones, so that adding stays linear
+                held = [_sum_by_parts(held)]
+                size, distinct = 0, len(held[0][0])
         if held:
             yield from made()
 
     return run
 
 
+def _sum_by_parts(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`tiled_sum` of all that is held, which is emptied; whole tiles of some parts at a time, as adding takes much room."""
+    p, q, n = (np.concatenate(x) for x in zip(*held))
+    held.clear()
+    parts = min(256, -(-len(p) // PART))
+    if parts < 2:
+        return tiled_sum(p, q, n)
+    part = (mix((p >> EDGE).astype(np.uint64) + mix((q >> EDGE).astype(np.uint64))) % np.uint64(parts)).astype(np.uint8)
+    order = np.argsort(part, kind="stable")
+    ends = np.cumsum(np.bincount(part, minlength=parts))
+    p, q, n = p[order], q[order], n[order]
+    del part, order
+    made = [tiled_sum(p[a:b], q[a:b], n[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+    return tuple(np.concatenate(x) for x in zip(*made))
+
+
 def _listed(rows: Iterator[dict]) -> Iterator[dict]:
     for row in rows:
         yield {"group": row["group"], **{c: np.frombuffer(row[c], np.int64).tolist() for c in "pqn"}}

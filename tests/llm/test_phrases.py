@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -89,3 +90,26 @@ def test_messages_in_several_salts_and_slices(spark):
     want = Counter((r["group"], x) for r in sent for x in r["p"].tolist())
     got = {(r["group"], p): n for r in sums for p, n in zip(r["p"].tolist(), r["n"].tolist())}
     assert got == {k: n for k, n in want.items() if n >= 2}
+
+
+def test_adding_many_distinct_pairs_takes_little_room(monkeypatch):
+    """With all tiles added at once, and again with every message, the largest step took 156 bytes an entry."""
+    monkeypatch.setattr(phrases, "HELD", 1 << 14)
+    monkeypatch.setattr(phrases, "PART", 1 << 12, raising=False)
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(0, 1 << 17, (400_000, 2))
+    pairs[::4] = pairs[0] % 50  # one hot pair
+    rows = [{"group": 1} | {c: x.tobytes() for c, x in zip("pqn", (*np.ascontiguousarray(some.T), np.ones(len(some), np.int64)))}
+            for some in np.array_split(pairs, 40)]
+    tracemalloc.start()
+    try:
+        made = list(phrases._added(2)(iter(rows))) + list(phrases._added(1)(iter(rows)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    expected, counts = np.unique(pairs, axis=0, return_counts=True)
+    for (least, row) in ((2, made[0]), (1, made[1])):
+        order = np.lexsort((row["q"], row["p"]))
+        assert np.array_equal(np.stack([row["p"], row["q"]], 1)[order], expected[counts >= least])
+        assert np.array_equal(row["n"][order], counts[counts >= least])
+    assert peak < 110 * len(expected)
