@@ -36,6 +36,17 @@ def _start(
     return start_drainable(writer, write, frame.sparkSession, checkpoint)
 
 
+def _by_time(batch: DataFrame) -> DataFrame:
+    """A batch that came in fewer parts than the session has cores, dealt in runs of time before anything is decoded.
+
+    So all cores work on it, and the tasks' rows lie in few folders each. Messages of one time are told apart by offset.
+    """
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    parts = batch.select(F.spark_partition_id().alias("part")).distinct().count()
+    order = [c for c in ("timestamp", "topic", "partition", "offset") if c in batch.columns]
+    return batch.repartitionByRange(cores, *order) if 0 < parts < cores and order else batch
+
+
 def ingest_stream(
     messages: DataFrame,
     log_type: str | LogType,
@@ -103,10 +114,8 @@ def ingest_stream(
         if _exists(batch.sparkSession, place):
             return
         observation = Observation()
-        if coverage is None:
-            store(batch, observation, batch_id)
-        else:
-            store(lines_of(batch), observation, batch_id)
+        store(lines_of(_by_time(batch)), observation, batch_id)
+        if coverage is not None:
             record_coverage(batch, coverage, f"{writer}-{batch_id:09d}")
         metrics = observation.get
         values = [F.lit(metrics.get(m)).cast(t).alias(m) for m, t in METRICS.items()]
@@ -114,7 +123,7 @@ def ingest_stream(
         report.write.mode("overwrite").json(place)
         log_batch(name, spec, batch_id, metrics)
 
-    return _start(lines_of(messages) if coverage is None else messages, write, checkpoint, interval, name)
+    return _start(messages, write, checkpoint, interval, name)
 
 
 def log_batch(name: str, spec: LogType, batch_id: int, metrics: dict) -> None:
@@ -160,6 +169,6 @@ def archive_stream(
     writer = stream_writer(messages.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_archive(batch, path, f"{writer}-{batch_id:09d}", rebalance)
+        write_archive(archive_lines(_by_time(batch), codec), path, f"{writer}-{batch_id:09d}", rebalance)
 
-    return _start(archive_lines(messages, codec), write, checkpoint, interval, name or f"archive-{writer[-8:]}")
+    return _start(messages, write, checkpoint, interval, name or f"archive-{writer[-8:]}")

@@ -1,4 +1,5 @@
 import logging
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,3 +189,22 @@ def test_empty_batches_are_reported(spark, topic, tmp_path, caplog):
     assert [(r.rows, r.bad_rows) for r in tm.read_reports(spark, check).collect()] == [(0, 0)]
     assert "empty: batch 0: no new segments" in caplog.text
     assert tm.read_reports(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_a_batch_from_one_file_is_dealt_over_all_cores_by_time(spark, tmp_path):
+    """One task decoded and wrote the whole batch, minute after minute."""
+    stamp = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 20).alias("timestamp")
+    framed = spark.range(0, 400, numPartitions=1).select(
+        F.array(F.concat(F.lit("line "), F.col("id").cast("string"))).alias("lines"), F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), stamp, F.lit(None).cast("binary").alias("key"),
+    )
+    tm.encode_segments(framed).write.parquet(f"{tmp_path}/messages")
+    stream = tm.read_segment_files(spark, f"{tmp_path}/messages", streaming=True)
+    tm.archive_stream(stream, f"{tmp_path}/lines", f"{tmp_path}/check", interval=None).awaitTermination()
+    lines = tm.read_archive(spark, f"{tmp_path}/lines")
+    assert sorted(r.line for r in lines.collect()) == sorted(f"line {i}" for i in range(400))
+    files = [f for _, _, names in os.walk(f"{tmp_path}/lines") for f in names if f.startswith("part-")]
+    cores = spark.sparkContext.defaultParallelism
+    minutes = lines.select("segment").distinct().count()
+    tasks = {f.split("-")[1] for f in files}
+    assert min(2, cores) <= len(tasks) <= cores and minutes <= len(files) < minutes + cores
