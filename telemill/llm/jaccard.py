@@ -190,9 +190,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
 
     * Two nodes whose distances from their leader add up to no more than a link's are linked. The node with the most
       slack stands in for all of them.
-    * Where a leader's nodes are then in more than one component, they are compared with each other in blocks of bounded
-      size. A task has two blocks, as sets of differences from the leader, and gives a spanning forest of its links, never
-      its pairs. This part is quadratic in the number of different sets that are near each other and yet not linked.
+    * Where a leader's nodes are then in more than one component, those that share none of their rarest elements, as many
+      as a link cannot do without, are told apart. What these elements connect is compared with each other in blocks of
+      bounded size. A task has two blocks, as sets of differences from the leader, and gives a spanning forest of its
+      links, never its pairs. This part is quadratic in the number of different sets that rare elements connect and that
+      are yet not linked.
     """
     similarity = Fraction(similarity)
     key = F.coalesce("doc_id", F.lit(NO_ID))
@@ -233,7 +235,7 @@ def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction)
     deltas = passed(_differences(docs, stars, nodes, width, similarity))
     links = deltas.where("linked").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = passed(links.union(_by_slack(deltas)))
-    return links.union(_in_blocks(_undecided(deltas, links), similarity))
+    return links.union(_in_blocks(_undecided(deltas, links, similarity), similarity))
 
 
 def _met(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
@@ -310,10 +312,16 @@ def _canopies(met: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFra
     return rows.sortWithinPartitions("leader", "i", "j", "node").mapInArrow(run, "a bigint, b bigint")
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows of a `leader` with `blocks`, once for each pair `i`, `j` of blocks that they are in."""
+def _dealt(rows: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
+    """Rows of a `leader` with `blocks`, once for each pair `i`, `j` of blocks that they are in and whose round it is.
+
+    That of a pair is the remainder of `i` + `j`, so a round only makes its own copies.
+    """
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    first = F.pmod(F.lit(turn) - F.col("own"), F.lit(rounds))
+    rows = rows.withColumn("own", own).withColumn("first", first).where("first < blocks")
+    others = F.sequence(F.col("first"), F.col("blocks") - 1, F.lit(rounds))
+    dealt = rows.withColumn("other", F.explode(others)).drop("first")
     return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
 
@@ -334,6 +342,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _differences(docs: DataFrame, stars: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
     """Per leader and node the elements that only one of them has, and whether the two are linked.
 
+    Of these elements the first `added` are the node's, the others the leader's.
+
     A link between sets of a and b elements allows (a + b) * part / whole differing ones; `slack` is what a node leaves
     of its own share, in units of 1 / whole. The sets come from the texts whose digest is the node's. A large star is
     dealt out in blocks, each with the leader before its nodes, which pass one by one.
@@ -367,16 +377,17 @@ def _differences(docs: DataFrame, stars: DataFrame, nodes: DataFrame, width: int
                 if (leader, block) != now:
                     now, first = (leader, block), mine  # the leader is the smallest node
                     continue
-                delta = np.setxor1d(first, mine, assume_unique=True)
+                added = np.setdiff1d(mine, first, assume_unique=True)
+                delta = np.concatenate([added, np.setdiff1d(first, mine, assume_unique=True)])
                 far = whole * len(delta)
                 linked = far <= part * (len(first) + len(mine))
-                rows.append((leader, node, len(mine), delta, linked, part * len(mine) - far))
+                rows.append((leader, node, len(mine), delta, len(added), linked, part * len(mine) - far))
             columns = list(zip(*rows)) or [[]] * len(_DELTAS)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _DELTAS)], schema=_DELTAS)
 
     sorted_ = spread(dealt, "leader", "block").sortWithinPartitions("leader", "block", "node")
     return sorted_.mapInArrow(
-        run, "leader bigint, node bigint, size bigint, delta array<bigint>, linked boolean, slack bigint"
+        run, "leader bigint, node bigint, size bigint, delta array<bigint>, added int, linked boolean, slack bigint"
     )
 
 
@@ -386,6 +397,7 @@ _DELTAS = pa.schema(
         ("node", pa.int64()),
         ("size", pa.int64()),
         ("delta", pa.list_(pa.int64())),
+        ("added", pa.int32()),
         ("linked", pa.bool_()),
         ("slack", pa.int64()),
     ]
@@ -405,13 +417,39 @@ def _by_slack(deltas: DataFrame) -> DataFrame:
     return close.select(F.col("best.node").alias("a"), F.col("node").alias("b"))
 
 
-def _undecided(deltas: DataFrame, links: DataFrame) -> DataFrame:
-    """Those rows of `deltas` whose leader has nodes of different components."""
+def _undecided(deltas: DataFrame, links: DataFrame, similarity: Fraction) -> DataFrame:
+    """Those rows of `deltas` that may have links between components, by what their rarest elements connect (`leader`)."""
     labels = components(links)
-    labelled = deltas.select("leader", "node").join(labels, "node", "left")
-    label = F.coalesce("component", "node")
-    mixed = labelled.groupBy("leader").agg((F.min(label) != F.max(label)).alias("split")).where("split").select("leader")
-    return deltas.join(mixed, "leader").select("leader", "node", "size", "delta")
+    labelled = deltas.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    split = F.min("label") != F.max("label")
+    mixed = labelled.groupBy("leader").agg(split.alias("split")).where("split").select("leader")
+    rows = passed(labelled.join(mixed, "leader").select("leader", "node", "size", "delta", "added", "label"))
+    met = components(_sharing(rows, similarity)).withColumnRenamed("component", "connected")
+    rows = rows.drop("leader").join(met, "node").withColumnRenamed("connected", "leader")
+    mixed = rows.groupBy("leader").agg(split.alias("split")).where("split").select("leader")
+    return rows.join(mixed, "leader").select("leader", "node", "size", "delta")
+
+
+def _sharing(rows: DataFrame, similarity: Fraction) -> DataFrame:
+    """Edges (`a`, `b`) that connect every two linked nodes of a leader.
+
+    Two linked sets of sizes a <= b share at least b * similarity elements, and (a + b) * similarity / (1 + similarity). So
+    in any one order of elements, the first ones of each set, as many as it may lack and one more, have one in common; for
+    the smaller set fewer do (`few`) than for the larger (`most`). Here the order is from rare to frequent among the
+    leader's nodes, and the leader's own elements come last: nodes whose first ones reach into these stand together.
+    """
+    few, most = 2 * similarity / (1 + similarity), similarity
+    prefix = lambda s: F.expr(f"size - (size * {s.numerator} + {s.denominator - 1}) div {s.denominator} + 1")
+    rows = rows.withColumn("few", prefix(few)).withColumn("most", prefix(most))
+    element = F.explode(F.slice("delta", F.lit(1), F.col("added"))).alias("element")
+    added = rows.select("leader", "node", "few", "most", element)
+    counted = added.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("leader", "element")))
+    order = Window.partitionBy("leader", "node").orderBy("n", "element")
+    rare = counted.withColumn("rank", F.row_number().over(order)).where("rank <= most and n > 1")
+    reaching = rows.where("added < most").select("leader", F.lit(None).cast("bigint"), "node", F.expr("added < few"))
+    keys = rare.select("leader", "element", "node", F.expr("rank <= few").alias("early")).union(reaching)
+    centre = F.min(F.expr("if(early, node, null)")).over(Window.partitionBy("leader", "element"))
+    return keys.select(centre.alias("a"), F.col("node").alias("b")).where("a is not null")
 
 
 def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
@@ -453,10 +491,8 @@ def _in_blocks(rows: DataFrame, similarity: Fraction) -> DataFrame:
     rows = passed(rows.join(count, "leader"))
     n, copies = rows.agg(F.count(F.lit(1)), F.sum("blocks")).first()
     rounds = min(MOST_ROUNDS, -(-copies // n)) if n else 1
-    dealt = _dealt(rows).select("leader", "i", "j", "node", "size", "delta")
-    turn = F.pmod(F.xxhash64("leader", "i", "j"), F.lit(rounds))
-    found = [
-        passed(dealt.where(turn == i).groupBy("leader", "i", "j").applyInPandas(forest, "a bigint, b bigint"))
-        for i in range(rounds)
-    ]
+    found = []
+    for turn in range(rounds):
+        dealt = _dealt(rows, turn, rounds).select("leader", "i", "j", "node", "size", "delta")
+        found.append(passed(dealt.groupBy("leader", "i", "j").applyInPandas(forest, "a bigint, b bigint")))
     return reduce(DataFrame.union, found)

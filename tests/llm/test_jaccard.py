@@ -116,3 +116,28 @@ def test_query(run, table):
     rows = [tuple(r) for r in table("documents").select("doc_id", "text").collect()]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in run("op9_ngram_jaccard_join")), key=str)
     assert got == expected(rows, 3, "0.9")
+
+
+def test_near_unlinked_sets_are_not_compared(spark, monkeypatch):
+    """Of texts that share three quarters with one another, only those that share rare words too are dealt to blocks."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    base = [word() for _ in range(100)]
+    own = lambda n: base + [word() for _ in range(n)]
+    texts = [own(17) for _ in range(150)]
+    texts += [t[:-2] + [word(), word()] for t in texts[:10]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    dealt, whole = [], jaccard._in_blocks
+    monkeypatch.setattr(jaccard, "_in_blocks", lambda rows, s: (dealt.append(rows.count()), whole(rows, s))[1])
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    assert grouped(spark.createDataFrame(rows, "doc_id bigint, text string"), 1, "0.8") == expected(rows, 1, "0.8")
+    assert dealt and dealt[0] <= 40
+
+
+def test_rounds_deal_every_pair_once(spark):
+    rows = spark.range(500).selectExpr("id as node", "id % 3 as leader", "cast(1 + id % 3 * 7 as int) as blocks")
+    columns = ["leader", "i", "j", "node"]
+    rounds = [jaccard._dealt(rows, i, 4).select(columns).collect() for i in range(4)]
+    assert sorted(r for part in rounds for r in part) == sorted(jaccard._dealt(rows).select(columns).collect())
+    pairs = [{(r.leader, r.i, r.j) for r in part} for part in rounds]
+    assert not any(a & b for i, a in enumerate(pairs) for b in pairs[:i])
