@@ -253,17 +253,17 @@ def _canopies(met: DataFrame, nodes: DataFrame, similarity: Fraction) -> DataFra
     Distances of bucket counts are bounds of the sets' and keep the triangle inequality. A node that is in no core yet
     becomes a centre; what is within `core` of it is in its core, and what is within `core` and a link's length is
     connected with it. So a node's links are connected with the centre of its core. Under one leader that is done in
-    blocks, two at a time, and gives a forest.
+    blocks, two at a time, and gives a forest. Counts are small, so blocks are larger here and make fewer copies.
     """
     part, whole = _share(similarity)
-    counts = met.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    counts = met.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).cast("int").alias("blocks"))
     known = nodes.select(F.col("d1").alias("node"), "size", "buckets")
     rows = _dealt(met.join(counts.where("blocks > 1"), "leader", "left").fillna(1, ["blocks"]).join(known, "node"))
     rows = spread(rows.select("leader", "i", "j", "node", "size", "buckets"), "leader", "i", "j")
 
     def forest(nodes: np.ndarray, sizes: np.ndarray, buckets: list[bytes]) -> tuple[list[int], list[int]]:
         least = min(map(len, buckets))
-        counts = np.stack([np.frombuffer(b, np.uint8).reshape(-1, least).sum(axis=0) for b in buckets]).astype(np.int64)
+        counts = np.stack([np.frombuffer(b, np.uint8).reshape(-1, least).sum(axis=0) for b in buckets]).astype(np.int32)
         most = int(sizes.max())
         link = part * (most + most * similarity.denominator // similarity.numerator) // whole
         left, right = [], []
@@ -325,18 +325,23 @@ def _dealt(rows: DataFrame, turn: int = 0, rounds: int = 1) -> DataFrame:
     return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of `wanted`, by id.
+def _sieved(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows that have a `key` of `wanted`, and few others, without a shuffle of them.
 
-    So that not all texts are shuffled for a few, a bitmap of hashed ids goes ahead, of at most SIEVE_WORDS rows
-    whatever the input is. It lets more through the more ids are wanted, and all of them at worst.
+    A bitmap of hashed keys goes ahead, of at most SIEVE_WORDS rows whatever the input is. It lets more through the more
+    keys are wanted, and all of them at worst.
     """
-    word = F.expr(f"cast(pmod(xxhash64(rep), {64 * SIEVE_WORDS}) div 64 as int)")
-    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))")
+    word = F.expr(f"cast(pmod(xxhash64({key}), {64 * SIEVE_WORDS}) div 64 as int)")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({key}), 64) as int))")
     words = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    sieved = rows.join(F.broadcast(words), word == F.col("word"))
+    return sieved.where(F.col("bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of `wanted`, by id; not all texts are shuffled for a few."""
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text")
-    sieved = texts.join(F.broadcast(words), word == F.col("word"))
-    return sieved.where(F.col("bits").bitwiseAND(bit) != 0).select("rep", "text").join(wanted, "rep")
+    return _sieved(texts, wanted, "rep").join(wanted, "rep")
 
 
 def _differences(docs: DataFrame, stars: DataFrame, nodes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
@@ -418,16 +423,22 @@ def _by_slack(deltas: DataFrame) -> DataFrame:
 
 
 def _undecided(deltas: DataFrame, links: DataFrame, similarity: Fraction) -> DataFrame:
-    """Those rows of `deltas` that may have links between components, by what their rarest elements connect (`leader`)."""
+    """Those rows of `deltas` that may have links between components, by what their rarest elements connect (`leader`).
+
+    What is wanted is found by names alone; elements are only shuffled for the nodes that are then left.
+    """
     labels = components(links)
-    labelled = deltas.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    label = F.coalesce("component", "node").alias("label")
+    named = passed(deltas.select("leader", "node").join(labels, "node", "left").select("leader", "node", label))
     split = F.min("label") != F.max("label")
-    mixed = labelled.groupBy("leader").agg(split.alias("split")).where("split").select("leader")
-    rows = passed(labelled.join(mixed, "leader").select("leader", "node", "size", "delta", "added", "label"))
-    met = components(_sharing(rows, similarity)).withColumnRenamed("component", "connected")
-    rows = rows.drop("leader").join(met, "node").withColumnRenamed("connected", "leader")
-    mixed = rows.groupBy("leader").agg(split.alias("split")).where("split").select("leader")
-    return rows.join(mixed, "leader").select("leader", "node", "size", "delta")
+    mixed = named.groupBy("leader").agg(split.alias("split")).where("split").select("leader")
+    # leaders that the sieve lets through in error stay with one label
+    met = components(_sharing(_sieved(deltas, mixed, "leader"), similarity)).withColumnRenamed("component", "connected")
+    named = named.drop("leader").join(met, "node").withColumnRenamed("connected", "leader")
+    mixed = named.groupBy("leader").agg(split.alias("split")).where("split").select("leader")
+    wanted = passed(named.join(mixed, "leader").select("leader", "node"))
+    found = _sieved(deltas.select("node", "size", "delta"), wanted, "node").join(wanted, "node")
+    return found.select("leader", "node", "size", "delta")
 
 
 def _sharing(rows: DataFrame, similarity: Fraction) -> DataFrame:
@@ -437,15 +448,17 @@ def _sharing(rows: DataFrame, similarity: Fraction) -> DataFrame:
     in any one order of elements, the first ones of each set, as many as it may lack and one more, have one in common; for
     the smaller set fewer do (`few`) than for the larger (`most`). Here the order is from rare to frequent among the
     leader's nodes, and the leader's own elements come last: nodes whose first ones reach into these stand together.
+    Elements that one node has alone come before all others, so they need no place in the order: the others' are counted
+    from the end.
     """
     few, most = 2 * similarity / (1 + similarity), similarity
     prefix = lambda s: F.expr(f"size - (size * {s.numerator} + {s.denominator - 1}) div {s.denominator} + 1")
     rows = rows.withColumn("few", prefix(few)).withColumn("most", prefix(most))
     element = F.explode(F.slice("delta", F.lit(1), F.col("added"))).alias("element")
-    added = rows.select("leader", "node", "few", "most", element)
-    counted = added.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("leader", "element")))
-    order = Window.partitionBy("leader", "node").orderBy("n", "element")
-    rare = counted.withColumn("rank", F.row_number().over(order)).where("rank <= most and n > 1")
+    added = rows.select("leader", "node", "few", "most", "added", element)
+    counted = added.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("leader", "element"))).where("n > 1")
+    order = Window.partitionBy("leader", "node").orderBy(F.desc("n"), F.desc("element"))
+    rare = counted.withColumn("rank", F.col("added") - F.row_number().over(order) + 1).where("rank <= most")
     reaching = rows.where("added < most").select("leader", F.lit(None).cast("bigint"), "node", F.expr("added < few"))
     keys = rare.select("leader", "element", "node", F.expr("rank <= few").alias("early")).union(reaching)
     centre = F.min(F.expr("if(early, node, null)")).over(Window.partitionBy("leader", "element"))

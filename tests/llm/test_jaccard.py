@@ -141,3 +141,33 @@ def test_rounds_deal_every_pair_once(spark):
     assert sorted(r for part in rounds for r in part) == sorted(jaccard._dealt(rows).select(columns).collect())
     pairs = [{(r.leader, r.i, r.j) for r in part} for part in rounds]
     assert not any(a & b for i, a in enumerate(pairs) for b in pairs[:i])
+
+
+def test_undecided_are_told_by_names(spark, monkeypatch):
+    """The elements of the sets are in no step before it is known whose are needed."""
+    schema = "leader bigint, node bigint, size bigint, delta array<bigint>, added int"
+    rows = [
+        (1, 2, 10, [100, 101, 7], 2), (1, 3, 10, [100, 102, 8], 2),  # not linked yet, with a rare element in common
+        (1, 4, 10, [103, 104, 9], 2),  # with none
+        (5, 6, 10, [105, 106], 2), (5, 7, 10, [105, 107], 2),  # linked
+    ]
+    links = spark.createDataFrame([(6, 7)], "a bigint, b bigint")
+    seen, real = [], jaccard.passed
+    monkeypatch.setattr(jaccard, "passed", lambda df: (seen.append(df.columns), real(df))[1])
+    found = jaccard._undecided(spark.createDataFrame(rows, schema), links, Fraction("0.8")).collect()
+    assert sorted((r.leader, r.node, r.size, r.delta) for r in found) == [(2, 2, 10, rows[0][3]), (2, 3, 10, rows[1][3])]
+    assert seen and not any("delta" in columns for columns in seen)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rarest_elements_leave_out_no_link(spark, seed):
+    """Elements of one node alone are counted, not ranked; every two linked nodes of a leader stay connected."""
+    rng = random.Random(seed)
+    sets = {i: frozenset(rng.sample(range(40), rng.randrange(8, 14))) for i in range(2, 60)}
+    sets |= {i + 100: frozenset([*sorted(s)[1:], 1000 + i]) for i, s in list(sets.items())[:30]}
+    first = frozenset(range(12))
+    rows = [(1, i, len(s), [*sorted(s - first), *sorted(first - s)], len(s - first)) for i, s in sets.items()]
+    df = spark.createDataFrame(rows, "leader bigint, node bigint, size bigint, delta array<bigint>, added int")
+    label = {r.node: r.component for r in components(jaccard._sharing(df, Fraction("0.8"))).collect()}
+    linked = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    assert linked and all(label[a] == label[b] for a, b in linked)
