@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemill.llm.common import cut, joined, lengths, map_rows, mix, stored
+from telemill.llm.common import cut, joined, lengths, map_rows, mix, setting, stored
 from telemill.operators.rank import running_rank
 
 #: Bytes of text in a slice.
@@ -38,7 +38,9 @@ EDGE = 10
 #: A tile with at least so many entries is counted in a dense vector of all its cells.
 DENSE = 1 << 2 * EDGE - 5
 #: Words per group of tiles, messages that one task adds up for a group, and entries that it holds before it adds.
-GROUP_WORDS, FAN_IN, HELD = 1 << 21, 256, 1 << 20
+GROUP_WORDS, FAN_IN, HELD = 1 << 20, 256, 1 << 19
+#: Bytes of a batch that is sent to a Python worker: rows are large, and both sides hold a batch whole.
+BATCH_BYTES = 8 << 20
 #: Entries that are added at a time, on average: tiles are dealt to so many parts.
 PART = 1 << 18
 
@@ -239,9 +241,14 @@ def _sum_by_parts(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return tuple(np.concatenate(x) for x in zip(*made))
 
 
-def _listed(rows: Iterator[dict]) -> Iterator[dict]:
-    for row in rows:
-        yield {"group": row["group"], **{c: np.frombuffer(row[c], np.int64).tolist() for c in "pqn"}}
+def _frequent(least: int):
+    """`_added` with lists of numbers, in one Python worker."""
+
+    def run(rows: Iterator[dict]) -> Iterator[dict]:
+        for row in _added(least)(rows):
+            yield {"group": row["group"], **{c: row[c].tolist() for c in "pqn"}}
+
+    return run
 
 
 def _key(p: np.ndarray, q: np.ndarray, seed: int) -> np.ndarray:
@@ -324,8 +331,8 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int) -> tuple[list[Da
         )
         messages = stored(messages, "phrases")
         parts = map_rows(_dealt(messages.select("group", "salt", "p", "q", "n"), "group", "salt"), _COUNTS, _added(1))
-        sums = map_rows(_dealt(parts, "group"), _COUNTS, _added(least))
-        pairs = map_rows(sums, "group bigint, p array<bigint>, q array<bigint>, n array<bigint>", _listed)
+        sums = "group bigint, p array<bigint>, q array<bigint>, n array<bigint>"
+        pairs = map_rows(_dealt(parts, "group"), sums, _frequent(least))
         pairs = pairs.select("group", F.explode(F.arrays_zip("p", "q", "n")).alias("x")).select("group", "x.p", "x.q", F.col("x.n").alias("a"))
         ranked = cut(running_rank(pairs, [F.desc("a"), "p", "q"], "id"))
         levels.append(cut(_described(ranked, levels[-1])))
@@ -366,7 +373,8 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, cover: int
     of the language; the lowest counts. A phrase within a longer frequent one that has `cover` percent of its occurrences or
     more is left out. Ties go to the more frequent, then to the first phrase by bytes.
     """
-    levels, totals = frequent_phrases(docs, least, longest)
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        levels, totals = frequent_phrases(docs, least, longest)  # checkpoints, so all of it has run
     kept = []
     for shorter, longer in zip(levels[1:], [*levels[2:], None]):
         if longer is not None:

@@ -113,3 +113,12 @@ def test_adding_many_distinct_pairs_takes_little_room(monkeypatch):
         assert np.array_equal(np.stack([row["p"], row["q"]], 1)[order], expected[counts >= least])
         assert np.array_equal(row["n"][order], counts[counts >= least])
     assert peak < 110 * len(expected)
+
+
+def test_batches_for_python_are_small_meanwhile(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, real = spark.conf.get(key), [], phrases.map_rows
+    monkeypatch.setattr(phrases, "map_rows", lambda *a: (seen.append(spark.conf.get(key)), real(*a))[1])
+    rows = [(t, "en") for t in texts()]
+    phrases.collocations(frame(spark, rows), **PARAMETERS).collect()
+    assert set(seen) == {str(phrases.BATCH_BYTES)} and spark.conf.get(key) == before
