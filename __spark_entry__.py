@@ -852,7 +852,7 @@ def replay_quarantine(spark, sf_dir):
         derived("id", "bigint", "if(try_cast({1} as bigint) % 7 = 0, null, try_cast({1} as bigint))"), *user_log().outputs[1:]
     ))
     tm.register(strict, replace=True)
-    tm.ingest_batch(topic, "app_replay", path=path)
+    tm.ingest_batch(topic, "app_replay", path=path, rebalance=True)  # packed by a shuffle, so every task has all hours
     tm.register(replace(user_log(), name="app_replay"), replace=True)
     for _ in range(2):
         tm.replay_quarantine(spark, path, "app_replay")

@@ -27,11 +27,14 @@ def pending_rejects(spark: SparkSession, path: str, log_type: str | LogType) ->
     return bad.join(promoted, list(PLACE), "left_anti").dropDuplicates(list(PLACE))
 
 
-def replay_quarantine(spark: SparkSession, path: str, log_type: str | LogType, tz: str = "UTC", rebalance: bool = False) -> int:
+def replay_quarantine(spark: SparkSession, path: str, log_type: str | LogType, tz: str = "UTC", rebalance: bool = True) -> int:
     """Judge the pending rejects of a landing folder by the log type as it is now; returns how many became rows.
 
     These rows keep their places in the topic, by which a replay leaves out what an earlier one stored: it can be
     repeated at any time, also after one that broke off. The rejected lines stay where they are.
+
+    They come from a shuffle by their places, which leaves some of every hour to each task: without `rebalance` every
+    task writes a file for each hour.
     """
     spec = resolve(log_type)
     lines = pending_rejects(spark, path, spec).drop("reason")

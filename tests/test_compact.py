@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shared import GOLDEN, fields_of
 
 import telemill as tm
+from telemill.llm.common import setting
 from telemill.sinks import compact
 
 
@@ -77,6 +78,21 @@ def test_a_compaction_that_broke_off_is_finished(spark, landing, monkeypatch, br
     assert not compact._Folder(spark, landing).names("_compact-*")
 
 
+def test_replay_writes_one_file_an_hour(spark, messages, tmp_path):
+    path = str(tmp_path / "landing")
+    rows = [(["x"],) for _ in range(64)]
+    values = [bytes(r.value) for r in tm.encode_segments(spark.createDataFrame(rows, "lines array<string>")).collect()]
+    tm.ingest_batch(messages(*values), "flow", path=path, rebalance=True)
+    spec = tm.resolve("flow")
+    lax = replace(spec, min_fields=0, outputs=tuple(
+        replace(o, rule=f"cast(null as {o.type})", checked=False) if o.name not in "ymdh" else replace(o, rule="'1'") for o in spec.outputs
+    ), clock=lambda r: F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    before = files(spark, path)
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):  # as if every task had many rows
+        assert tm.replay_quarantine(spark, path, lax) == 64
+    assert files(spark, path) == before + 1
+
+
 def test_replay_promotes_each_line_once(spark, messages, tmp_path):
     path = str(tmp_path / "landing")
     df = spark.createDataFrame([([fields_of("flow", f4="7"), GOLDEN["flow"], "x", fields_of("flow", f4="7")],)], "lines array<string>")
