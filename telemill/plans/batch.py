@@ -11,7 +11,7 @@ from telemill.operators.report import METRICS, observe_batch
 from telemill.plans.logtype import PARTITIONS, LogType, resolve
 from telemill.session import reliable
 from telemill.sinks.files import batch_writer, write_files
-from telemill.sinks.landing import write_landing
+from telemill.sinks.landing import by_folder, write_landing
 from telemill.sinks.tables import write_quarantine, write_table
 from telemill.sources.offsets import record_coverage
 
@@ -70,10 +70,11 @@ def ingest_batch(
     classified = classify_messages(messages, spec, tz, on_error, codec)
     if quarantine is not None:
         classified = reliable(classified)
-    observed = observe_batch(classified, spec, observation)
+    landed = path is not None and mode == "quarantine"
+    observed = observe_batch(by_folder(classified, spec) if landed and rebalance else classified, spec, observation)
     strictness = "failfast" if mode == "failfast" else "drop"
-    if path is not None and mode == "quarantine":
-        write_landing(observed, spec, path, rebalance, writer)
+    if landed:
+        write_landing(observed, spec, path, writer=writer)
     elif path is not None:
         write_files(accepted(observed, spec, strictness), path, PARTITIONS, writer, rebalance)
     else:

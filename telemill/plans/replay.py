@@ -38,11 +38,14 @@ def replay_quarantine(spark: SparkSession, path: str, log_type: str | LogType, t
     """
     spec = resolve(log_type)
     lines = pending_rejects(spark, path, spec).drop("reason")
-    observation = Observation()
-    found = classify(lines, spec, tz).where(F.col("status") == OK).observe(observation, F.count(F.lit(1)).alias("rows"))
+    found = classify(lines, spec, tz).where(F.col("status") == OK)
     data = [c for c in spec.columns if c not in PARTITIONS]
     evidence = [F.col(c) if c in PLACE else F.lit(None).cast(t).alias(c) for c, t in _evidence_types(found)]
-    write_files(found.select(*data, *evidence, *LAYOUT), path, LAYOUT, batch_writer(), rebalance)
+    rows = found.select(*data, *evidence, *LAYOUT)
+    if rebalance:
+        rows = rows.hint("rebalance", *[F.col(c) for c in LAYOUT])
+    observation = Observation()  # above the shuffle: Spark leaves out what is below one without rows
+    write_files(rows.observe(observation, F.count(F.lit(1)).alias("rows")), path, LAYOUT, batch_writer())
     return observation.get["rows"]
 
 

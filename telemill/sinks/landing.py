@@ -22,12 +22,26 @@ def landing_rows(classified: DataFrame, log_type: str | LogType) -> DataFrame:
     """The classified lines as they are stored; skipped lines are left out."""
     spec = resolve(log_type)
     accepted = F.col("status") == OK
-    keys = [F.when(accepted, F.col(p)).otherwise(_day_part(spec, p)).alias(p) for p in PARTITIONS]
+    keys = [k.alias(p) for p, k in zip(PARTITIONS, _keys(spec))]
     evidence = [F.when(~accepted, F.col(c)).alias(c) for c in QUARANTINE]
     data = [c for c in spec.columns if c not in PARTITIONS]
     return classified.where(F.col("status") != DROPPED).select(*data, *evidence, "status", *keys)
 
 
+def by_folder(classified: DataFrame, log_type: str | LogType) -> DataFrame:
+    """The classified lines, shuffled so that every landing partition lands in few files.
+
+    What is observed of a write goes above it: Spark leaves out what is below a shuffle without rows.
+    """
+    names = [f"_{p}" for p in PARTITIONS]
+    keyed = classified.select("*", *[k.alias(n) for n, k in zip(names, _keys(resolve(log_type)))])
+    return keyed.hint("rebalance", "status", *names).drop(*names)
+
+
+def _keys(spec: LogType) -> list[Column]:
+    return [F.when(F.col("status") == OK, F.col(p)).otherwise(_day_part(spec, p)) for p in PARTITIONS]
+
+
 def _day_part(spec: LogType, part: str) -> Column:
     """A partition key of a rejected line, as the log type writes such keys; NULL for the hour."""
     kind = spec.schema[part].dataType.simpleString()

@@ -93,6 +93,11 @@ def test_replay_writes_one_file_an_hour(spark, messages, tmp_path):
     assert files(spark, path) == before + 1
 
 
+def test_nothing_to_shuffle_is_counted_too(spark, messages, tmp_path):
+    report = tm.ingest_batch(messages(b"").where("false"), "flow", path=str(tmp_path / "landing"), rebalance=True)
+    assert set(report.values()) <= {"flow", 0, None}
+
+
 def test_replay_promotes_each_line_once(spark, messages, tmp_path):
     path = str(tmp_path / "landing")
     df = spark.createDataFrame([([fields_of("flow", f4="7"), GOLDEN["flow"], "x", fields_of("flow", f4="7")],)], "lines array<string>")
