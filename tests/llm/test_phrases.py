@@ -5,6 +5,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from telemill.llm import phrases
@@ -122,3 +123,64 @@ def test_batches_for_python_are_small_meanwhile(spark, monkeypatch):
     rows = [(t, "en") for t in texts()]
     phrases.collocations(frame(spark, rows), **PARAMETERS).collect()
     assert set(seen) == {str(phrases.BATCH_BYTES)} and spark.conf.get(key) == before
+
+
+def test_packed_numbers_and_texts_come_back():
+    rng = np.random.default_rng(6)
+    for values in ([], [0], [5, 0, 2**62, 7], rng.integers(0, 300, 1000), rng.integers(0, 2**40, 99)):
+        values = np.array(values, np.int64)
+        assert np.array_equal(phrases._unpacked(phrases._packed(values)), values)
+        assert np.array_equal(phrases._unpacked(phrases._packed(np.sort(values), True), True), np.sort(values))
+    for keys in ([], ["a"], ["é x", "漢字 und", "a ", "b  c"]):
+        assert phrases._heard(phrases._told(pa.array(keys, pa.string()))).to_pylist() == keys
+
+
+def test_languages_with_blanks_and_few_groups(spark):
+    """A word travels with its language as one key."""
+    rng = random.Random(7)
+    rows = [(t, rng.choice(["", " ", "a b", "b", " b", "\n", "a", "none"])) for t in texts(8)]
+    got = sorted(tuple(r) for r in phrases.collocations(frame(spark, rows), **PARAMETERS).collect())
+    assert got == by_sql(rows, **PARAMETERS) and got
+
+
+def test_slices_and_salts_of_the_whole_job(spark, monkeypatch):
+    """Many slices, several messages to a group, and answers by place, against the same texts in one slice."""
+    rows = [(t, lang) for t in texts(9) for lang in ("en", "de")]
+    monkeypatch.setattr(phrases, "HELD", 8)
+    monkeypatch.setattr(phrases, "FAN_IN", 3)
+    monkeypatch.setattr(phrases, "SLICE", 500)
+    got = sorted(tuple(r) for r in phrases.collocations(frame(spark, rows), **PARAMETERS).collect())
+    assert got == by_sql(rows, **PARAMETERS) and got
+
+
+def test_messages_are_small():
+    """A pair of a slice was told by 28 bytes, and a word by a row of its own."""
+    rng = np.random.default_rng(10)
+    codes = np.minimum(rng.zipf(1.3, 200_000), 20_000).astype(np.int64)
+    row = {"slice": 3, "codes": phrases._packed(codes), "ids": phrases._packed(np.arange(20_000), True)}
+    sent = list(phrases._messages(32, 1)(iter([row])))
+    pairs = Counter(zip((codes[:-1] - 1).tolist(), (codes[1:] - 1).tolist()))
+    assert sum(len(r[c]) for r in sent for c in "pqn") < 8 * len(pairs)
+    assert sum(phrases._unpacked(r["n"]).sum() for r in sent) == len(codes) - 1
+    words = pa.array([f"word{i * 7919 % 10_007} en" for i in range(10_000)])
+    row = {"slice": 3, "counts": phrases._packed(np.ones(10_000)), **phrases._told(words)}
+    sent = list(phrases._word_messages(32, 1, True)(iter([row])))
+    assert sum(len(r["data"]) + len(r["sizes"]) + len(r["n"]) for r in sent) < 8 * len(words)
+    assert sorted(x for r in sent for x in phrases._heard(r).to_pylist()) == sorted(words.to_pylist())
+
+
+def test_words_are_not_joined_row_by_row_and_shuffles_end_with_their_step(spark, monkeypatch):
+    """Words of slices met the frequent words in a join: a row for each word of each slice."""
+    plans, seen, real = [], [], phrases.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        seen.append(spark.conf.get(phrases.CLEANUP))
+        return real(df, name)
+
+    monkeypatch.setattr(phrases, "stored", stored)
+    before = spark.conf.get(phrases.CLEANUP)
+    phrases.collocations(frame(spark, [(t, "en") for t in texts()]), **PARAMETERS).collect()
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert joins and not [line for line in joins if "word" in line]
+    assert set(seen) == {"true"} and spark.conf.get(phrases.CLEANUP) == before
