@@ -26,8 +26,15 @@ from telemill.llm.shingles import shingle_sets
 BAND = Fraction(4, 3)
 PIECES = 3
 
-#: One part in so many is spare (see `_enumerate`).
-SPARE = 20
+#: One part in so many is spare, and one in so many may go without its common signatures (see `_enumerate`, `_met`).
+SPARE, SPARE_COMMON = 20, 16
+
+#: A signature is common if more rows than these have it.
+COMMON = 64
+
+#: The low bits of a signature: its band and part. All ones: too large a set to tell.
+BAND_BITS, PART_BITS = 6, 18
+PLACE = (1 << BAND_BITS + PART_BITS) - 1
 
 #: Sets that a task remembers to have signed.
 SEEN = 200_000
@@ -72,22 +79,33 @@ def signatures(hashes: np.ndarray, places: np.ndarray, similarity: Fraction) ->
     for i, n in enumerate(sizes):
         made = []
         for band in range(own[i], last[i] + 1) if n else ():
-            k = differing(similarity, int(tops[band]))
+            top = int(tops[band])
+            k = differing(similarity, top)
             if k:
-                made.append(_enumerate(hashes[places[i] : places[i + 1]], k // 2 + 1, band))
+                other = min(top, int(n) * similarity.denominator // similarity.numerator)
+                most = int((1 - similarity) / (1 + similarity) * (int(n) + other))
+                made.append(_enumerate(hashes[places[i] : places[i + 1]], k // 2 + 1, band, most // 2))
         out.append(np.concatenate(made) if made else np.zeros(0, np.uint64))
     return out
 
 
-def _enumerate(hashes: np.ndarray, parts: int, band: int) -> np.ndarray:
+def _may_lack(parts: int) -> int:
+    """In how many parts a set may do without its common signatures; `parts` as `_enumerate` has them."""
+    return parts // SPARE_COMMON + int(parts > 3)
+
+
+def _enumerate(hashes: np.ndarray, parts: int, band: int, torn: int) -> np.ndarray:
     """A signature for every part and left-out piece.
 
-    Many unlike sets agree where neither has an element. So there are `spare` parts more than needed: similar sets then
-    agree, but for one element, in one part more than `spare` parts, and a set that has such empty places in no more
-    than `spare` of them need not name them. A set with more of them names them all.
+    `torn`: the most parts in which a similar set of this band can differ in more than one element; for the largest sets
+    one less than `parts`, for smaller ones fewer. In all others the two agree, but for one element.
+
+    Many unlike sets agree where neither has an element. So there are parts to spare, and a set that has such empty
+    places in so few parts that similar sets agree in one more, beside those which `_met` may leave out, need not name
+    them. A set with more of them names them all.
     """
-    spare = parts // SPARE + 2
-    parts += spare
+    lacking = _may_lack(parts)
+    parts += parts // SPARE + min(2, parts // 2) + lacking  # small sets are mostly empty in many parts
     name = mix(np.array([band], np.uint64))
     cell = (mix(hashes ^ name) % np.uint64(parts * PIECES)).astype(np.int64)
     sums = np.zeros(parts * PIECES, np.uint64)
@@ -96,8 +114,11 @@ def _enumerate(hashes: np.ndarray, parts: int, band: int) -> np.ndarray:
     # leaving out one piece of a part keeps the other two
     kept = sums.reshape(parts, PIECES).sum(axis=1, keepdims=True, dtype=np.uint64) - sums.reshape(parts, PIECES)
     named = mix(kept.ravel() ^ mix(np.arange(parts * PIECES, dtype=np.uint64) + name))
+    told = band < (1 << BAND_BITS) - 1 and parts <= 1 << PART_BITS
+    place = (band << PART_BITS) + np.arange(parts).repeat(PIECES) if told else PLACE
+    named = named & np.uint64(~PLACE & (1 << 64) - 1) | np.asarray(place).astype(np.uint64)
     empty = count.sum(axis=1, keepdims=True) == count
-    return named if empty.any(axis=1).sum() > spare else named[~empty.ravel()]
+    return named if empty.any(axis=1).sum() > parts - torn - 1 - lacking else named[~empty.ravel()]
 
 
 def _digest(hashes: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
@@ -185,7 +206,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: str = "0.8") ->
     component with null ids only has a null id. An empty frame gives an empty frame.
 
     Equal sets are one node, named by 64 bits of their digest. Nodes that share a signature meet under the smallest of
-    them. What counts of buckets cannot tell apart there is connected, and every node is verified against the leader (the
+    them; a node leaves out signatures that many rows have where it has enough others for every similar set. What counts of buckets cannot tell apart there is connected, and every node is verified against the leader (the
     smallest node) of what it is connected with, which leaves out no pair:
 
     * Two nodes whose distances from their leader add up to no more than a link's are linked. The node with the most
@@ -239,11 +260,29 @@ def _links(docs: DataFrame, nodes: DataFrame, width: int, similarity: Fraction)
 
 
 def _met(docs: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """Nodes that share a signature, with the smallest of them as `leader`; leaders are with themselves."""
+    """Nodes that share a signature, with the smallest of them as `leader`; leaders are with themselves.
+
+    A line that many texts have gives signatures that many unlike sets share, in groups that grow with the input. A node
+    leaves out its common signatures in a band if these are in no more than `_may_lack` parts: similar sets agree in
+    more parts than both their common signatures and their empty places can be in (see `_enumerate`), and whether a
+    signature is common is the same for both.
+    """
     signed = docs.select("text").mapInArrow(_signed(width, similarity), "signature bigint, node bigint")
     sharing = Window.partitionBy("signature")
-    led = signed.withColumn("leader", F.min("node").over(sharing)).where("node <> leader")
-    met = passed(led.select("leader", "node").distinct())
+    rows, least, most = F.count(F.lit(1)).over(sharing), F.min("node").over(sharing), F.max("node").over(sharing)
+    led = signed.select("signature", "node", least.alias("leader"), most.alias("last"), rows.alias("n"))
+    common = F.expr(f"if(n > {COMMON} and leader <> last, cast(signature & {PLACE} as int), null)")
+    led = led.withColumn("place", common).where("node <> leader or place is not null")
+    led = passed(led.select("leader", "node", "place").distinct())
+    band = F.expr(f"shiftright(place, {PART_BITS})")
+    told = led.where(f"place <> {PLACE}").groupBy("node", band.alias("band")).agg(F.count_distinct("place").alias("parts"))
+    tops = [1]
+    while len(tops) < 1 << BAND_BITS:
+        tops = bands(similarity, tops[-1] + 1).tolist()
+    most = F.array(*[F.lit(_may_lack(differing(similarity, top) // 2 + 1)) for top in tops])
+    few = told.where(F.col("parts") <= F.get(most, "band")).select(F.col("node").alias("lacks"), "band")
+    left = led.join(few, (F.col("node") == F.col("lacks")) & (band == F.col("band")), "left_anti")
+    met = passed(left.where("node <> leader").select("leader", "node").distinct())
     return met.union(met.select("leader", "leader").distinct())
 
 

@@ -171,3 +171,64 @@ def test_rarest_elements_leave_out_no_link(spark, seed):
     label = {r.node: r.component for r in components(jaccard._sharing(df, Fraction("0.8"))).collect()}
     linked = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
     assert linked and all(label[a] == label[b] for a, b in linked)
+
+
+LINE = "this line stands in every one of the texts".split()
+
+
+def with_line(rng, n, size):
+    word = lambda: f"w{rng.randrange(10**9)}"
+    return [[word() for _ in range(size)] + LINE + [word() for _ in range(size)] for _ in range(n)]
+
+
+def test_common_lines_do_not_make_texts_meet(spark, monkeypatch):
+    """Of texts that have one line in common, only those that are linked meet, but for a few."""
+    monkeypatch.setattr(jaccard, "COMMON", 8, raising=False)
+    rng = random.Random(4)
+    texts = [t for size in (100, 130, 170, 220) for t in with_line(rng, 800, size)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(5000 + i, " ".join(t[1:])) for i, t in enumerate(texts[:40])]
+    met = jaccard._met(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, Fraction("0.8")).where("node <> leader")
+    largest = max(r["count"] for r in met.groupBy("leader").count().collect())
+    assert 40 <= met.count() < 300 and largest < 20
+
+
+@pytest.mark.parametrize(("common", "seed"), [(1, 5), (3, 6), (20, 7)])
+def test_leaving_out_common_signatures_loses_no_link(spark, monkeypatch, common, seed):
+    monkeypatch.setattr(jaccard, "COMMON", common, raising=False)
+    rng = random.Random(seed)
+    rows = [(20_000 + i, t) for i, t in edited_copies(seed, 60)]
+    for i, text in enumerate(with_line(rng, 40, 8) + with_line(rng, 40, 30) + with_line(rng, 30, 90)):
+        rows.append((i, " ".join(text)))
+        for _ in range(rng.randrange(3)):
+            near = list(text)
+            for _ in range(rng.randrange(1, 1 + len(near) // 18)):
+                near[rng.randrange(len(near))] = f"x{rng.randrange(10**9)}"
+            rows.append((1000 + i, " ".join(near)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert grouped(docs, 3, "0.8") == expected(rows, 3, "0.8")
+
+
+@pytest.mark.parametrize("similarity", [Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)])
+def test_more_signatures_are_shared_than_may_be_left_out(similarity):
+    """Similar sets still share one if both leave out any that are in few enough parts, the same ones in both."""
+    rng = random.Random(6)
+    common = np.uint64(3)
+    for _ in range(200):
+        shared = rng.randrange(20, 400)
+        most = int(shared / similarity) - shared
+        left = rng.randint(0, most)
+        values = np.array(rng.sample(range(1 << 62), shared + most), np.uint64)
+        a, b = np.append(values[:shared], values[shared : shared + left]), np.append(values[:shared], values[shared + left :])
+        if len(a) == len(b) == shared:
+            continue
+        kept = []
+        for made in jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), similarity):
+            place = made & np.uint64(jaccard.PLACE)
+            band = (place >> np.uint64(jaccard.PART_BITS)).astype(int)
+            out = jaccard.mix(made) % np.uint64(16) < common
+            for i in np.unique(band):
+                top = int(jaccard.bands(similarity, 10**6)[i])
+                if len(np.unique(place[out & (band == i)])) > jaccard._may_lack(jaccard.differing(similarity, top) // 2 + 1):
+                    out &= band != i
+            kept.append(set(made[~out].tolist()))
+        assert kept[0] & kept[1]
