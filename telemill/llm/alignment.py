@@ -3,7 +3,7 @@
 Both tokenizers cut the same bytes. Places where both end a token cut a text into groups, and tokens whose bytes overlap are
 linked. How many documents hold a pair of ids linked is counted over the whole corpus:
 
-1. Texts are encoded in slices of some megabytes, whose ids are stored. Each slice tells the shards (dealt by a hash of the
+1. Texts are encoded in slices of about a megabyte, whose ids are stored. Each slice tells the shards (dealt by a hash of the
    first id) its distinct pairs and in how many of its documents they are.
 2. A shard gathers its distinct pairs and builds a minimal perfect hash of them: levels of bit maps; a pair that falls on a
    bit alone stays, the others go on to the next level. A pair's slot is the rank of its bit.
@@ -35,10 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemill.llm import tokens
-from telemill.llm.common import lengths, map_rows, mix, stored
+from telemill.llm.common import lengths, map_rows, mix, setting, stored
 
 #: Bytes of text in a slice, shards of pairs, and messages to a shard that one task adds up.
-SLICE, SHARDS, FAN_IN = 2 << 20, 256, 1024
+SLICE, SHARDS, FAN_IN = 1 << 20, 256, 1024
+
+#: Bytes of an Arrow batch; slices and their answers are large rows, of which the session's bound takes dozens at a time.
+BATCH_BYTES = 4 << 20
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -290,15 +293,19 @@ def _by_owner(pairs: np.ndarray) -> list[np.ndarray]:
 
 
 def _told(a: str, b: str, salts: int):
+    def one(row: dict) -> Iterator[dict]:
+        aligned = _aligned(row, a, b)
+        pairs, counts = aligned.pairs, aligned.documents()
+        del aligned
+        for shard, part in _by_owner(pairs):
+            yield {
+                "shard": shard, "salt": row["slice"] % salts, "slice": row["slice"],
+                "pairs": pairs[part], "counts": counts[part].astype(np.int64),
+            }
+
     def run(rows: Iterator[dict]) -> Iterator[dict]:
-        for row in rows:
-            aligned = _aligned(row, a, b)
-            counts = aligned.documents()
-            for shard, part in _by_owner(aligned.pairs):
-                yield {
-                    "shard": shard, "salt": row["slice"] % salts, "slice": row["slice"],
-                    "pairs": aligned.pairs[part], "counts": counts[part].astype(np.int64),
-                }
+        for row in rows:  # a slice's arrays go before the next one's are made
+            yield from one(row)
 
     return run
 
@@ -369,24 +376,27 @@ def _answer(rows: Iterator[dict]) -> Iterator[dict]:
 
 
 def _looked_up(a: str, b: str):
+    def one(row: dict) -> dict:
+        aligned = _aligned(row, a, b)
+        told = {x["shard"]: x for x in row["told"] or []}
+        counts, best = np.zeros(len(aligned.pairs), np.int64), np.zeros(len(aligned.pairs), np.int64)
+        for shard, part in _by_owner(aligned.pairs):  # answers are in the order of what was asked
+            counts[part] = np.frombuffer(told[shard]["counts"], np.int64)
+            best[part] = np.frombuffer(told[shard]["best"], bool)
+        return {
+            "keys": row["keys"],
+            "n_a": aligned.n_a.tolist(),
+            "n_b": aligned.n_b.tolist(),
+            "n_groups": aligned.groups().tolist(),
+            "n_links": aligned.per_document().tolist(),
+            "n_best": aligned.per_document(best).tolist(),
+            "count_sum": aligned.per_document(counts).tolist(),
+            "groups_sha256": aligned.digests(),
+        }
+
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
-            aligned = _aligned(row, a, b)
-            told = {x["shard"]: x for x in row["told"] or []}
-            counts, best = np.zeros(len(aligned.pairs), np.int64), np.zeros(len(aligned.pairs), np.int64)
-            for shard, part in _by_owner(aligned.pairs):  # answers are in the order of what was asked
-                counts[part] = np.frombuffer(told[shard]["counts"], np.int64)
-                best[part] = np.frombuffer(told[shard]["best"], bool)
-            yield {
-                "keys": row["keys"],
-                "n_a": aligned.n_a.tolist(),
-                "n_b": aligned.n_b.tolist(),
-                "n_groups": aligned.groups().tolist(),
-                "n_links": aligned.per_document().tolist(),
-                "n_best": aligned.per_document(best).tolist(),
-                "count_sum": aligned.per_document(counts).tolist(),
-                "groups_sha256": aligned.digests(),
-            }
+            yield one(row)
 
     return run
 
@@ -405,7 +415,17 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k
 
     `doc_id`, `n_a`, `n_b`, `n_groups`, `n_links`, `n_best` (links whose count is the highest of their first id),
     `count_sum` (over links) and `groups_sha256`. A pair's count is the number of documents in which it is linked.
+
+    All of it runs here, with Arrow batches of `BATCH_BYTES`; what is returned reads the stored rows.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        done = _aligned_slices(docs, a, b)
+    rows = done.select(F.explode(F.arrays_zip(*done.columns)).alias("x"))
+    return rows.select(F.col("x.keys").alias("doc_id"), *[F.col(f"x.{c}") for c in done.columns[1:]])
+
+
+def _aligned_slices(docs: DataFrame, a: str, b: str) -> DataFrame:
+    """A row for every slice, with the columns of `align` as arrays."""
     encoded = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         _encode(a, b), "slice bigint, keys array<bigint>, a binary, b binary, n_a binary, n_b binary"
     )
@@ -430,6 +450,4 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k
 
     columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     schema = ", ".join(["keys array<bigint>", *[f"{c} array<bigint>" for c in columns], "groups_sha256 array<string>"])
-    done = map_rows(slices.join(answers, "slice", "left"), schema, _looked_up(a, b))
-    rows = done.select(F.explode(F.arrays_zip("keys", *columns, "groups_sha256")).alias("x"))
-    return rows.select(F.col("x.keys").alias("doc_id"), *[F.col(f"x.{c}") for c in columns], F.col("x.groups_sha256"))
+    return stored(map_rows(slices.join(answers, "slice", "left"), schema, _looked_up(a, b)), "alignment")

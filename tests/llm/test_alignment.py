@@ -1,5 +1,6 @@
 import hashlib
 import random
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -122,3 +123,44 @@ def test_two_million_blanks(unit):
     plain, own = tokens.tokenizer(), tokens.tokenizer(special=True)
     assert tokens.plain_ids(text) == plain.encode(text, add_special_tokens=False).ids
     assert tokens.ids(text).tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_one_slice_at_a_time(monkeypatch):
+    """A task lets go of a slice's arrays before it makes those of the next."""
+    alive = []
+
+    class Watched(alignment.Aligned):
+        def __init__(self, *args):
+            assert all(x() is None for x in alive)
+            super().__init__(*args)
+            alive.append(weakref.ref(self))
+
+    monkeypatch.setattr(alignment, "Aligned", Watched)
+    names = "byte_bpe_50k.json", "piece_bpe_32k.model"
+    rows = []
+    for i in range(3):
+        ids = alignment.tokens_of(f"some words of slice {i}", *alignment.tokenizers_of(*names))
+        n_a, n_b = (np.array([len(x)], np.int64).tobytes() for x in ids)
+        rows.append({"slice": i, "keys": [i], "a": ids[0].tobytes(), "b": ids[1].tobytes(), "n_a": n_a, "n_b": n_b})
+    messages = list(alignment._told(*names, 1)(iter(rows)))
+    assert {m["slice"] for m in messages} == {0, 1, 2} and len(alive) == 3
+    for row in rows:
+        own = [m for m in messages if m["slice"] == row["slice"]]
+        row["told"] = [m | {"counts": m["counts"].tobytes(), "best": np.ones(len(m["pairs"]), bool).tobytes()} for m in own]
+    made = list(alignment._looked_up(*names)(iter(rows)))
+    assert [m["keys"] for m in made] == [[0], [1], [2]] and all(m["n_best"] == m["n_links"] for m in made)
+
+
+def test_small_batches(spark, documents, monkeypatch):
+    """All Python runs with small Arrow batches, whatever the caller's session has, which stays as it was."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, real = spark.conf.get(key), [], alignment.stored
+
+    def stored(df, name):
+        seen.append(int(spark.conf.get(key).rstrip("b")))
+        return real(df, name)
+
+    monkeypatch.setattr(alignment, "stored", stored)
+    made = alignment.align(documents())
+    assert max(seen) <= 8 << 20 and spark.conf.get(key) == before
+    assert "MapInArrow" not in made._jdf.queryExecution().toString()
